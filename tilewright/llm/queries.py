@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import merkle, mixing, simhash, sql, urlrules
+from . import bpe, lines, merkle, mixing, quality, simhash, sql, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": simhash.op2_simhash,
     "op3_urlrules": urlrules.op3_urlrules,
+    "op4_bpe": bpe.op4_bpe,
+    "op5_quality": quality.op5_quality,
     "op7_merkle": merkle.op7_merkle,
+    "op9_lines": lines.op9_lines,
     "op10_mixing": mixing.op10_mixing,
 }
 
