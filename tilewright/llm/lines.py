@@ -30,14 +30,16 @@ def line_words(line: str) -> list[bytes]:
     return line.encode("utf-8", "replace").split()
 
 
-def half_keys(words: list[bytes]) -> list[int]:
+def half_keys(joined: bytes, words: list[bytes]) -> list[int]:
     """Two lines within one edit of a word share one of these: for the smaller length of the two,
     either the words before its middle or those from its middle on are in both."""
     m = len(words)
     keys = []
     for t in (m, m - 1):
-        p = t // 2
-        keys += [_h(b"<%d:" % t + b" ".join(words[:p])), _h(b">%d:" % t + b" ".join(words[m - (t - p) :]))]
+        p, q = t // 2, m - (t - t // 2)
+        a = sum(map(len, words[:p])) + p
+        b = a if q == p else a + len(words[p]) + 1
+        keys += [_h(joined[:a], 2 * t), _h(joined[b:], 2 * t + 1)]
     return keys
 
 
@@ -87,11 +89,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, dkey, line, h, n) of the lines that may be duplicates."""
+    """(doc_id, dkey, line, h) of the lines that may be duplicates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, line, h, n = [], [], [], []
+            at, line, h = [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 for k, x in enumerate(text.split("\n")):
                     words = line_words(x)
@@ -99,14 +101,13 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
                         at.append(i)
                         line.append(k)
                         h.append(_h(b" ".join(words)))
-                        n.append(len(words))
             at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(line, pa.int32()), pa.array(h, pa.int64()), pa.array(n, pa.int32())],
-                ["doc_id", "dkey", "line", "h", "n"],
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(line, pa.int32()), pa.array(h, pa.int64())],
+                ["doc_id", "dkey", "line", "h"],
             )
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, dkey long, line int, h long, n int")
+    return _keyed(docs).mapInArrow(run, "doc_id long, dkey long, line int, h long")
 
 
 def _half_rows(docs: DataFrame, near_words: int) -> DataFrame:
@@ -118,9 +119,9 @@ def _half_rows(docs: DataFrame, near_words: int) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 for x in (text or "").split("\n"):
                     words = line_words(x)
-                    if len(words) >= near_words and (h := _h(b" ".join(words))) not in done:
+                    if len(words) >= near_words and (h := _h(joined := b" ".join(words))) not in done:
                         done.add(h)
-                        key += half_keys(words)
+                        key += half_keys(joined, words)
                         hs += [h] * 4
             yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(hs, pa.int64())], ["key", "h"])
 
@@ -229,16 +230,15 @@ def duplicate_lines(docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WO
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     lines = _lines(docs, min_words)
-    first = lines.select("h", "n", _order().alias("o")).groupBy("h").agg(F.min("o").alias("first"), F.max("n").alias("n"))
-    unique = first
+    first = lines.select("h", _order().alias("o")).groupBy("h").agg(F.min("o").alias("first"))
     if max_edits:
-        unique = cut(first.filter(F.col("n") >= near_words))
-        near = cut(_near(docs, unique, _candidates(_half_rows(docs, near_words)), near_words))
+        first = cut(first)
+        near = cut(_near(docs, first, cut(_candidates(_half_rows(docs, near_words))), near_words))
         known = first.join(near.withColumn("near", F.lit(True)), "h", "left")
     else:
         known = first.withColumn("near", F.lit(False))
-    judged = lines.withColumn("o", _order()).join(known.select("h", "first", "near"), "h")
-    kind = F.when(F.col("o") != F.col("first"), F.lit("copy")).when(F.col("near"), F.lit("near"))
+    judged = lines.join(known, "h")
+    kind = F.when(_order() != F.col("first"), F.lit("copy")).when(F.col("near"), F.lit("near"))
     return judged.withColumn("kind", kind).filter("kind IS NOT NULL").select("dkey", "doc_id", "line", "kind").distinct()
 
 

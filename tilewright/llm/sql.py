@@ -46,3 +46,12 @@ SELECT base.doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256, own.f
   {_like("own", "new")} AS near_edited, {_like("own", "nex")} AS near_next
 FROM base JOIN own USING (doc_id) JOIN new USING (doc_id) JOIN nex USING (doc_id)
 """
+
+OP1 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(d.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20
+"""
