@@ -21,7 +21,7 @@ from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Chunks whose encoding a worker remembers; older ones are encoded again.
-CACHE = 150_000
+CACHE = 700_000
 #: Characters of text that are split into chunks at a time.
 STEP = 1 << 20
 
@@ -45,6 +45,7 @@ class Bpe:
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}"))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
+        self.marks = [m.encode() for m in self.special]
         ids, end = model["vocab"], model["end_of_word_suffix"]
         self.tokens = {i: t for t, i in {**ids, **self.special}.items()}
         symbols = byte_symbols()
@@ -130,6 +131,9 @@ class Bpe:
 
     def _pieces(self, chunk: bytes) -> list[str | int]:
         """Words and ids of special tokens in a chunk without white space of ASCII."""
+        if chunk.isascii() and not any(m in chunk for m in self.marks):
+            text = chunk.lower().decode()
+            return [text] if text.isalpha() else self.pattern.findall(text)
         text, found, at = chunk.decode(), [], 0
         for m in self.special_at.finditer(text):
             found += [*self._split(text[at : m.start()]), self.special[m[0]]]
