@@ -190,11 +190,17 @@ def _near(docs: DataFrame, unique: DataFrame, candidates: DataFrame, near_words:
     lines = docs.select(F.col("text").cast("string")).mapInArrow(texts, "h long, words string").groupBy("h").agg(F.max("words").alias("words"))
     lines = cut(lines.join(candidates, "h", "left_semi").join(unique.select("h", "first"), "h"))
 
-    @F.pandas_udf("array<struct<key: bigint, side: int>>")
-    def keys(words: pd.Series) -> pd.Series:
-        return pd.Series([variants(w.encode().split()) for w in words])
-
-    emitted = lines.select("h", "first", F.explode(keys("words")).alias("v")).select("h", "first", "v.key", "v.side")
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2048):
+                part = batch.slice(a, 2048)
+                found = [variants(w.encode().split()) for w in part.column(2).to_pylist()]
+                at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+                key = pa.array([k for f in found for k, _ in f], pa.int64())
+                side = pa.array([s for f in found for _, s in f], pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), key, side], ["h", "first", "key", "side"])
+
+    emitted = lines.select("h", "first", "words").mapInArrow(emit, f"h long, first {_ORDER}, key long, side int")
     place = emitted.filter("side = 0")
     low = place.groupBy("key").agg(F.min(F.struct("first", "h")).alias("low"), F.count("*").alias("c")).filter("c > 1").select("key", "low")
     pairs = place.join(low, "key").filter("h <> low.h").select("h", F.col("low.h").alias("by"))

@@ -118,6 +118,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
                     stack.append((key, rule, verdict))
                 found.append(stack[-1][1:] if stack and kind else (None, None))
             points = frame.kind == 1
+            if not points.any():
+                continue
             out = frame.loc[points, ["page_id", "n", "host", "path"]].copy()
             hit = [f for f, is_point in zip(found, points, strict=True) if is_point]
             out["rule"] = [f[0] for f in hit]
