@@ -176,7 +176,7 @@ def test_bpe_forgets_rightly(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 5)
     b, tok = bpe.Bpe(bpe.VOCABULARY), Tokenizer.from_file(bpe.VOCABULARY)
     for t in BASE:
-        assert [int(i) for c in b.encode([t])[0] for i in c[1].split()] == tok.encode(t, add_special_tokens=False).ids
+        assert b.encode([t])[0].tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
 def test_quality(spark):

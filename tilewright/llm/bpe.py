@@ -7,7 +7,7 @@ import heapq
 import json
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-#: Chunks whose encoding a worker remembers; older ones are encoded again.
-CACHE = 700_000
+#: Chunks whose encoding a worker remembers; beyond that, those of the texts at hand alone.
+CACHE = 250_000
 #: Characters of text that are split into chunks at a time.
 STEP = 1 << 20
 
@@ -59,8 +59,9 @@ class Bpe:
         made = {c: r for r, (_, _, c) in enumerate(self.merges)}
         if len(made) < len(self.merges) or any(made.get(x, -1) >= r for r, (a, b, _) in enumerate(self.merges) for x in (a, b)):
             raise ValueError("a token has several merges or is used by one before its own; ranks can't be applied in one ascending sweep")
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[bytes, tuple[int, str, str, bytes]] = {}
+        self.decimal = {i: str(i) for i in self.tokens}
+        self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
         """Token ids of each word, all words merged together.
@@ -144,26 +145,25 @@ class Bpe:
         # lower() would write a final capital sigma differently from letter to letter
         return self.pattern.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
-    def learn(self, chunks: Iterable[bytes]) -> None:
+    def learn(self, chunks: set[bytes]) -> None:
         """Encodes chunks that aren't known yet."""
+        if len(self.chunks) + len(chunks) > CACHE:
+            self.chunks = {c: self.chunks[c] for c in chunks if c in self.chunks}
         new = {c: self._pieces(c) for c in chunks if c not in self.chunks}
-        if len(self.chunks) + len(new) > CACHE:
-            self.chunks.clear()
-            self.words.clear()
-            new = {c: self._pieces(c) for c in chunks}
-        words = list({p for pieces in new.values() for p in pieces if isinstance(p, str) and p not in self.words})
-        self.words.update(zip(words, self.encode_words(words), strict=True))
-        tokens = self.tokens
+        used = {p for pieces in new.values() for p in pieces if isinstance(p, str)}
+        if len(self.words) + len(used) > CACHE:
+            self.words = {w: self.words[w] for w in used if w in self.words}
+        words = [w for w in used if w not in self.words]
+        self.words.update((w, array("i", i).tobytes()) for w, i in zip(words, self.encode_words(words), strict=True))
+        known = self.words
         for c, pieces in new.items():
-            ids = [i for p in pieces for i in (self.words[p] if isinstance(p, str) else (p,))]
-            self.chunks[c] = (len(ids), " ".join(map(str, ids)), " ".join([tokens[i] for i in ids]), array("i", ids).tobytes())
+            self.chunks[c] = b"".join([known[p] if isinstance(p, str) else array("i", [p]).tobytes() for p in pieces])
 
-    def encode(self, texts: list[str]) -> list[list[tuple[int, str, str, bytes]]]:
-        """Per text, (tokens, ids, decoded, ids as 32-bit numbers) of each of its chunks that has tokens."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Token ids of each text."""
         cut = [t.encode("utf-8", "replace").split() for t in texts]
         self.learn({c for x in cut for c in x})
-        known = self.chunks
-        return [[k for k in map(known.__getitem__, x) if k[0]] for x in cut]
+        return [np.frombuffer(b"".join(map(self.chunks.__getitem__, x)), np.int32) for x in cut]
 
 
 @lru_cache(maxsize=2)
@@ -184,37 +184,40 @@ def _steps(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
-def encode(docs: DataFrame, path: str = VOCABULARY, full: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str = VOCABULARY, full: bool = True, decoded: bool = True) -> DataFrame:
     """(doc_id, text) -> (doc_id, n_tokens, ids, decoded) of each whole text; null counts as empty.
 
     ids is an array of token ids as the vocabulary's own library gives them without
     special tokens of its making; a special token spelt out in a text is that token.
-    decoded is the tokens' own strings joined by a space, as decoding without a decoder
-    gives. With full=False the ids and decoded texts give way to their SHA-256, ids_sha256
-    (decimal, joined by a space) and decoded_sha256. Rows that repeat stay as they are.
+    decoded (left out on decoded=False) is the tokens' own strings joined by a space, as
+    decoding without a decoder gives. With full=False the ids and decoded texts give way
+    to their SHA-256, ids_sha256 (decimal, joined by a space) and decoded_sha256. Rows
+    that repeat stay as they are.
     """
+    schema = "doc_id long, n_tokens long, " + ("ids array<int>" if full else "ids_sha256 string")
+    if decoded:
+        schema += ", decoded string" if full else ", decoded_sha256 string"
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
-        for batch in batches:
-            n, first, second = [], [], []
+        digest = lambda words: hashlib.sha256(" ".join(words).encode()).hexdigest()
+        for batch in (b.slice(a, 512) for b in batches for a in range(0, b.num_rows, 512)):
+            at = 0
             for texts in _steps([t or "" for t in batch.column(1).to_pylist()]):
-                for known in bpe.encode(texts):
-                    n.append(sum(k[0] for k in known))
-                    decoded = " ".join([k[2] for k in known])
-                    if full:
-                        first.append(np.frombuffer(b"".join([k[3] for k in known]), np.int32))
-                        second.append(decoded)
-                    else:
-                        first.append(hashlib.sha256(" ".join([k[1] for k in known]).encode()).hexdigest())
-                        second.append(hashlib.sha256(decoded.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int32()) if full else pa.string()), pa.array(second, pa.string())],
-                names=names,
-            )
-
-    schema = "doc_id long, n_tokens long, ids array<int>, decoded string" if full else "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    names = [x.split()[0] for x in schema.split(", ")]
+                ids = bpe.encode(texts)
+                columns = [batch.column(0).slice(at, len(texts)), pa.array([len(i) for i in ids], pa.int64())]
+                at += len(texts)
+                if full:
+                    columns.append(pa.array(ids, pa.list_(pa.int32())))
+                else:
+                    columns.append(pa.array([digest(map(bpe.decimal.__getitem__, i.tolist())) for i in ids], pa.string()))
+                if decoded and full:
+                    columns.append(pa.array([" ".join(map(bpe.tokens.__getitem__, i.tolist())) for i in ids], pa.string()))
+                elif decoded:
+                    columns.append(pa.array([digest(map(bpe.tokens.__getitem__, i.tolist())) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 

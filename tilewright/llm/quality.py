@@ -21,7 +21,7 @@ MAX_LABELLED = 8000
 THRESHOLD = 0.7
 HIDDEN = 32
 #: Chunks whose rows a worker remembers.
-CACHE = 200_000
+CACHE = 100_000
 
 
 def index_vectors() -> np.ndarray:
