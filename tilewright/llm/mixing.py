@@ -118,7 +118,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: int =
     )
     known = F.broadcast(known) if len(plan.sources) <= 10_000 else known
     rows = rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
-    rows = rows.withColumn("_chunk", F.shiftrightunsigned(F.xxhash64("_h"), 48).cast("int"))
+    rows = rows.withColumn("_chunk", F.shiftrightunsigned(F.xxhash64("_h"), 54).cast("int"))
     rows = running_start(rows, ["source_no"], "_chunk", [F.col("_h"), F.col("doc_id"), F.col("size")], F.col("size"), "start")
     b = plan.block
     rows = rows.withColumn("_row", F.struct("doc_id", "size", "source_size", "target", "start"))
