@@ -122,4 +122,4 @@ def op6_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens): documents' tokens are written to flat files, whose separators are then scanned."""
     folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     named = write_token_files(table(spark, sf_dir, "documents"), folder)
-    return count_tokens(spark, folder).join(named, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    return count_tokens(spark, folder).join(named.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")
