@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import uuid
 
 import numpy as np
 import pytest
@@ -288,7 +289,7 @@ def test_mix(spark):
 def test_token_counts(spark, block):
     rows = [(i, t[1] if len(t[1] or "") < 3000 else t[1][:3000]) for i, t in enumerate(ROWS)] + [(50, None), (51, "")]
     enc = tokencount.encoder(tokencount.VOCABULARY)
-    folder = f"{shared_dir(spark)}/tokens-{block}"
+    folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     named = tokencount.write_token_files(docs(spark, rows).repartition(3), folder)
     got = {r.doc_id: r.n_tokens for r in tokencount.count_tokens(spark, folder, block=block).join(named, ["file", "ordinal"]).collect()}
     assert got == {i: len(enc.encode_ordinary(t or "")) for i, t in rows}
