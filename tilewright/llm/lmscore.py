@@ -153,7 +153,10 @@ def cross_entropy(docs: DataFrame, target: DataFrame, background: DataFrame | No
 
 
 def op8_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents between those labelled good (target) and all (background)."""
+    """Documents between those labelled good (target) and all (background).
+
+    Labels grow with the documents, so they meet by sort and merge at every size.
+    """
     docs = table(spark, sf_dir, "documents")
-    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct().hint("merge")
     return cross_entropy(docs, docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
