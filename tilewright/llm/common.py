@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,12 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+def strings_of(column: pa.Array, step: int = 512) -> Iterator[str | None]:
+    """The strings of an Arrow column, of which `step` at a time are held as Python objects."""
+    for at in range(0, len(column), step):
+        yield from column.slice(at, step).to_pylist()
+
+
 def running_start(df: DataFrame, group: list[str], chunk: str, order: list[Column], amount: Column, name: str) -> DataFrame:
     """Adds `name`: the sum of `amount` over all earlier rows of `group`.
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, strings_of, table
 
 #: Shorter lines are too common to count as duplicates. Near duplicates are sought from
 #: NEAR_WORDS words on, where one edit leaves nine words of ten.
@@ -94,7 +94,7 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, line, h = [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
+            for i, text in enumerate(strings_of(batch.column(2))):
                 for k, x in enumerate(text.split("\n")):
                     words = line_words(x)
                     if len(words) >= min_words:
@@ -116,7 +116,7 @@ def _half_rows(docs: DataFrame, near_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done, key, hs = set(), [], []
-            for text in batch.column(0).to_pylist():
+            for text in strings_of(batch.column(0)):
                 for x in (text or "").split("\n"):
                     words = line_words(x)
                     if len(words) >= near_words and (h := _h(joined := b" ".join(words))) not in done:
@@ -177,7 +177,7 @@ def _near(docs: DataFrame, unique: DataFrame, candidates: DataFrame, near_words:
         bits, mask = shared.value
         for batch in batches:
             found: dict[int, str] = {}
-            for text in batch.column(0).to_pylist():
+            for text in strings_of(batch.column(0)):
                 for x in (text or "").split("\n"):
                     words = line_words(x)
                     if len(words) >= near_words:

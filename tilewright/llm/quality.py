@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import strings_of, table
 
 #: Rows of word vectors (words share rows by hash) and their length.
 ROWS, DIM = 1 << 14, 32
@@ -22,6 +22,8 @@ THRESHOLD = 0.7
 HIDDEN = 32
 #: Chunks whose rows a worker remembers.
 CACHE = 100_000
+#: Rows whose neighbours are summed at a time.
+STEP = 256
 
 
 def index_vectors() -> np.ndarray:
@@ -85,14 +87,12 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((ROWS, DIM), np.float64)
         for batch in batches:
-            pair = np.zeros(0, np.int64)
             held, size = [], 0
-            texts = batch.column(0).to_pylist()
-            for i, text in enumerate(texts):
+            for i, text in enumerate(strings_of(batch.column(0))):
                 rows = rows_of(text)
                 held.append(rows)
                 size += len(rows)
-                if size > 200_000 or i == len(texts) - 1:
+                if size > 200_000 or i == batch.num_rows - 1:
                     pair = [np.zeros(0, np.int64)]
                     for r in held:
                         a, b = r[:-1].astype(np.int64), r[1:].astype(np.int64)
@@ -100,13 +100,13 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
                             for k in (0, 1):
                                 pair += [x[:, k] * ROWS + y[:, 0], x[:, k] * ROWS + y[:, 1]]
                     keys, n = np.unique(np.concatenate(pair), return_counts=True)
+                    held, size, pair = [], 0, []
                     target, source = keys // ROWS, keys % ROWS
                     firsts = np.flatnonzero(np.r_[True, np.diff(target) != 0]) if len(keys) else keys
-                    for a in range(0, len(firsts), 2048):
-                        lo, hi = firsts[a], firsts[a + 2048] if a + 2048 < len(firsts) else len(keys)
+                    for a in range(0, len(firsts), STEP):
+                        lo, hi = firsts[a], firsts[a + STEP] if a + STEP < len(firsts) else len(keys)
                         part = base[source[lo:hi]] * n[lo:hi, None]
-                        sums[target[firsts[a : a + 2048]]] += np.add.reduceat(part, firsts[a : a + 2048] - lo, axis=0)
-                    held, size = [], 0
+                        sums[target[firsts[a : a + STEP]]] += np.add.reduceat(part, firsts[a : a + STEP] - lo, axis=0)
         used = np.flatnonzero(np.abs(sums).sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(sums[used, k]) for k in range(DIM))], names)
 
