@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Chunks whose encoding a worker remembers; beyond that, those of the texts at hand alone.
@@ -194,6 +194,7 @@ def encode(docs: DataFrame, path: str = VOCABULARY, full: bool = True, decoded:
     to their SHA-256, ids_sha256 (decimal, joined by a space) and decoded_sha256. Rows
     that repeat stay as they are.
     """
+    small_batches(docs.sparkSession)
     schema = "doc_id long, n_tokens long, " + ("ids array<int>" if full else "ids_sha256 string")
     if decoded:
         schema += ", decoded string" if full else ", decoded_sha256 string"

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: The words of every operator here: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Most bytes of an Arrow batch of texts, whatever their lengths (one row at least).
+BATCH = "8m"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,6 +37,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that tasks exchange with Python, unless the session names a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

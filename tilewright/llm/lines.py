@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,13 +12,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, strings_of, table
+from .common import cut, small_batches, strings_of, table
 
 #: Shorter lines are too common to count as duplicates. Near duplicates are sought from
 #: NEAR_WORDS words on, where one edit leaves nine words of ten.
 MIN_WORDS, NEAR_WORDS = 5, 10
 #: Bits of the filter that spares most lines the second pass; a fixed size, so a fuller filter only spares fewer.
 MAX_FILTER_BITS = 1 << 28
+#: Lines that a task remembers so as to emit them once.
+REMEMBERED = 300_000
 _ORDER = "struct<no_id: boolean, doc_id: bigint, line: int, dkey: bigint>"
 
 
@@ -93,7 +96,7 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, line, h = [], [], []
+            at, line, h = array("q"), array("i"), array("q")
             for i, text in enumerate(strings_of(batch.column(2))):
                 for k, x in enumerate(text.split("\n")):
                     words = line_words(x)
@@ -101,9 +104,9 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
                         at.append(i)
                         line.append(k)
                         h.append(_h(b" ".join(words)))
-            at = pa.array(at, pa.int64())
+            at = pa.array(np.frombuffer(at, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(line, pa.int32()), pa.array(h, pa.int64())],
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.frombuffer(line, np.int32)), pa.array(np.frombuffer(h, np.int64))],
                 ["doc_id", "dkey", "line", "h"],
             )
 
@@ -114,16 +117,19 @@ def _half_rows(docs: DataFrame, near_words: int) -> DataFrame:
     """(key, h) rows of all lines long enough; equal rows of a task are made once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for batch in batches:
-            done, key, hs = set(), [], []
+            key, hs = array("q"), array("q")
+            if len(done) > REMEMBERED:
+                done.clear()
             for text in strings_of(batch.column(0)):
                 for x in (text or "").split("\n"):
                     words = line_words(x)
                     if len(words) >= near_words and (h := _h(joined := b" ".join(words))) not in done:
                         done.add(h)
-                        key += half_keys(joined, words)
-                        hs += [h] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(hs, pa.int64())], ["key", "h"])
+                        key.extend(half_keys(joined, words))
+                        hs.append(h)
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(key, np.int64)), pa.array(np.frombuffer(hs, np.int64).repeat(4))], ["key", "h"])
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, h long")
 
@@ -235,6 +241,7 @@ def duplicate_lines(docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WO
     """
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
+    small_batches(docs.sparkSession)
     lines = _lines(docs, min_words)
     first = lines.select("h", _order().alias("o")).groupBy("h").agg(F.min("o").alias("first"))
     if max_edits:

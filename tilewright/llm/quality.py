@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import strings_of, table
+from .common import small_batches, strings_of, table
 
 #: Rows of word vectors (words share rows by hash) and their length.
 ROWS, DIM = 1 << 14, 32
@@ -201,6 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     Word vectors come from all of docs. Of the labels, at most max_labelled take part;
     ids with several labels count by their mean, at 0.5 as 1.
     """
+    small_batches(docs.sparkSession)
     vectors = word_vectors(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
