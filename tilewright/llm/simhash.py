@@ -16,6 +16,8 @@ from .components import connected_components
 RADIUS = 3
 #: Runs of more fingerprints than this are split by masks again before they are compared.
 SPLIT_RUN = 1024
+#: Pairs of a bucket that are compared at a time.
+PAIRS = 1 << 18
 
 
 def covering_masks(bits: list[int], radius: int) -> np.ndarray:
@@ -84,12 +86,18 @@ def _forest(fps: np.ndarray, free: int, radius: int, out: list) -> None:
             i = root[i]
         return i
 
-    for a in range(0, n, 512):
-        rows, cols = np.nonzero(np.bitwise_count(fps[a : a + 512, None] ^ fps[None, a:]) <= radius)
-        for i, j in zip((rows + a).tolist(), (cols + a).tolist(), strict=True):
-            if i < j and (x := find(i)) != (y := find(j)):
+    step = max(1, PAIRS // n)
+    for a in range(0, n, step):
+        rows, cols = np.nonzero(np.bitwise_count(fps[a : a + step, None] ^ fps[None, a:]) <= radius)
+        rows, cols = rows + a, cols + a
+        # after each block every entry of root is a root, so pairs that agree there are joined already
+        new = (rows < cols) & (root[rows] != root[cols])
+        for i, j in zip(rows[new].tolist(), cols[new].tolist(), strict=True):
+            if (x := find(i)) != (y := find(j)):
                 root[max(x, y)] = min(x, y)
-    top = np.array([find(i) for i in range(n)])
+        while (root[root] != root).any():
+            root = root[root]
+    top = root
     moved = np.flatnonzero(top != np.arange(n))
     if len(moved):
         out.append((fps[moved], fps[top[moved]]))
