@@ -21,7 +21,7 @@ from .common import small_batches, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Chunks whose encoding a worker remembers; beyond that, those of the texts at hand alone.
-CACHE = 250_000
+CACHE = 125_000
 #: Characters of text that are split into chunks at a time.
 STEP = 1 << 20
 
