@@ -130,6 +130,25 @@ def test_bounds_skip_far_cells(spark):
     assert got == want
 
 
+def test_bounds_leave_out_rows_of_the_own_id(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    centres = np.eye(8)[:4] * 40
+    vecs = [(i, (centres[i % 4] + r.normal(size=8) * 0.01).tolist()) for i in range(200)]
+    ids = spark.range(990, 1190).select("id", F.xxhash64("id").alias("h")).collect()
+    drawn = sorted(x.h for x in spark.range(200).select(F.xxhash64("id").alias("h")).collect())
+    many = next(x.id for x in ids if drawn[8] < x.h < drawn[14])  # some of the pivots are its rows, some are others
+    vecs += [(many, [0.0] * 7 + [90.0])] * 30
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(topk, "CELL_ROWS", 10)
+    got = sorted(map(tuple, topk.top_k(df, df.filter(F.col("vec_id").isin(1, many))).collect()))
+    x = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in vecs]
+    want = []
+    for q, a in dict(x).items():
+        if q in (1, many):
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(sorted((-int(a @ v), i) for i, v in x if i != q)[:20])]
+    assert got == sorted(want) and len(got) == 40
+
+
 def test_url_rules(spark):
     urls = [
         None, "", "no scheme.org/en/", "http://org/x", "HTTP://A.Example.ORG/es/1?x#y", "http://example.org", "http://example.org/en/12", "http://notexample.org/en/1",

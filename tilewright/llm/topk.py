@@ -78,8 +78,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     blocks); each block is summed up by its size and the largest distance from its pivot.
     A query's score with a row of a block is at most <query, pivot> + |query| * radius
     and at least the same with a minus, so the sizes of the blocks of the best lower
-    bounds give each query a score that its k-th result has at least. Blocks whose upper
-    bound is below that are not visited. Queries are grouped by their own nearest pivot;
+    bounds give each query a score that its k-th result has at least; rows of the query's
+    own id fill no place there, however often it repeats. Blocks whose upper bound is
+    below that are not visited. Queries are grouped by their own nearest pivot;
     a block is copied to those groups alone that have a query to visit it.
     """
     spark = vectors.sparkSession
@@ -117,6 +118,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     blocks = data.groupBy("block.cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).orderBy("cell").toPandas()
     centre, count, radius = pivots[blocks.cell.to_numpy()], blocks.n.to_numpy(np.int64), blocks.far.to_numpy() * (1 + 1e-9) + 1e-6
     cells = blocks.cell.to_numpy(np.int32)
+    repeats = data.groupBy("vec_id").agg(F.count("*").alias("own")).filter("own > 1")
+    asks = asks.join(repeats, "vec_id", "left").select("vec_id", "v", F.coalesce("own", F.lit(1)).alias("own"))
     n_asks = asks.count()
     ask_pieces = int(max(1, -(-n_asks // QUERY_ROWS)))
 
@@ -129,10 +132,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
                 mid, slack = q @ centre.T, np.linalg.norm(q, axis=1)[:, None] * radius[None]
                 low = mid - slack
                 order = np.argsort(-low, axis=1)
-                reach = np.argmax(np.cumsum(count[order], axis=1) > k, axis=1)  # one of them may be the query itself
+                need = k + g.own.to_numpy(np.int64)  # any of the rows of the query's own id may be among them
+                reach = np.argmax(np.cumsum(count[order], axis=1) >= need[:, None], axis=1)
                 least = np.take_along_axis(np.take_along_axis(low, order, 1), reach[:, None], 1)
-                if count.sum() <= k:
-                    least[:] = -np.inf
+                least[count.sum() < need] = -np.inf
                 wanted = mid + slack + 1e-6 * (1 + np.abs(mid)) >= least
                 lists = [cells[w] for w in wanted]
                 yield pd.DataFrame({"vec_id": g.vec_id, "v": [r.astype("<i8").tobytes() for r in q], "home": cell.astype(np.int32), "cells": lists})
