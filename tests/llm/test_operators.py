@@ -149,6 +149,18 @@ def test_bounds_leave_out_rows_of_the_own_id(spark, monkeypatch):
     assert got == sorted(want) and len(got) == 40
 
 
+def test_query_groups_are_bounded(spark, monkeypatch):
+    first, cuts = topk.query_groups(np.array([10, 3 * topk.QUERY_ROWS + 1, 0, 20, topk.QUERY_ROWS, 5]))
+    assert cuts.tolist() == [1, 4, 1, 1, 1, 1] and first.tolist() == [0, 1, 4, 5, 6, 7]  # a home without queries may have any
+    monkeypatch.setattr(topk, "QUERY_ROWS", 7)
+    monkeypatch.setattr(topk, "CELL_ROWS", 20)
+    r = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, (r.normal(size=4) * 0.01 + (1 if i % 3 else 5)).tolist()) for i in range(200)], "vec_id long, embedding array<double>")
+    few = sorted(map(tuple, topk.top_k(df, df).collect()))
+    monkeypatch.setattr(topk, "QUERY_ROWS", 4096)
+    assert len(few) == 4000 and few == sorted(map(tuple, topk.top_k(df, df).collect()))
+
+
 def test_url_rules(spark):
     urls = [
         None, "", "no scheme.org/en/", "http://org/x", "HTTP://A.Example.ORG/es/1?x#y", "http://example.org", "http://example.org/en/12", "http://notexample.org/en/1",

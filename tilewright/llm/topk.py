@@ -64,6 +64,23 @@ def _best(q: np.ndarray, x: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int
     return join(rows), join(cols), join(scores)
 
 
+def query_groups(asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First query group of each home and the number of groups that it is cut into by hash, from its number of queries.
+
+    Neighbouring homes share a group of at most QUERY_ROWS queries; a home with more has groups of its own.
+    """
+    cuts = np.maximum(1, -(-asked // QUERY_ROWS))
+    first, at, room = np.zeros(len(asked), np.int64), -1, 0
+    for home, n in enumerate(asked.tolist()):
+        if cuts[home] > 1:
+            first[home], at, room = at + 1, at + int(cuts[home]), 0
+            continue
+        if n > room or at < 0:
+            at, room = at + 1, QUERY_ROWS
+        first[home], room = at, room - n
+    return first, cuts
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its k highest integer inner products with other rows, ties to smaller ids.
 
@@ -120,8 +137,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     cells = blocks.cell.to_numpy(np.int32)
     repeats = data.groupBy("vec_id").agg(F.count("*").alias("own")).filter("own > 1")
     asks = asks.join(repeats, "vec_id", "left").select("vec_id", "v", F.coalesce("own", F.lit(1)).alias("own"))
-    n_asks = asks.count()
-    ask_pieces = int(max(1, -(-n_asks // QUERY_ROWS)))
 
     def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -140,10 +155,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
                 lists = [cells[w] for w in wanted]
                 yield pd.DataFrame({"vec_id": g.vec_id, "v": [r.astype("<i8").tobytes() for r in q], "home": cell.astype(np.int32), "cells": lists})
 
-    asks = asks.mapInPandas(visit, "vec_id long, v binary, home int, cells array<int>")
-    # neighbouring homes share a query block; a home with very many queries is cut by hash
-    group = F.pmod(F.col("home") * F.lit(max(1, ask_pieces // m)) + F.pmod(F.xxhash64("vec_id"), F.lit(max(1, ask_pieces // m))), F.lit(ask_pieces)).cast("int")
-    asks = cut(asks.withColumn("asks", group).repartition(parts))
+    asks = cut(asks.mapInPandas(visit, "vec_id long, v binary, home int, cells array<int>").repartition(parts))
+    homes = asks.groupBy("home").agg(F.count("*").alias("n")).toPandas()
+    asked = np.zeros(m, np.int64)
+    asked[homes.home.to_numpy()] = homes.n.to_numpy()
+    group, cuts = query_groups(asked)
+    at = F.element_at(F.array(*[F.lit(int(g)) for g in group]), F.col("home") + 1)
+    of = F.element_at(F.array(*[F.lit(int(c)) for c in cuts]), F.col("home") + 1)
+    asks = asks.withColumn("asks", (at + F.pmod(F.xxhash64("vec_id"), of)).cast("int"))
     sent = asks.select("asks", "vec_id", "v", F.explode("cells").alias("cell"))
     pieces_of = F.element_at(split, F.col("cell") + 1)
     sent = sent.select("asks", "vec_id", "v", "cell", F.explode(F.sequence(F.lit(0).cast("int"), (pieces_of - 1).cast("int"))).alias("piece"))
