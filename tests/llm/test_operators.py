@@ -264,6 +264,28 @@ def test_lines_brute(spark):
     assert got == want and near
 
 
+def test_whole_lines_brute(spark, tmp_path):
+    r = random.Random(9)
+    pool = [r.choices("abcdefgh", k=r.randint(1, 13)) for _ in range(90)]
+    for _ in range(150):
+        w = list(r.choice(pool))
+        i = r.randrange(len(w))
+        w[i : i + r.randint(0, 1)] = r.choice([[], ["z"], [w[i]], ["q"]])
+        pool.append(w)
+    rows = [(i, "\n".join(" ".join(r.choice(pool)) for _ in range(3))) for i in range(120)] + [(200, "All rights reserved.\n\n "), (201, "All rights reserved.\n\n ")]
+    at = [(i, k, tuple(x.split())) for i, t in rows for k, x in enumerate(t.split("\n")) if x.split()]
+    first = {}
+    for i, k, w in at:
+        first.setdefault(w, (i, k))
+    near = {w for w in first if len(w) >= 5 and any(len(o) >= 4 and first[o] < first[w] and lines.within_one(list(o), list(w)) for o in first)}
+    want = {(i, k, "copy" if first[w] != (i, k) else "near") for i, k, w in at if first[w] != (i, k) or w in near}
+    assert {len(w) for w in near} >= {5, 9, 10} and (201, 0, "copy") in want
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {(x.doc_id, x.line, x.kind) for x in lines.duplicate_lines(docs(spark, rows), **lines.WHOLE).collect()} == want
+    got = {x.doc_id: x.n_copies + x.n_near for x in lines.op9_lines(spark, str(tmp_path)).collect()}
+    assert got == {i: sum(d == i for d, _, _ in want) for i, _ in rows}
+
+
 def test_within_one():
     def distance(a, b):
         row = list(range(len(b) + 1))

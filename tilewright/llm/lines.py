@@ -14,9 +14,13 @@ from pyspark.sql import functions as F
 
 from .common import cut, small_batches, strings_of, table
 
-#: Shorter lines are too common to count as duplicates. Near duplicates are sought from
-#: NEAR_WORDS words on, where one edit leaves nine words of ten.
+#: duplicate_lines' own bounds: equal lines count from MIN_WORDS words on, near ones from NEAR_WORDS.
 MIN_WORDS, NEAR_WORDS = 5, 10
+#: What op9 and the pipeline compare: equal lines of any length, lines of MIN_WORDS words or more
+#: by edits, with partners one word shorter as well.
+WHOLE = {"min_words": 1, "near_words": MIN_WORDS, "partner_words": MIN_WORDS - 1}
+#: Lines of fewer words pass to the second pass unfiltered: they have few variants, and their halves are too common.
+SHORT = 10
 #: Bits of the filter that spares most lines the second pass; a fixed size, so a fuller filter only spares fewer.
 MAX_FILTER_BITS = 1 << 28
 #: Lines that a task remembers so as to emit them once.
@@ -92,11 +96,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, dkey, line, h) of the lines that may be duplicates."""
+    """(doc_id, dkey, line, h, short) of the lines that may be duplicates; short is their number of words, SHORT at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, line, h = array("q"), array("i"), array("q")
+            at, line, h, short = array("q"), array("i"), array("q"), array("b")
             for i, text in enumerate(strings_of(batch.column(2))):
                 for k, x in enumerate(text.split("\n")):
                     words = line_words(x)
@@ -104,13 +108,14 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
                         at.append(i)
                         line.append(k)
                         h.append(_h(b" ".join(words)))
+                        short.append(min(len(words), SHORT))
             at = pa.array(np.frombuffer(at, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.frombuffer(line, np.int32)), pa.array(np.frombuffer(h, np.int64))],
-                ["doc_id", "dkey", "line", "h"],
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.frombuffer(line, np.int32)), pa.array(np.frombuffer(h, np.int64)), pa.array(np.frombuffer(short, np.int8))],
+                ["doc_id", "dkey", "line", "h", "short"],
             )
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, dkey long, line int, h long")
+    return _keyed(docs).mapInArrow(run, "doc_id long, dkey long, line int, h long, short byte")
 
 
 def _half_rows(docs: DataFrame, near_words: int) -> DataFrame:
@@ -174,8 +179,8 @@ def _filter_of(hs: DataFrame) -> tuple[np.ndarray, int]:
     return found, bits - 1
 
 
-def _near(docs: DataFrame, unique: DataFrame, candidates: DataFrame, near_words: int) -> DataFrame:
-    """(h): distinct lines that have an earlier line within one edit of a word, after verification."""
+def _near(docs: DataFrame, unique: DataFrame, candidates: DataFrame, near_words: int, partner_words: int) -> DataFrame:
+    """(h): distinct lines of near_words that have an earlier line of partner_words within one edit of a word, after verification."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(_filter_of(candidates))
 
@@ -186,7 +191,7 @@ def _near(docs: DataFrame, unique: DataFrame, candidates: DataFrame, near_words:
             for text in strings_of(batch.column(0)):
                 for x in (text or "").split("\n"):
                     words = line_words(x)
-                    if len(words) >= near_words:
+                    if len(words) >= partner_words:
                         h = _h(b" ".join(words))
                         bit = h & mask
                         if bits[bit // 63] >> (bit % 63) & 1:
@@ -221,47 +226,57 @@ def _near(docs: DataFrame, unique: DataFrame, candidates: DataFrame, near_words:
         return pd.Series([within_one(x.encode().split(), y.encode().split()) for x, y in zip(a, b, strict=True)])
 
     a, b = lines.select("h", F.col("words").alias("a")), lines.select(F.col("h").alias("by"), F.col("words").alias("b"))
-    return pairs.join(a, "h").join(b, "by").filter(close("a", "b")).select("h").distinct()
+    return pairs.join(a.filter(F.size(F.split("a", " ")) >= near_words), "h").join(b, "by").filter(close("a", "b")).select("h").distinct()
 
 
-def duplicate_lines(docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
+def duplicate_lines(
+    docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, partner_words: int | None = None
+) -> DataFrame:
     """(doc_id, text) -> (dkey, doc_id, line, kind): the lines that go; line counts from 0, dkey is xxhash64(doc_id, text).
 
     Lines are cut at \\n and compared by their words (runs of anything but ASCII white
     space). Of equal lines of at least min_words words, the earliest stays, by doc_id
     (null last), line and dkey; kind "copy". With max_edits 1, a line of at least
-    near_words words also goes if an earlier line differs from it by one word inserted,
-    deleted or replaced, whether or not that line stays itself; kind "near". Documents
-    that agree in id and text keep or lose the same lines.
+    near_words words also goes if an earlier line of at least partner_words (near_words,
+    if None; min_words at least) differs from it by one word inserted, deleted or
+    replaced, whether or not that line stays itself; kind "near". More than one edit is
+    refused. Documents that agree in id and text keep or lose the same lines.
 
     Each distinct line emits the hashes of all its variants under one deletion; equal
     variants meet, and each group passes on its earliest line, not its pairs. Before
-    that, lines that share neither half with another line are left out, as nothing can
-    be within one edit of them.
+    that, lines of SHORT words or more that share neither half with another line are left
+    out, as nothing can be within one edit of them.
     """
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     small_batches(docs.sparkSession)
     lines = _lines(docs, min_words)
-    first = lines.select("h", _order().alias("o")).groupBy("h").agg(F.min("o").alias("first"))
+    first = lines.select("h", "short", _order().alias("o")).groupBy("h").agg(F.min("o").alias("first"), F.max("short").alias("short"))
     if max_edits:
         first = cut(first)
-        near = cut(_near(docs, first, cut(_candidates(_half_rows(docs, near_words))), near_words))
-        known = first.join(near.withColumn("near", F.lit(True)), "h", "left")
+        partner_words = max(min_words, min(near_words, near_words if partner_words is None else partner_words))
+        # a line of SHORT words may be near one of a word less, which needs its halves then
+        found = _candidates(_half_rows(docs, max(partner_words, SHORT - 1)))
+        if partner_words < SHORT:
+            found = found.unionByName(first.filter((F.col("short") < SHORT) & (F.col("short") >= partner_words)).select("h")).distinct()
+        near = cut(_near(docs, first, cut(found), near_words, partner_words))
+        known = first.drop("short").join(near.withColumn("near", F.lit(True)), "h", "left")
     else:
-        known = first.withColumn("near", F.lit(False))
+        known = first.drop("short").withColumn("near", F.lit(False))
     judged = lines.join(known, "h")
     kind = F.when(_order() != F.col("first"), F.lit("copy")).when(F.col("near"), F.lit("near"))
     return judged.withColumn("kind", kind).filter("kind IS NOT NULL").select("dkey", "doc_id", "line", "kind").distinct()
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, partner_words: int | None = None
+) -> DataFrame:
     """docs with `text` rid of duplicate lines, and three more columns: n_lines, n_copies and n_near (lines that went).
 
     All rows and columns of docs stay; a null text stays null and has no lines. See
     duplicate_lines for what goes.
     """
-    gone = duplicate_lines(docs, max_edits, min_words, near_words)
+    gone = duplicate_lines(docs, max_edits, min_words, near_words, partner_words)
     gone = gone.groupBy(F.col("dkey").alias("_d")).agg(
         F.collect_set("line").alias("_gone"),
         F.sum((F.col("kind") == "copy").cast("int")).alias("_copies"),
@@ -292,5 +307,5 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS,
 
 
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), **WHOLE)
     return found.select("doc_id", "n_lines", "n_copies", "n_near", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
