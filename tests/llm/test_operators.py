@@ -205,12 +205,31 @@ def test_bpe_equals_library(spark):
 
 
 def test_bpe_forgets_rightly(monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE", 5)
+    monkeypatch.setattr(bpe, "CHUNKS", 5)
+    monkeypatch.setattr(bpe, "WORDS", 5)
     b, tok = bpe.Bpe(bpe.VOCABULARY), Tokenizer.from_file(bpe.VOCABULARY)
     for t in BASE:
         assert b.encode([t])[0].tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_bpe_rows_and_late_letters(spark):
+    tok = Tokenizer.from_file(bpe.VOCABULARY)
+    late = "".join(map(chr, bpe.LATE_LOWER)) + "a\U00010940b \u0558\U0003d000 Z\ua7ce1"
+    rows = [(None, "a b"), (None, None), (3, "twice"), (3, "twice"), (4, late), (5, late + " <|endoftext|>" + late)]
+    got = bpe.encode(docs(spark, rows).withColumn("n_tokens", F.lit(1)).withColumn("ids", F.lit("x")))
+    assert got.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    want = sorted((str(i), tok.encode(t or "", add_special_tokens=False).ids) for i, t in rows)
+    assert sorted((str(r.doc_id), r.ids) for r in got.collect()) == want
+
+
+def test_bpe_merges_many_words_at_once():
+    b, tok = bpe.Bpe(bpe.VOCABULARY), Tokenizer.from_file(bpe.VOCABULARY)
+    r = random.Random(1)
+    words = list({"".join(r.choices(["th", "he", "a", "aa", "an", "ion", "z", "é"], k=r.randint(1, 9))) for _ in range(3000)})
+    assert [np.frombuffer(x, np.int32).tolist() for x in b.encode_words(words)] == [tok.encode(w, add_special_tokens=False).ids for w in words]
+    assert b.encode_words([]) == []
+
+
 def test_quality(spark):
     r = random.Random(3)
     good = [(i, " ".join(r.choices(VOCAB, k=80)) + ".") for i in range(240)]
