@@ -255,7 +255,7 @@ def test_lines(spark):
     rows = [(1, f"{line}\nshort one\n"), (2, f"{near}\nshort one\nkeep this"), (3, f"{line}\n{longer}"), (4, shorter), (5, f"a b c d e\n\n{line}"), (6, "a b c d e"), (7, None), (8, ""), (None, line), (9, line), (9, line)]
     got = {(r.doc_id, r.text): (r.n_lines, r.n_copies, r.n_near) for r in lines.dedup_lines(docs(spark, rows)).collect()}
     assert got == {
-        (1, f"{line}\nshort one\n"): (3, 0, 0), (2, "short one\nkeep this"): (3, 0, 1), (3, ""): (2, 1, 1), (4, ""): (1, 0, 1), (5, "a b c d e\n"): (3, 1, 0), (6, ""): (1, 1, 0), (7, None): (0, 0, 0), (8, ""): (1, 0, 0),
+        (1, f"{line}\nshort one\n"): (3, 0, 0), (2, "keep this"): (3, 1, 1), (3, ""): (2, 1, 1), (4, ""): (1, 0, 1), (5, "a b c d e\n"): (3, 1, 0), (6, ""): (1, 1, 0), (7, None): (0, 0, 0), (8, ""): (1, 0, 0),
         (None, ""): (1, 1, 0), (9, ""): (1, 1, 0),
     }
     assert lines.dedup_lines(docs(spark, [])).count() == 0
@@ -263,46 +263,46 @@ def test_lines(spark):
     assert set(exact.values()) == {0}
 
 
-def test_lines_brute(spark):
-    r = random.Random(4)
-    pool = [r.choices("abcdefgh", k=r.randint(10, 13)) for _ in range(60)]
-    for _ in range(150):
-        w = list(r.choice(pool))
-        i = r.randrange(len(w))
-        w[i : i + r.randint(0, 1)] = r.choice([[], ["z"], [w[i]], ["q"]])
-        pool.append(w)
-    rows = [(i, "\n".join(" ".join(r.choice(pool)) for _ in range(3))) for i in range(120)]
-    at = [(i, k, tuple(x.split())) for i, t in rows for k, x in enumerate(t.split("\n")) if len(x.split()) >= 5]
-    first = {}
-    for i, k, w in at:
-        first.setdefault(w, (i, k))
-    long_ = [w for w in first if len(w) >= 10]
-    near = {w for w in long_ if any(first[o] < first[w] and lines.within_one(list(o), list(w)) for o in long_)}
-    want = {(i, k, "copy" if first[w] != (i, k) else "near") for i, k, w in at if first[w] != (i, k) or w in near}
-    got = {(x.doc_id, x.line, x.kind) for x in lines.duplicate_lines(docs(spark, rows)).collect()}
-    assert got == want and near
-
-
-def test_whole_lines_brute(spark, tmp_path):
-    r = random.Random(9)
+def lines_that_go(rows, min_words, near_words):
+    """{(row, line, kind)} by comparing all pairs of lines, as the docstring of duplicate_lines has it."""
+    at = [(i, k, tuple(x.encode().split())) for i, (_, t) in enumerate(rows) for k, x in enumerate((t or "").split("\n"))]
+    order = lambda x: (rows[x[0]][0] is None, rows[x[0]][0] or 0, x[1])
+    at = sorted((x for x in at if len(x[2]) >= min_words), key=order)
+    found = set()
+    for n, x in enumerate(at):
+        earlier = [y for y in at[:n] if order(y) < order(x)]
+        if any(y[2] == x[2] for y in earlier):
+            found.add((*x[:2], "copy"))
+        elif len(x[2]) >= near_words and any(len(y[2]) >= near_words - 1 and lines.within_one(list(y[2]), list(x[2])) for y in earlier):
+            found.add((*x[:2], "near"))
+    return found
+
+
+@pytest.mark.parametrize("min_words, near_words, together", [(1, 5, 4096), (5, 10, 4096), (1, 5, 3), (3, 12, 50)])
+def test_lines_brute(spark, tmp_path, monkeypatch, min_words, near_words, together):
+    monkeypatch.setattr(lines, "TOGETHER", together)
+    r = random.Random(min_words + together)
     pool = [r.choices("abcdefgh", k=r.randint(1, 13)) for _ in range(90)]
     for _ in range(150):
         w = list(r.choice(pool))
-        i = r.randrange(len(w))
-        w[i : i + r.randint(0, 1)] = r.choice([[], ["z"], [w[i]], ["q"]])
+        i = r.randrange(len(w) or 1)
+        w[i : i + r.randint(0, 1)] = r.choice([[], ["z"], w[i : i + 1], ["q"]])
         pool.append(w)
-    rows = [(i, "\n".join(" ".join(r.choice(pool)) for _ in range(3))) for i in range(120)] + [(200, "All rights reserved.\n\n "), (201, "All rights reserved.\n\n ")]
-    at = [(i, k, tuple(x.split())) for i, t in rows for k, x in enumerate(t.split("\n")) if x.split()]
-    first = {}
-    for i, k, w in at:
-        first.setdefault(w, (i, k))
-    near = {w for w in first if len(w) >= 5 and any(len(o) >= 4 and first[o] < first[w] and lines.within_one(list(o), list(w)) for o in first)}
-    want = {(i, k, "copy" if first[w] != (i, k) else "near") for i, k, w in at if first[w] != (i, k) or w in near}
-    assert {len(w) for w in near} >= {5, 9, 10} and (201, 0, "copy") in want
-    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
-    assert {(x.doc_id, x.line, x.kind) for x in lines.duplicate_lines(docs(spark, rows), **lines.WHOLE).collect()} == want
-    got = {x.doc_id: x.n_copies + x.n_near for x in lines.op9_lines(spark, str(tmp_path)).collect()}
-    assert got == {i: sum(d == i for d, _, _ in want) for i, _ in rows}
+    pool += [[*"abcdef", f"n{i}", *"hijk"] for i in range(60)]  # lines that all share a variant
+    long_ = r.choices(VOCAB, k=9000)
+    texts = ["\n".join(" ".join(r.choice(pool)) for _ in range(3)) for _ in range(120)]
+    texts += ["All rights reserved.\n\n ", "All rights reserved.\n\n ", " ".join(long_), " ".join([*long_[:4000], *long_[4001:]]), None, ""]
+    rows = [(None if i == 7 else i if i != 9 else 10, t) for i, t in enumerate(texts)]
+    want = lines_that_go(rows, min_words, near_words)
+    assert {len(texts[i].split("\n")[k].split()) for i, k, kind in want if kind == "near"} >= {near_words, 8999}
+    d = docs(spark, rows)
+    keys = {x.k: x.n for x in d.select(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("k"), F.expr("struct(doc_id, text)").alias("n")).collect()}
+    got = {(rows.index(tuple(keys[x.dkey])), x.line, x.kind) for x in lines.duplicate_lines(d, 1, min_words, near_words).collect()}
+    assert got == want
+    if (min_words, near_words) == (1, 5):
+        d.write.parquet(f"{tmp_path}/documents.parquet")
+        counts = sorted((str(x.doc_id), x.n_copies, x.n_near) for x in lines.op9_lines(spark, str(tmp_path)).collect())
+        assert counts == sorted((str(i), *(sum(n == m and k == kind for m, _, k in want) for kind in ("copy", "near"))) for n, (i, _) in enumerate(rows))
 
 
 def test_within_one():

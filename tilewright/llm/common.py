@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,18 +15,23 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Most bytes of an Arrow batch of texts, whatever their lengths (one row at least).
 BATCH = "8m"
+#: Bits of a filter of hashes; a fixed size, so a fuller filter only spares fewer.
+MAX_FILTER_BITS = 1 << 28
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 
-    Only where that is unset (tests, a laptop) a temporary folder is made and set.
+    Only where that is unset and the driver is the only machine (tests, a laptop), a
+    temporary folder is made and set.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if named is None:
         named = sc.getCheckpointDir() if sc._jsc.sc().getCheckpointDir().isDefined() else None
     if named is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="tilewright-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(named)
@@ -37,6 +44,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: computed once, and its lineage cut."""
+    folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def filter_of(hs: DataFrame) -> tuple[np.ndarray, int]:
+    """63 bits to a word, one for each h & mask of hs (h); and the mask. No h is missed, and few others pass."""
+    n = hs.count()
+    bits = int(min(MAX_FILTER_BITS, max(1 << 16, 1 << int(np.ceil(np.log2(16 * n + 1))))))
+    words = hs.select(F.expr(f"h & {bits - 1}L").alias("bit")).groupBy(F.expr("bit div 63").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 63 as int))")).alias("b"))
+    found = np.zeros(bits // 63 + 1, np.int64)
+    got = words.toPandas()
+    found[got.w.to_numpy()] = got.b.to_numpy()
+    return found, bits - 1
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bounds the Arrow batches that tasks exchange with Python, unless the session names a bound of its own."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -9,23 +9,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, strings_of, table
+from .common import filter_of, small_batches, strings_of, table, written
 
-#: duplicate_lines' own bounds: equal lines count from MIN_WORDS words on, near ones from NEAR_WORDS.
-MIN_WORDS, NEAR_WORDS = 5, 10
-#: What op9 and the pipeline compare: equal lines of any length, lines of MIN_WORDS words or more
-#: by edits, with partners one word shorter as well.
-WHOLE = {"min_words": 1, "near_words": MIN_WORDS, "partner_words": MIN_WORDS - 1}
-#: Lines of fewer words pass to the second pass unfiltered: they have few variants, and their halves are too common.
+#: Equal lines count from MIN_WORDS words on; lines of NEAR_WORDS or more also by edits, with partners one word shorter.
+MIN_WORDS, NEAR_WORDS = 1, 5
+#: Lines of fewer words have few variants and halves that are too common, so they aren't filtered by halves.
 SHORT = 10
-#: Bits of the filter that spares most lines the second pass; a fixed size, so a fuller filter only spares fewer.
-MAX_FILTER_BITS = 1 << 28
-#: Lines that a task remembers so as to emit them once.
-REMEMBERED = 300_000
-_ORDER = "struct<no_id: boolean, doc_id: bigint, line: int, dkey: bigint>"
+#: Distinct lines whose variants meet in a task before they are sent on.
+TOGETHER = 4096
 
 
 def _h(data: bytes, seed: int = 0) -> int:
@@ -37,40 +31,33 @@ def line_words(line: str) -> list[bytes]:
     return line.encode("utf-8", "replace").split()
 
 
-def half_keys(joined: bytes, words: list[bytes]) -> list[int]:
-    """Two lines within one edit of a word share one of these: for the smaller length of the two,
-    either the words before its middle or those from its middle on are in both."""
+def half_keys(words: list[bytes]) -> list[int]:
+    """Two lines within one edit of a word share one of these.
+
+    For the smaller length t of the two, either the first or the last half of t words
+    (cut to an even number) is in both; a line serves as the shorter and the longer one.
+    """
     m = len(words)
     keys = []
-    for t in (m, m - 1):
-        p, q = t // 2, m - (t - t // 2)
-        a = sum(map(len, words[:p])) + p
-        b = a if q == p else a + len(words[p]) + 1
-        keys += [_h(joined[:a], 2 * t), _h(joined[b:], 2 * t + 1)]
+    for p in {m // 4 * 2, (m - 1) // 4 * 2}:
+        keys += [_h(b" ".join(words[:p]), 2 * p), _h(b" ".join(words[m - p :]), 2 * p + 1)]
     return keys
 
 
 def variants(words: list[bytes]) -> list[tuple[int, int]]:
-    """(key, side) of the line and of all lines that one deletion makes of it.
+    """(key, place) of the line itself, place -1, and of all lines that the deletion of a word makes of it.
 
-    A substitution leaves equal variants at the same place, so that key holds the place;
-    side 0. An insertion makes the variant of one line the other line itself: side 1 for
-    the whole line, side 2 for variants under the same key.
+    Lines that share a key and a place differ in the word at that place alone; a line
+    that shares its own key with a deletion of another is that line without a word.
     """
     joined = b" ".join(words)
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    end = (np.cumsum(size + 1) - 1).tolist()
-    found = [(_h(joined), 1)]
-    seen = set()
-    n = len(words)
-    for p in range(n):
-        start = end[p] - len(words[p])
-        rest = joined[:start] + joined[end[p] + 1 :] if p < n - 1 else joined[: start - 1]
-        found.append((_h(rest + b"|%d:%d" % (n, p)), 0))
-        key = _h(rest)
-        if key not in seen:
-            seen.add(key)
-            found.append((key, 2))
+    found = [(_h(joined), -1)]
+    start = 0
+    for p, w in enumerate(words):
+        stop = start + len(w)
+        rest = joined[:start] + joined[stop + 1 :] if p < len(words) - 1 else joined[: start - 1] if p else b""
+        found.append((_h(rest), p))
+        start = stop + 1
     return found
 
 
@@ -86,21 +73,35 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
     return a[p:] == b[p + 1 :] or a[p + 1 :] == b[p + 1 :] if p < len(b) else True
 
 
-def _order() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "dkey")
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", text).alias("dkey"), text.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("dkey"), text.alias("text"))
+
+
+#: The order of lines: by document id, null last, line and a hash of the document.
+_EARLIER = ("no_id", "doc_id", "line", "dkey")
+
+
+def _first_of(group: np.ndarray, batch: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows by group and order, and for each of them whether it begins a group."""
+    by = np.lexsort((batch["dkey"], batch["line"], batch["doc_id"], batch["no_id"], group))
+    return by, np.r_[True, group[by][1:] != group[by][:-1]] if len(by) else np.zeros(0, bool)
+
 
+def _ids(column: pa.Array) -> dict[str, np.ndarray]:
+    return {"no_id": column.is_null().to_numpy(zero_copy_only=False), "doc_id": column.fill_null(0).to_numpy()}
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, dkey, line, h, short) of the lines that may be duplicates; short is their number of words, SHORT at most."""
+
+def _lines(docs: DataFrame, min_words: int, halves_from: int) -> DataFrame:
+    """(h, doc_id, dkey, line, gone, halves) of the lines that may be duplicates.
+
+    Of the equal lines of a batch only the earliest goes on; the others have an earlier
+    one for certain and are gone.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, line, h, short = array("q"), array("i"), array("q"), array("b")
+            at, line, h, halves, sizes = array("q"), array("i"), array("q"), array("q"), array("i")
             for i, text in enumerate(strings_of(batch.column(2))):
                 for k, x in enumerate(text.split("\n")):
                     words = line_words(x)
@@ -108,38 +109,34 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
                         at.append(i)
                         line.append(k)
                         h.append(_h(b" ".join(words)))
-                        short.append(min(len(words), SHORT))
-            at = pa.array(np.frombuffer(at, np.int64))
+                        keys = half_keys(words) if len(words) >= halves_from else ()
+                        halves.extend(keys)
+                        sizes.append(len(keys))
+            rows = np.frombuffer(at, np.int64)
+            ids = _ids(batch.column(0))
+            each = {c: v[rows] for c, v in ids.items()} | {"dkey": batch.column(1).to_numpy()[rows], "line": np.frombuffer(line, np.int32)}
+            h = np.frombuffer(h, np.int64)
+            by, first = _first_of(h, each)
+            head = by[np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))]
+            # rows that agree with the first in id, text and line are that row again
+            again = ~first & (each["dkey"][by] == each["dkey"][head]) & (each["line"][by] == each["line"][head]) & (each["doc_id"][by] == each["doc_id"][head])
+            gone = np.zeros(len(by), bool)
+            gone[by] = ~first
+            keep = np.ones(len(by), bool)
+            keep[by[again]] = False
+            keep = np.flatnonzero(keep)
+            sizes = np.frombuffer(sizes, np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(np.frombuffer(halves, np.int64)))
+            lists = pa.compute.if_else(pa.array(gone), pa.scalar(None, lists.type), lists)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.frombuffer(line, np.int32)), pa.array(np.frombuffer(h, np.int64)), pa.array(np.frombuffer(short, np.int8))],
-                ["doc_id", "dkey", "line", "h", "short"],
+                [pa.array(h[keep]), batch.column(0).take(pa.array(rows[keep])), pa.array(each["dkey"][keep]), pa.array(each["line"][keep]), pa.array(gone[keep]), lists.take(pa.array(keep))],
+                ["h", "doc_id", "dkey", "line", "gone", "halves"],
             )
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, dkey long, line int, h long, short byte")
-
-
-def _half_rows(docs: DataFrame, near_words: int) -> DataFrame:
-    """(key, h) rows of all lines long enough; equal rows of a task are made once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
-        for batch in batches:
-            key, hs = array("q"), array("q")
-            if len(done) > REMEMBERED:
-                done.clear()
-            for text in strings_of(batch.column(0)):
-                for x in (text or "").split("\n"):
-                    words = line_words(x)
-                    if len(words) >= near_words and (h := _h(joined := b" ".join(words))) not in done:
-                        done.add(h)
-                        key.extend(half_keys(joined, words))
-                        hs.append(h)
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(key, np.int64)), pa.array(np.frombuffer(hs, np.int64).repeat(4))], ["key", "h"])
-
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, h long")
+    return _keyed(docs).mapInArrow(run, "h long, doc_id long, dkey long, line int, gone boolean, halves array<long>")
 
 
-def _candidates(halves: DataFrame) -> DataFrame:
+def _shared_halves(lines: DataFrame) -> DataFrame:
     """(h): lines that share a half with another line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,149 +160,205 @@ def _candidates(halves: DataFrame) -> DataFrame:
             last_key, last_h = key[-1], h[-1]
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(found))], ["h"])
 
-    parts = int(halves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = halves.repartition(parts, "key").sortWithinPartitions("key", "h").mapInArrow(run, "h long")
-    return runs.distinct()
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    halves = lines.filter("NOT gone").select(F.explode("halves").alias("key"), "h")
+    return halves.repartition(parts, "key").sortWithinPartitions("key", "h").mapInArrow(run, "h long").distinct()
 
 
-def _filter_of(hs: DataFrame) -> tuple[np.ndarray, int]:
-    """63 bits to a word, one for each h & mask; and the mask. No line of hs is missed, and few others pass."""
-    n = hs.count()
-    bits = int(min(MAX_FILTER_BITS, max(1 << 16, 1 << int(np.ceil(np.log2(16 * n + 1))))))
-    words = hs.select(F.expr(f"h & {bits - 1}L").alias("bit")).groupBy(F.expr("bit div 63").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 63 as int))")).alias("b"))
-    found = np.zeros(bits // 63 + 1, np.int64)
-    got = words.toPandas()
-    found[got.w.to_numpy()] = got.b.to_numpy()
-    return found, bits - 1
+def _sorted(rows: DataFrame, *by: str) -> DataFrame:
+    """rows dealt out by the first column of `by` and sorted by all, then in order of the lines."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, by[0]).sortWithinPartitions(*by, F.asc_nulls_last("doc_id"), "line", "dkey")
 
 
-def _near(docs: DataFrame, unique: DataFrame, candidates: DataFrame, near_words: int, partner_words: int) -> DataFrame:
-    """(h): distinct lines of near_words that have an earlier line of partner_words within one edit of a word, after verification."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(_filter_of(candidates))
+def _texts(docs: DataFrame, candidates: DataFrame, partner_words: int) -> DataFrame:
+    """(h, words, doc_id, dkey, line): the distinct lines that may be near others, each as its earliest."""
+    shared = docs.sparkSession.sparkContext.broadcast(filter_of(candidates))
+    names = ["h", "words", "doc_id", "dkey", "line"]
 
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, mask = shared.value
         for batch in batches:
-            found: dict[int, str] = {}
-            for text in strings_of(batch.column(0)):
-                for x in (text or "").split("\n"):
+            at, line, h, found = array("q"), array("i"), array("q"), []
+            for i, text in enumerate(strings_of(batch.column(2))):
+                for k, x in enumerate(text.split("\n")):
                     words = line_words(x)
                     if len(words) >= partner_words:
-                        h = _h(b" ".join(words))
-                        bit = h & mask
-                        if bits[bit // 63] >> (bit % 63) & 1:
-                            found[h] = b" ".join(words).decode()
-            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string())], ["h", "words"])
+                        joined = b" ".join(words)
+                        key = _h(joined)
+                        bit = key & mask
+                        if len(words) < SHORT or bits[bit // 63] >> (bit % 63) & 1:
+                            at.append(i)
+                            line.append(k)
+                            h.append(key)
+                            found.append(joined)
+            rows = np.frombuffer(at, np.int64)
+            each = {c: v[rows] for c, v in _ids(batch.column(0)).items()} | {"dkey": batch.column(1).to_numpy()[rows], "line": np.frombuffer(line, np.int32)}
+            h = np.frombuffer(h, np.int64)
+            by, first = _first_of(h, each)
+            keep = pa.array(by[first])
+            yield pa.RecordBatch.from_arrays([pa.array(h).take(keep), pa.array(found, pa.binary()).take(keep), batch.column(0).take(pa.array(rows)).take(keep), pa.array(each["dkey"]).take(keep), pa.array(each["line"]).take(keep)], names)
+
+    def earliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            h = batch.column(0).to_numpy()
+            if len(h):
+                first = np.r_[h[0] != last, h[1:] != h[:-1]]
+                last = h[-1]
+                yield batch.filter(pa.array(first))
+
+    schema = "h long, words binary, doc_id long, dkey long, line int"
+    return _sorted(_keyed(docs).mapInArrow(run, schema), "h").mapInArrow(earliest, schema)
+
 
-    lines = docs.select(F.col("text").cast("string")).mapInArrow(texts, "h long, words string").groupBy("h").agg(F.max("words").alias("words"))
-    lines = cut(lines.join(candidates, "h", "left_semi").join(unique.select("h", "first"), "h"))
+def _pairs(lines: DataFrame) -> DataFrame:
+    """(h, by) of distinct lines (h, words, doc_id, dkey, line): each line that has an earlier one within one edit, with such a one.
+
+    Lines that share a variant at one place are all near each other, so the earliest of
+    them stands for the rest; a line that is another's variant itself is near each line
+    that has that variant. Both need one row of state in a sorted sweep, however many
+    lines share a variant; the rows of a batch are reduced likewise before they are sent.
+    """
+    names = ["key", "place", "h", "doc_id", "dkey", "line", "by"]
+    schema = "key long, place int, h long, doc_id long, dkey long, line int, by long"
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(a, TOGETHER) for b in batches for a in range(0, b.num_rows, TOGETHER)):
+            found = [variants(w.split()) for w in batch.column("words").to_pylist()]
+            at = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            key = np.array([k for f in found for k, _ in f], np.int64)
+            place = np.array([p for f in found for _, p in f], np.int32)
+            h = batch.column("h").to_numpy()[at]
+            each = {c: v[at] for c, v in _ids(batch.column("doc_id")).items()} | {"dkey": batch.column("dkey").to_numpy()[at], "line": batch.column("line").to_numpy()[at]}
+            by = np.lexsort((each["dkey"], each["line"], each["doc_id"], each["no_id"], place, key))
+            key, place, h, at = key[by], place[by], h[by], at[by]
+            first = np.r_[True, (key[1:] != key[:-1]) | (place[1:] != place[:-1])] if len(key) else np.zeros(0, bool)
+            head = h[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))] if len(h) else h
+            # the others are near the first of their key and place, which is all there is to know of them
+            by = pa.array(head, mask=first)
+            key = np.where(first, key, h)
+            rest = [batch.column(c).take(pa.array(at)) for c in ("doc_id", "dkey", "line")]
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(place), pa.array(h), *rest, by], names)
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # of the current key: its own line's h and order, whether that is known to be near; of the current place: the first line
+        own_key = own = own_order = None
+        own_near = True
+        at_key = at_place = at_h = None
         for batch in batches:
-            for a in range(0, batch.num_rows, 2048):
-                part = batch.slice(a, 2048)
-                found = [variants(w.encode().split()) for w in part.column(2).to_pylist()]
-                at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-                key = pa.array([k for f in found for k, _ in f], pa.int64())
-                side = pa.array([s for f in found for _, s in f], pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), key, side], ["h", "first", "key", "side"])
-
-    emitted = lines.select("h", "first", "words").mapInArrow(emit, f"h long, first {_ORDER}, key long, side int")
-    place = emitted.filter("side = 0")
-    low = place.groupBy("key").agg(F.min(F.struct("first", "h")).alias("low"), F.count("*").alias("c")).filter("c > 1").select("key", "low")
-    pairs = place.join(low, "key").filter("h <> low.h").select("h", F.col("low.h").alias("by"))
-    whole = emitted.filter("side = 1").select("key", F.col("h").alias("wh"), F.col("first").alias("wf"))
-    other = emitted.filter("side = 2").join(whole, "key").filter("h <> wh")
-    pairs = pairs.unionByName(other.filter("wf < first").select("h", F.col("wh").alias("by")))
-    back = other.filter("first < wf").groupBy("wh").agg(F.min(F.struct("first", "h")).alias("low"))
-    pairs = pairs.unionByName(back.select(F.col("wh").alias("h"), F.col("low.h").alias("by"))).distinct()
+            near, because = [], []
+            cols = [batch.column(c).to_pylist() for c in names]
+            for key, place, h, doc, dkey, line, by in zip(*cols, strict=True):
+                if by is not None:
+                    near.append(h)
+                    because.append(by)
+                    continue
+                order = (doc is None, doc or 0, line, dkey)
+                if place < 0:
+                    own_key, own, own_order, own_near = key, h, order, False
+                elif key == own_key:
+                    if order > own_order:
+                        near.append(h)
+                        because.append(own)
+                    elif not own_near:
+                        own_near = True
+                        near.append(own)
+                        because.append(h)
+                if key == at_key and place == at_place:
+                    if place >= 0 and h != at_h:
+                        near.append(h)
+                        because.append(at_h)
+                else:
+                    at_key, at_place, at_h = key, place, h
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.int64()), pa.array(because, pa.int64())], ["h", "by"])
+
+    return _sorted(lines.mapInArrow(emit, schema), "key", "place").mapInArrow(sweep, "h long, by long")
+
+
+def _near(docs: DataFrame, candidates: DataFrame, near_words: int, partner_words: int) -> DataFrame:
+    """(h): distinct lines of near_words that have an earlier line of partner_words within one edit of a word, after verification."""
 
     @F.pandas_udf("boolean")
     def close(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([within_one(x.encode().split(), y.encode().split()) for x, y in zip(a, b, strict=True)])
+        return pd.Series([len(x) >= near_words and within_one(x, y.split()) for x, y in zip(map(bytes.split, a), b, strict=True)], dtype=bool)
 
+    lines = written(_texts(docs, candidates, partner_words))
+    pairs = written(_pairs(lines).distinct())
     a, b = lines.select("h", F.col("words").alias("a")), lines.select(F.col("h").alias("by"), F.col("words").alias("b"))
-    return pairs.join(a.filter(F.size(F.split("a", " ")) >= near_words), "h").join(b, "by").filter(close("a", "b")).select("h").distinct()
+    return pairs.join(a, "h").join(b, "by").filter(close("a", "b")).select("h").distinct()
 
 
-def duplicate_lines(
-    docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, partner_words: int | None = None
-) -> DataFrame:
-    """(doc_id, text) -> (dkey, doc_id, line, kind): the lines that go; line counts from 0, dkey is xxhash64(doc_id, text).
+def duplicate_lines(docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
+    """(doc_id, text) -> (dkey, line, kind): the lines that go; line counts from 0, dkey is xxhash64(doc_id, text).
 
     Lines are cut at \\n and compared by their words (runs of anything but ASCII white
     space). Of equal lines of at least min_words words, the earliest stays, by doc_id
     (null last), line and dkey; kind "copy". With max_edits 1, a line of at least
-    near_words words also goes if an earlier line of at least partner_words (near_words,
-    if None; min_words at least) differs from it by one word inserted, deleted or
-    replaced, whether or not that line stays itself; kind "near". More than one edit is
-    refused. Documents that agree in id and text keep or lose the same lines.
+    near_words words also goes if an earlier line of at least near_words - 1 (and
+    min_words) differs from it by one word inserted, deleted or replaced, whether or not
+    that line stays itself; kind "near". More than one edit is refused. Documents that
+    agree in id and text keep or lose the same lines; null and empty texts have none that
+    count; lines and texts of any length are taken whole.
 
     Each distinct line emits the hashes of all its variants under one deletion; equal
-    variants meet, and each group passes on its earliest line, not its pairs. Before
-    that, lines of SHORT words or more that share neither half with another line are left
-    out, as nothing can be within one edit of them.
+    variants meet, and each group passes on its earliest line, not its pairs, which are
+    then verified word by word. Before that, lines of SHORT words or more that share
+    neither half with another line are left out, as nothing can be within one edit of
+    them. A line, variant or half that very many lines share is reduced to one row for
+    each batch before it is sent to a task.
     """
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     small_batches(docs.sparkSession)
-    lines = _lines(docs, min_words)
-    first = lines.select("h", "short", _order().alias("o")).groupBy("h").agg(F.min("o").alias("first"), F.max("short").alias("short"))
+    # a line of SHORT words may be near one of a word less, which needs its halves then
+    lines = written(_lines(docs, min_words, max(SHORT - 1, min_words) if max_edits else 1 << 30))
+    order = Window.partitionBy("h").orderBy(F.col("doc_id").asc_nulls_last(), "line", "dkey")
+    judged = lines.filter("NOT gone").select("h", "dkey", "line", (F.rank().over(order) > 1).alias("later"))
+    kind = F.when(F.col("later"), F.lit("copy"))
     if max_edits:
-        first = cut(first)
-        partner_words = max(min_words, min(near_words, near_words if partner_words is None else partner_words))
-        # a line of SHORT words may be near one of a word less, which needs its halves then
-        found = _candidates(_half_rows(docs, max(partner_words, SHORT - 1)))
-        if partner_words < SHORT:
-            found = found.unionByName(first.filter((F.col("short") < SHORT) & (F.col("short") >= partner_words)).select("h")).distinct()
-        near = cut(_near(docs, first, cut(found), near_words, partner_words))
-        known = first.drop("short").join(near.withColumn("near", F.lit(True)), "h", "left")
-    else:
-        known = first.drop("short").withColumn("near", F.lit(False))
-    judged = lines.join(known, "h")
-    kind = F.when(_order() != F.col("first"), F.lit("copy")).when(F.col("near"), F.lit("near"))
-    return judged.withColumn("kind", kind).filter("kind IS NOT NULL").select("dkey", "doc_id", "line", "kind").distinct()
-
-
-def dedup_lines(
-    docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS, partner_words: int | None = None
-) -> DataFrame:
+        near = written(_near(docs, written(_shared_halves(lines)), near_words, max(min_words, near_words - 1)))
+        judged = judged.join(near.withColumn("near", F.lit(True)), "h", "left")
+        kind = kind.when(F.col("near"), F.lit("near"))
+    judged = judged.select("dkey", "line", kind.alias("kind")).filter("kind IS NOT NULL")
+    return judged.unionByName(lines.filter("gone").select("dkey", "line", F.lit("copy").alias("kind"))).distinct()
+
+
+def dedup_lines(docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """docs with `text` rid of duplicate lines, and three more columns: n_lines, n_copies and n_near (lines that went).
 
-    All rows and columns of docs stay; a null text stays null and has no lines. See
-    duplicate_lines for what goes.
+    All rows and columns of docs stay, whatever their names, but for columns named like
+    the three, which are replaced; a null text stays null and has no lines. Rows that
+    repeat an id and text stay and lose the same lines; an empty table gives an empty
+    one. See duplicate_lines for what goes.
     """
-    gone = duplicate_lines(docs, max_edits, min_words, near_words, partner_words)
-    gone = gone.groupBy(F.col("dkey").alias("_d")).agg(
-        F.collect_set("line").alias("_gone"),
-        F.sum((F.col("kind") == "copy").cast("int")).alias("_copies"),
-        F.sum((F.col("kind") == "near").cast("int")).alias("_near"),
-    )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    own = [c for c in docs.columns if c not in ("text", "n_lines", "n_copies", "n_near")]
+    lines_of = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.col("line")))
+    gone = duplicate_lines(docs, max_edits, min_words, near_words).groupBy("dkey").agg(lines_of("copy").alias("copies"), lines_of("near").alias("near"))
 
     @F.pandas_udf("string")
     def rest(text: pd.Series, gone: pd.Series) -> pd.Series:
         found = []
         for t, g in zip(text, gone, strict=True):
-            if t is None or g is None:
-                found.append(t)
-            else:
-                g = set(g.tolist())
-                found.append("\n".join(x for k, x in enumerate(t.split("\n")) if k not in g))
+            g = set() if g is None else set(g.tolist())
+            found.append(None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in g))
         return pd.Series(found, dtype=object)
 
-    joined = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), text)).join(gone, F.col("_key") == F.col("_d"), "left")
-    return joined.select(
-        *own,
-        rest(F.col("text").cast("string"), "_gone").alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split(text, "\n"))).alias("n_lines"),
-        F.coalesce("_copies", F.lit(0)).cast("int").alias("n_copies"),
-        F.coalesce("_near", F.lit(0)).cast("int").alias("n_near"),
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("key"))
+    rows = rows.join(gone, F.col("key") == F.col("dkey"), "left")
+    # only texts that lose lines go to Python
+    text, some = F.col("row.text").cast("string"), F.col("dkey").isNotNull()
+    left = F.when(some, rest(F.when(some, text), F.concat("copies", "near"))).otherwise(text)
+    n = lambda c: F.coalesce(F.size(c), F.lit(0))
+    return rows.select(
+        *[F.col(f"row.`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_copies", "n_near")],
+        left.alias("text"),
+        F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).alias("n_lines"),
+        F.when(some, n("copies")).otherwise(0).cast("int").alias("n_copies"),
+        F.when(some, n("near")).otherwise(0).cast("int").alias("n_near"),
     )
 
 
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), **WHOLE)
+    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_copies", "n_near", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
