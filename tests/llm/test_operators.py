@@ -3,6 +3,7 @@
 import hashlib
 import random
 import uuid
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -375,30 +376,32 @@ def test_tokens_after_the_last_separator(spark, tmp_path):
         assert got == {("a.bin", 0): 2, ("a.bin", 1): 0, ("a.bin", 2): 1, ("c.bin", 0): 1, ("d.bin", 0): 0}
 
 
-def test_lm(spark):
-    rows = [(i, t[1] if len(t[1] or "") < 3000 else t[1][:3000]) for i, t in enumerate(ROWS)] + [(7, ROWS[6][1])]
-    d = docs(spark, rows)
-    target = d.filter("doc_id >= 12")
-    a, b = (sorted(map(tuple, lmscore.cross_entropy(d, target, max_sent=m).collect()), key=str) for m in (10**9, 0))
-    assert len(a) == len(b) == len(rows) and all(x[:2] == y[:2] and np.allclose(x[2:], y[2:]) for x, y in zip(a, b, strict=True))
-    counts = [{} for _ in range(2)]
-    for c, part in zip(counts, ([t for i, t in rows if i is not None and i >= 12], [t for _, t in rows]), strict=True):
-        for t in part:
-            raw = bytes(3) + (t or "").encode()
-            for i in range(3, len(raw)):
-                c[raw[i - 3 : i + 1]] = c.get(raw[i - 3 : i + 1], 0) + 1
-
-    def p(c, gram):
-        if not gram:
-            return 1 / 256
-        same = sum(n for g, n in c.items() if g[-len(gram) :] == gram)
-        hist = sum(n for g, n in c.items() if g[-len(gram) : -1] == gram[:-1]) if len(gram) > 1 else sum(c.values())
-        return (same + lmscore.BACKOFF * p(c, gram[1:])) / (hist + lmscore.BACKOFF)
-
-    got = {x[0]: x for x in a}
-    for i, t in ((4, rows[4][1]), (11, rows[11][1])):
-        raw = bytes(3) + t.encode()
-        want = [np.mean([-np.log(p(c, raw[k - 3 : k + 1])) for k in range(3, len(raw))]) for c in counts]
-        assert np.allclose(got[i][2:4], want) and got[i][1] == len(t.encode())
-    assert got[0][1:] == (0, 0.0, 0.0, 0.0) and lmscore.cross_entropy(d.filter("false"), target).count() == 0
-    assert lmscore.cross_entropy(d, target.filter("false"), background=target).count() == len(rows)
+@pytest.mark.parametrize("heavy", [4096, 3])
+def test_lm(spark, monkeypatch, heavy):
+    monkeypatch.setattr(lmscore, "HEAVY", heavy)
+    rows = [(i, t[1]) for i, t in enumerate(ROWS)] + [(7, ROWS[6][1]), (None, "w1 w2"), (None, "w1 w2"), (90, "w1 " * 500)]
+    target = {i for i in range(12, 100)}
+    d = docs(spark, rows).withColumn("row", F.lit(1)).withColumn("n", F.lit("x"))
+    got = sorted(map(tuple, lmscore.cross_entropy(d, spark.createDataFrame([(i,) for i in target] + [(None,)] * 2, "doc_id long")).collect()), key=str)
+    ids = [lmscore.words_of(t).tolist() for _, t in rows]
+    want = []
+    counts = []
+    for part in ([x for (i, _), x in zip(rows, ids, strict=True) if i in target], ids):
+        single, history, pairs = Counter(), Counter(), Counter()
+        for x in part:
+            single.update(x)
+            history.update([0, *x][:-1] if x else [])
+            pairs.update(zip([0, *x], x, strict=False))
+        counts.append((single, history, pairs, sum(single.values())))
+    for (i, _), x in zip(rows, ids, strict=True):
+        loss = []
+        for single, history, pairs, n in counts:
+            p = [(pairs[a, b] + lmscore.BACKOFF * (single[b] + 1) / (n + lmscore.VOCABULARY)) / (history[a] + lmscore.BACKOFF) for a, b in zip([0, *x], x, strict=False)]
+            loss.append(-np.log(p).mean() if p else 0.0)
+        want.append((i, len(x), *loss, loss[0] - loss[1]))
+    want = sorted(want, key=str)
+    assert [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2:] for x in got], [x[2:] for x in want], atol=1e-8)
+    if heavy == 4096:
+        none = spark.createDataFrame([], "doc_id long")
+        assert lmscore.cross_entropy(d.filter("false"), none).count() == 0
+        assert lmscore.cross_entropy(d, none, background=none).count() == len(rows)

@@ -3,160 +3,210 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
-
-#: Tokens are bytes, so both models share a vocabulary of 256 that no corpus outgrows.
-ORDER = 4
-#: Weight of the shorter history's estimate, in counts.
-BACKOFF = 4.0
-#: N-grams up to this many are sent to every task (24 bytes each); more are joined.
-MAX_SENT = 2_000_000
-_STEP = 1 << 21
-
-
-def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Byte n-grams of all texts, one for each byte, and the bytes of each text; texts start with zero bytes."""
-    raw = [(t or "").encode("utf-8", "replace") for t in texts]
-    lens = np.fromiter(map(len, raw), np.int64, len(raw))
-    pad = bytes(ORDER - 1)
-    flat = np.frombuffer(b"".join(x for r in raw for x in (pad, r)), np.uint8).astype(np.uint32)
-    grams = flat.copy()
-    for k in range(1, ORDER):
-        grams[k:] |= flat[:-k] << np.uint32(8 * k)
-    starts = np.cumsum(lens + ORDER - 1) - lens
-    real = np.ones(len(flat), bool)
-    for k in range(1, ORDER):
-        real[starts - k] = False
-    return grams[real], lens
-
-
-def _pieces(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    a, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size > _STEP or i == len(texts) - 1:
-            yield a, i + 1
-            a, size = i + 1, 0
-
-
-def count_grams(texts: DataFrame, name: str) -> DataFrame:
-    """(gram, `name`): counts of the byte n-grams of all of texts (text)."""
+from .common import small_batches, strings_of, table, written
+
+#: Tokens are words; both models share this vocabulary of hashed words, 0 standing for the start of a text.
+VOCABULARY = 1 << 18
+#: Weight of a single word's estimate beside a pair's, in counts.
+BACKOFF = 2.0
+#: A pair with at least this share of all tokens is heavy: there are at most HEAVY of them.
+HEAVY = 4096
+#: Cells of the sketch that finds heavy pairs.
+CELLS = 1 << 16
+#: Numbers in a piece of a summed table.
+PIECE = 1 << 14
+
+
+def words_of(text: str | None) -> np.ndarray:
+    """The vocabulary's numbers of the words of a text, letters of ASCII in lower case."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    return (np.fromiter(map(crc32, words), np.int64, len(words)) % (VOCABULARY - 1) + 1).astype(np.int32)
+
+
+def _tokens(docs: DataFrame, target: DataFrame, background: DataFrame | None) -> DataFrame:
+    """(row, doc_id, n, ids, in_target, in_background), a row for each row of docs; ids are 32-bit numbers.
+
+    Ids of the target and background grow with the corpus, so they meet by sort and merge.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         for batch in batches:
-            rows = batch.column(0).to_pylist()
-            for a, b in _pieces(rows):
-                k, n = np.unique(_grams(rows[a:b])[0], return_counts=True)
-                both = np.concatenate([keys, k])
-                keys, back = np.unique(both, return_inverse=True)
-                counts = np.bincount(back, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-                if len(keys) > 1_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts)], ["gram", "n"])
-                    keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts)], ["gram", "n"])
-
-    found = texts.select(F.col("text").cast("string")).mapInArrow(run, "gram long, n long")
-    return found.groupBy("gram").agg(F.sum("n").alias(name))
-
-
-def losses(target: DataFrame, background: DataFrame) -> DataFrame:
-    """(gram, t, b): the loss in nats of a gram's last byte after the others, under each model.
-
-    Both models are estimated alike: a history's counts plus BACKOFF times the estimate
-    of the history without its first byte, down to equal parts of the vocabulary.
-    """
-    both = background.join(target, "gram", "full").select("gram", F.coalesce("t", F.lit(0)).alias("t"), F.coalesce("b", F.lit(0)).alias("b"))
-    both = cut(both)
-    estimate = None
-    for order in range(1, ORDER + 1):
-        size = 1 << (8 * order)
-        counts = both.groupBy(F.expr(f"gram & {size - 1}L").alias("g")).agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-        sums = counts.groupBy(F.expr("shiftright(g, 8)").alias("h")).agg(F.sum("t").alias("th"), F.sum("b").alias("bh"))
-        rows = counts.withColumn("h", F.expr("shiftright(g, 8)")).join(sums, "h")
-        if estimate is None:
-            rows = rows.withColumn("lt", F.lit(1 / 256)).withColumn("lb", F.lit(1 / 256))
+            ids = [words_of(t) for t in strings_of(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(i) for i in ids], pa.int64()), pa.array([i.tobytes() for i in ids], pa.binary())], ["doc_id", "n", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.mapInArrow(run, "doc_id long, n long, ids binary")
+    for name, of in (("in_target", target), ("in_background", background)):
+        if of is None:
+            rows = rows.withColumn(name, F.lit(True))
         else:
-            rows = rows.withColumn("s", F.expr(f"g & {(size >> 8) - 1}L")).join(estimate, "s")
-        p = [((F.col(c) + BACKOFF * F.col(f"l{c}")) / (F.col(f"{c}h") + BACKOFF)).alias(f"l{c}") for c in "tb"]
-        estimate = rows.select(F.col("g").alias("s"), *p)
-    return estimate.select(F.col("s").alias("gram"), (-F.log("lt")).alias("t"), (-F.log("lb")).alias("b"))
+            known = of.select(F.col("doc_id").cast("long").alias("known")).distinct()
+            rows = rows.join(known.hint("merge"), F.col("doc_id") == F.col("known"), "left").withColumn(name, F.col("known").isNotNull()).drop("known")
+    return written(rows.select(F.monotonically_increasing_id().alias("row"), "*"))
+
+
+def _pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all tokens of a batch of _tokens: the text they are in, the token before them (0 at the start) and themselves."""
+    n = batch.column("n").to_numpy()
+    word = np.frombuffer(b"".join(batch.column("ids").to_pylist()), np.int32).astype(np.int64)
+    before = np.r_[0, word[:-1]] if len(word) else word
+    some = n[n > 0]
+    before[np.cumsum(some) - some] = 0
+    return np.repeat(np.arange(len(n)), n), before, word
 
 
-def cross_entropy(docs: DataFrame, target: DataFrame, background: DataFrame | None = None, max_sent: int = MAX_SENT) -> DataFrame:
-    """(doc_id, text) -> (doc_id, n_tokens, target_loss, background_loss, score), one row per row.
+def _flags(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy(zero_copy_only=False) for c in ("in_target", "in_background")]
 
-    target and background (docs, if None) hold text; every gram of every text counts.
-    Losses are means per token; score is target_loss - background_loss, so less is closer
-    to the target. Null and empty texts have no tokens and zeros. Grams that only docs
-    has count in both models as seen zero times.
 
-    Up to max_sent grams, tasks get the losses as sorted arrays; beyond, documents' gram
-    counts are joined with them. Both ways give the same sums.
+def _cell(pair: np.ndarray) -> np.ndarray:
+    """The sketch's cell of a pair, by multiplicative hashing."""
+    return (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(np.int64) % CELLS
+
+
+def _tables(tokens: DataFrame) -> np.ndarray:
+    """Counts over all texts, one after the other: words and histories in the target, in the background, cells of pairs.
+
+    Each task sums up tables of a fixed size; they are added up in pieces.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    b = count_grams(rows if background is None else background, "b")
-    if background is not None:
-        b = b.unionByName(count_grams(rows, "b").withColumn("b", F.lit(0).cast("long"))).groupBy("gram").agg(F.sum("b").alias("b"))
-    table_ = cut(losses(count_grams(target, "t"), b))
-    schema = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
-    if table_.count() <= max_sent:
-        got = table_.orderBy("gram").toPandas()
-        shared = spark.sparkContext.broadcast((got.gram.to_numpy().astype(np.uint32), got[["t", "b"]].to_numpy()))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, loss = shared.value
-            for batch in batches:
-                texts = batch.column(1).to_pylist()
-                sums, n = np.zeros((len(texts), 2)), np.zeros(len(texts), np.int64)
-                for a, b in _pieces(texts):
-                    grams, lens = _grams(texts[a:b])
-                    n[a:b] = lens
-                    if len(grams):
-                        each = loss[np.searchsorted(keys, grams)]
-                        some = np.flatnonzero(lens)
-                        at = (np.cumsum(lens) - lens)[some]
-                        sums[a + some] = np.add.reduceat(each, at, axis=0)
-                mean = sums / np.maximum(n, 1)[:, None]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n), pa.array(mean[:, 0]), pa.array(mean[:, 1]), pa.array(mean[:, 0] - mean[:, 1])],
-                    ["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
-                )
-
-        return rows.mapInArrow(run, schema)
-
-    @F.pandas_udf("array<struct<gram: bigint, n: bigint>>")
-    def grams_of(text: pd.Series) -> pd.Series:
-        return pd.Series([[{"gram": int(k), "n": int(c)} for k, c in zip(*np.unique(_grams([t])[0], return_counts=True), strict=True)] for t in text])
-
-    keyed = rows.withColumn("_h", F.xxhash64("text"))
-    each = keyed.select("doc_id", "_h", F.explode_outer(grams_of("text")).alias("g"))
-    each = each.select("doc_id", "_h", "g.gram", F.coalesce("g.n", F.lit(0)).alias("n"))
-    # rows that agree in id and text sum up together and are told apart by their number again
-    sums = each.join(table_, "gram", "left").groupBy("doc_id", "_h").agg(
-        F.sum("n").alias("n"), F.coalesce(F.sum(F.col("n") * F.col("t")), F.lit(0.0)).alias("t"), F.coalesce(F.sum(F.col("n") * F.col("b")), F.lit(0.0)).alias("b")
-    )
-    same = keyed.groupBy("doc_id", "_h").agg(F.count("*").alias("rows")).withColumnsRenamed({"doc_id": "_id", "_h": "_hh"})
-    sums = sums.join(same, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_h").eqNullSafe(F.col("_hh")))
-    n = F.expr("n div rows")
-    t, b = (F.try_divide(F.col(c), F.greatest("n", F.lit(1))) for c in "tb")
-    out = sums.select("doc_id", n.alias("n_tokens"), t.alias("target_loss"), b.alias("background_loss"), (t - b).alias("score"), F.explode(F.expr("sequence(1L, rows)")).alias("_"))
-    return out.drop("_")
+    size = 4 * VOCABULARY + CELLS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(size, np.int64)
+        for batch in batches:
+            text, before, word = _pairs(batch)
+            for k, flag in enumerate(_flags(batch)):
+                own = flag[text]
+                for at, ids in ((2 * k, word), (2 * k + 1, before)):
+                    sums[at * VOCABULARY : (at + 1) * VOCABULARY] += np.bincount(ids[own], minlength=VOCABULARY)
+            sums[4 * VOCABULARY :] += np.bincount(_cell(before * VOCABULARY + word), minlength=CELLS)
+        pieces = [(i, sums[i * PIECE : (i + 1) * PIECE]) for i in range(-(-size // PIECE))]
+        pieces = [(i, p) for i, p in pieces if p.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in pieces], pa.int32()), pa.array([p.tobytes() for _, p in pieces], pa.binary())], ["piece", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                p = np.frombuffer(p, np.int64)
+                held[i] = held[i] + p if i in held else p
+        yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.int32()), pa.array([p.tobytes() for p in held.values()], pa.binary())], ["piece", "sums"])
 
+    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = tokens.mapInArrow(run, "piece int, sums binary").repartition(parts, "piece").mapInArrow(add, "piece int, sums binary").toPandas()
+    sums = np.zeros(size, np.int64)
+    for i, p in zip(found.piece, found.sums, strict=True):
+        sums[i * PIECE : (i + 1) * PIECE] = np.frombuffer(p, np.int64)
+    return sums
 
-def op8_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents between those labelled good (target) and all (background).
 
-    Labels grow with the documents, so they meet by sort and merge at every size.
+def _heavy(tokens: DataFrame, cells: np.ndarray, least: int) -> pd.DataFrame:
+    """(pair, t, b) of the pairs that occur at least `least` times in all, by their cells; at most HEAVY."""
+    if not (cells >= least).any():
+        return pd.DataFrame({"pair": [], "t": [], "b": []}).astype(np.int64)
+    shared = tokens.sparkSession.sparkContext.broadcast(cells >= least)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, before, word = _pairs(batch)
+            pair = before * VOCABULARY + word
+            at = shared.value[_cell(pair)]
+            pair, back = np.unique(pair[at], return_inverse=True)
+            counts = [np.bincount(back, f[text[at]], len(pair)).astype(np.int64) for f in _flags(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(pair), *map(pa.array, counts), pa.array(np.bincount(back, minlength=len(pair)))], ["pair", "t", "b", "n"])
+
+    sums = tokens.mapInArrow(run, "pair long, t long, b long, n long").groupBy("pair").agg(*[F.sum(c).alias(c) for c in "tbn"])
+    return sums.filter(F.col("n") >= least).select("pair", "t", "b").orderBy("pair").toPandas()
+
+
+def _loss(counts, history, single):
+    """Nats of a word after another, by the counts of both together and of the first, and BACKOFF times the second's own estimate."""
+    log = F.log if isinstance(counts, Column) else np.log
+    return log(history + BACKOFF) - log(counts + single)
+
+
+def cross_entropy(docs: DataFrame, target: DataFrame, background: DataFrame | None = None) -> DataFrame:
+    """(doc_id, text) -> (doc_id, n_tokens, target_loss, background_loss, score), one row per row of docs.
+
+    Rows whose id target (doc_id) has count in the target model, those whose id background
+    (all, if None) has in the background model; every row is scored. Tokens are words
+    (letters of ASCII in lower case), hashed into a vocabulary that both models share;
+    each model estimates a word after the one before it from all its texts: the count of
+    both in a row, plus BACKOFF times the word's own estimate (its count plus one), over
+    the first one's count plus BACKOFF. Losses are means per token in nats, rounded to 9
+    digits; score is target_loss - background_loss, so less is closer to the target. Null
+    and empty texts have no tokens and zeros; rows with null ids are in no list; repeated
+    ids, repeated rows and texts of any length are rows like others; an empty table gives
+    an empty one. Other columns of docs, whatever their names, take no part.
+
+    Pairs are counted where they meet, by a shuffle of each text's distinct pairs, and
+    their losses are summed per text from there, so what is gathered grows with the
+    corpus. Only tables of the vocabulary's size are sent to tasks, and the heavy pairs,
+    at most HEAVY: those are summed where the texts are and never meet in one task.
     """
-    docs = table(spark, sf_dir, "documents")
-    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct().hint("merge")
-    return cross_entropy(docs, docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
+    spark = docs.sparkSession
+    small_batches(spark)
+    tokens = _tokens(docs, target, background)
+    sums = _tables(tokens)
+    word_t, before_t, word_b, before_b = sums[: 4 * VOCABULARY].reshape(4, -1).astype(np.float64)
+    single = [BACKOFF * (w + 1) / (w.sum() + VOCABULARY) for w in (word_t, word_b)]
+    cells = sums[4 * VOCABULARY :]
+    heavy = _heavy(tokens, cells, max(int(np.ceil(cells.sum() / HEAVY)), 2))
+    keys = heavy.pair.to_numpy(np.int64)
+    first, second = keys // VOCABULARY, keys % VOCABULARY
+    heavy_loss = [_loss(heavy[c].to_numpy(np.float64), h[first], s[second]) for c, h, s in (("t", before_t, single[0]), ("b", before_b, single[1]))]
+    shared = spark.sparkContext.broadcast((keys, *heavy_loss))
+
+    def found(keys: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(keys, pair), max(len(keys) - 1, 0))
+        return at, keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
+
+    def light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, before, word = _pairs(batch)
+            pair = before * VOCABULARY + word
+            rest = ~found(shared.value[0], pair)[1]
+            order = np.lexsort((pair[rest], text[rest]))
+            text, pair = text[rest][order], pair[rest][order]
+            new = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])]) if len(pair) else pair
+            n = np.diff(np.r_[new, len(pair)])
+            flags = _flags(batch)
+            code = batch.column("row").to_numpy() * 4 + flags[0] * 2 + flags[1]
+            yield pa.RecordBatch.from_arrays([pa.array(pair[new]), pa.array(code[text[new]]), pa.array(n.astype(np.int32))], ["pair", "code", "n"])
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, *loss = shared.value
+        for batch in batches:
+            text, before, word = _pairs(batch)
+            at, known = found(keys, before * VOCABULARY + word)
+            each = [np.bincount(text[known], x[at[known]], batch.num_rows) for x in loss]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, each)], ["row", "t", "b"])
+
+    rows = tokens.mapInArrow(light, "pair long, code long, n int")
+    together = Window.partitionBy("pair")
+    counted = [F.sum(F.when(F.col("code").bitwiseAND(bit) > 0, F.col("n")).otherwise(0)).over(together).alias(c) for bit, c in ((2, "t"), (1, "b"))]
+    # at most VOCABULARY rows of five numbers
+    known = spark.createDataFrame(pa.table({"id": np.arange(VOCABULARY), "ht": before_t, "hb": before_b, "st": single[0], "sb": single[1]}))
+    pairs = rows.select("pair", "code", "n", *counted)
+    pairs = pairs.join(F.broadcast(known.select(F.col("id").alias("_h"), "ht", "hb")), F.expr(f"pair div {VOCABULARY}") == F.col("_h"))
+    pairs = pairs.join(F.broadcast(known.select(F.col("id").alias("_w"), "st", "sb")), F.expr(f"pair % {VOCABULARY}") == F.col("_w"))
+    each = pairs.select(F.shiftright("code", 2).alias("row"), *[(F.col("n") * _loss(F.col(c), F.col(f"h{c}"), F.col(f"s{c}"))).alias(c) for c in "tb"])
+    if len(keys):
+        each = each.unionByName(tokens.mapInArrow(local, "row long, t double, b double"))
+    total = each.groupBy("row").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+    mean = lambda c: F.round(F.coalesce(F.try_divide(F.col(c), F.col("n")), F.lit(0.0)), 9)
+    out = tokens.select("row", "doc_id", "n").join(total, "row", "left").select("doc_id", F.col("n").alias("n_tokens"), mean("t").alias("target_loss"), mean("b").alias("background_loss"))
+    return out.withColumn("score", F.round(F.col("target_loss") - F.col("background_loss"), 9))
+
+
+def op8_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents between those labelled good (target) and all (background)."""
+    return cross_entropy(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").filter("quality = 1"))
