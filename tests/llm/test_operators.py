@@ -3,6 +3,7 @@
 import hashlib
 import random
 import uuid
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -241,14 +242,59 @@ def test_quality(spark):
     assert len(got) == len(good) + len(bad) + len(ODD) and all(0 <= x.score <= 1 for x in got)
     held = [x for x in got if x.held_out and x.doc_id < 2000]
     assert np.mean([(x.predicted == 1) == (x.doc_id < 1000) for x in held]) > 0.97 and len(held) > 50
-    import zlib
-
     assert all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 4 == 2) for x in got)
     none = quality.train(d, labels.filter("false"))
     assert {round(x.score, 6) for x in quality.score(d, none).collect()} == {0.5}
     assert quality.score(docs(spark, []), none).count() == 0
 
 
+def test_quality_features_brute(spark):
+    texts = [t for _, t in ODD] + BASE + ["Two two!! 3rd x" + "y" * 200 + "Z a", "A1" * 300]
+    base = quality.index_vectors().astype(np.float64)
+    memo = quality.Rows()
+
+    def rows(text):
+        found = []
+        for c in (text or "").encode().split():
+            word, shape = c.lower().strip(b".,;:!?\"'()#$%&*|"), []
+            for k in map(quality._kind, c):
+                if not shape or shape[-1] != k:
+                    shape.append(k)
+            shape = ["", *shape[1:]] if shape[:2] == ["A", "a"] else ["AA"] if shape == ["A"] and len(c) > 1 else shape
+            at = [zlib.crc32(word) % quality.ROWS, zlib.crc32(b"\0" + "".join(shape).encode()) % quality.ROWS]
+            found.append([at[0], quality.REPEAT if found and found[-1][0] == at[0] else at[1]])
+        return found
+
+    sums = np.zeros_like(base)
+    for t in texts:
+        r = rows(t)
+        assert memo.of(t).tolist() == r
+        for x, y in zip(r, r[1:], strict=False):
+            for a in x:
+                for b in y:
+                    sums[a] += base[b]
+                    sums[b] += base[a]
+    want = base / 2
+    used = np.abs(sums).sum(axis=1) > 0
+    want[used] += sums[used] / np.linalg.norm(sums[used], axis=1, keepdims=True)
+    got = quality.word_vectors(docs(spark, list(enumerate(texts))))
+    assert np.allclose(got, want, atol=1e-5)
+    r = np.array(rows(BASE[0]))
+    pool = [*want[r[:, 0]].mean(axis=0), *want[r[:, 1]].mean(axis=0), np.log1p(len(r)) / 10]
+    assert np.allclose(quality.pooled(memo.of(BASE[0]), got), pool, atol=1e-5) and not quality.pooled(memo.of(" "), got).any()
+
+
+def test_quality_temperature():
+    r = np.random.default_rng(3)
+    x = r.normal(size=(600, 2 * quality.DIM + 1))
+    y = (x[:, 0] + r.normal(size=600) > 0).astype(float)
+    net = quality.fit(x, y, quality.index_vectors())
+    hold = np.random.default_rng(11).permutation(600)[:150]
+    loss = lambda t: np.mean(np.logaddexp(0, np.where(y[hold] == 1, -1, 1) * net.logits(x[hold]) / t))
+    assert all(loss(net.temperature) <= loss(t) + 1e-9 for t in np.exp(np.linspace(np.log(0.25), np.log(8), 40)))
+    assert abs(net.score(x[hold]).mean() - y[hold].mean()) < 0.12 and net.temperature > 1
+
+
 def test_lines(spark):
     line = " ".join(VOCAB[:12])
     near = " ".join([*VOCAB[:5], "zz", *VOCAB[6:12]])

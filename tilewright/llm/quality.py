@@ -20,8 +20,8 @@ ROWS, DIM = 1 << 14, 32
 MAX_LABELLED = 8000
 THRESHOLD = 0.7
 HIDDEN = 32
-#: Chunks whose rows a worker remembers.
-CACHE = 100_000
+#: Chunks whose rows a task remembers.
+CACHE = 60_000
 #: Rows whose neighbours are summed at a time.
 STEP = 256
 
@@ -46,7 +46,7 @@ _KIND = [_kind(b) for b in range(256)]
 def _rows(chunk: bytes) -> tuple[int, int]:
     """Rows of a chunk's word (letters in lower case) and of its shape (runs of equal kinds of characters)."""
     shape, last = [], ""
-    for b in chunk[:64]:
+    for b in chunk:
         k = _KIND[b]
         if k != last:
             shape.append(k)
@@ -61,19 +61,25 @@ def _rows(chunk: bytes) -> tuple[int, int]:
 
 #: The shape of a word that repeats the one before it.
 REPEAT = zlib.crc32(b"\x00again") % ROWS
-_known: dict[bytes, tuple[int, int]] = {}
 
 
-def rows_of(text: str | None) -> np.ndarray:
-    """(n, 2) rows of the words of a text and of their shapes."""
-    chunks = (text or "").encode("utf-8", "replace").split()
-    if len(_known) > CACHE:
-        _known.clear()
-    for c in set(chunks).difference(_known):
-        _known[c] = _rows(c)
-    rows = np.array([_known[c] for c in chunks], np.int32).reshape(-1, 2)
-    rows[1:][rows[1:, 0] == rows[:-1, 0], 1] = REPEAT
-    return rows
+class Rows:
+    """Rows of words and shapes; what a task has seen is remembered up to CACHE chunks."""
+
+    def __init__(self) -> None:
+        self.known: dict[bytes, tuple[int, int]] = {}
+
+    def of(self, text: str | None) -> np.ndarray:
+        """(n, 2) rows of the words of a text and of their shapes."""
+        chunks = (text or "").encode("utf-8", "replace").split()
+        known = self.known
+        if len(known) > CACHE:
+            known.clear()
+        for c in set(chunks).difference(known):
+            known[c] = _rows(c)
+        rows = np.array([known[c] for c in chunks], np.int32).reshape(-1, 2)
+        rows[1:][rows[1:, 0] == rows[:-1, 0], 1] = REPEAT
+        return rows
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
@@ -85,11 +91,11 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     base = index_vectors()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((ROWS, DIM), np.float64)
+        sums, memo = np.zeros((ROWS, DIM), np.float64), Rows()
         for batch in batches:
             held, size = [], 0
             for i, text in enumerate(strings_of(batch.column(0))):
-                rows = rows_of(text)
+                rows = memo.of(text)
                 held.append(rows)
                 size += len(rows)
                 if size > 200_000 or i == batch.num_rows - 1:
@@ -120,9 +126,8 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return vectors
 
 
-def pooled(text: str | None, vectors: np.ndarray) -> np.ndarray:
+def pooled(rows: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Means of the vectors of a text's words and of its shapes, and the log of its length; zeros for the empty text."""
-    rows = rows_of(text)
     if not len(rows):
         return np.zeros(2 * DIM + 1, np.float32)
     sums = []
@@ -198,8 +203,11 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Network:
     """A network for docs (doc_id, text) by labels (doc_id, quality), without those that held_out() names.
 
-    Word vectors come from all of docs. Of the labels, at most max_labelled take part;
-    ids with several labels count by their mean, at 0.5 as 1.
+    Word vectors come from all of docs, whole texts, repeated rows and null ids included;
+    null texts count as empty. Of the labels, at most max_labelled take part; ids with
+    several labels count by their mean, at 0.5 as 1; null ids and labels don't count. Rows
+    of docs that share a labelled id all take part. Without labelled rows the network
+    scores 0.5; an empty table gives such a network.
     """
     small_batches(docs.sparkSession)
     vectors = word_vectors(docs)
@@ -209,8 +217,10 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
 
     @F.pandas_udf("array<float>")
-    def pool(text: pd.Series) -> pd.Series:
-        return pd.Series([pooled(t, shared.value) for t in text])
+    def pool(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memo = Rows()
+        for text in texts:
+            yield pd.Series([pooled(memo.of(t), shared.value) for t in text], dtype=object)
 
     chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
     rows = chosen.select("_id", "y", pool("text").alias("x")).toPandas().sort_values("_id", kind="stable")
@@ -218,31 +228,35 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     return fit(x, rows.y.to_numpy(np.float64), vectors)
 
 
-def score(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, text) -> (doc_id, held_out, score, predicted), one row per row; null texts score as empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(network)
+def score_of(text: Column, network: Network, spark: SparkSession) -> Column:
+    """The network's score of each text; null texts score as empty."""
+    shared = spark.sparkContext.broadcast(network)
 
     @F.pandas_udf("double")
-    def scored(text: pd.Series) -> pd.Series:
-        net = shared.value
-        x = np.stack([pooled(t, net.vectors) for t in text]) if len(text) else np.zeros((0, 2 * DIM + 1))
-        return pd.Series(net.score(x.astype(np.float64)))
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        net, memo = shared.value, Rows()
+        for text in texts:
+            x = np.stack([pooled(memo.of(t), net.vectors) for t in text]) if len(text) else np.zeros((0, 2 * DIM + 1))
+            yield pd.Series(net.score(x.astype(np.float64)))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), scored(F.col("text").cast("string")).alias("score"))
+    return scored(text.cast("string"))
+
+
+def score(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, text) -> (doc_id, held_out, score, predicted), one row per row of docs.
+
+    Null texts score as empty; texts of any length are read whole; null ids are not held
+    out; rows that repeat score alike; an empty table gives an empty one. Other columns
+    of docs, whatever their names, take no part.
+    """
+    scored = score_of(F.col("text"), network, docs.sparkSession).alias("score")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), scored)
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that the classifier doesn't reject, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
-
-    @F.pandas_udf("double")
-    def scored(text: pd.Series) -> pd.Series:
-        net = shared.value
-        x = np.stack([pooled(t, net.vectors) for t in text]) if len(text) else np.zeros((0, 2 * DIM + 1))
-        return pd.Series(net.score(x.astype(np.float64)))
-
-    return docs.filter(scored(F.col("text").cast("string")) >= threshold)
+    return docs.filter(score_of(F.col("text"), train(docs, labels), docs.sparkSession) >= threshold)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
