@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, small_batches, strings_of, table
 from .components import connected_components
 
 RADIUS = 3
@@ -53,11 +53,16 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp long) of (doc_id, text): 64-bit SimHash of the shingles of `width` words."""
+    """(doc_id, fp long) of (doc_id, text): 64-bit SimHash of the shingles of `width` words.
+
+    One row per row of docs, null and repeated ids included; null and empty texts have
+    fingerprint zero, and texts of any length are read whole.
+    """
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], np.uint64)
+            fp = np.array([fingerprint(t, width) for t in strings_of(batch.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
@@ -163,7 +168,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = 3) -> Da
     component_id is the smallest doc_id reachable over fingerprints that differ in at
     most `radius` bits. Null and empty texts have fingerprint zero and link like any
     other. Rows that repeat an id share whatever their fingerprints link. A null doc_id
-    keeps its row; it is never a component_id unless a component has no other id.
+    keeps its row; component_id is null where a component has no other id. Texts of any
+    length are read whole, an empty table gives an empty one, and other columns of docs,
+    whatever their names, take no part.
     """
     got = cut(fingerprints(docs, width).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     unique = cut(got.groupBy("fp").agg(F.min("doc_id").alias("least")))
@@ -176,17 +183,5 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = 3) -> Da
     )
 
 
-def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = 3) -> DataFrame:
-    """docs without the rows whose group has an earlier one: the smallest doc_id of each group stays.
-
-    Rows that repeat the id of the one that stays are reduced to one of them as well. Rows
-    with a null id stay, as nothing tells them apart. All columns of docs are kept.
-    """
-    found = near_duplicates(docs, radius, width).groupBy("doc_id").agg(F.min("component_id").alias("_stays"))
-    kept = found.filter("doc_id = _stays").select(F.col("doc_id").alias("_id"))
-    named = docs.join(kept, docs.doc_id == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL"))
-
-
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

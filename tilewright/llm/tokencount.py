@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table
+from .common import shared_dir, small_batches, table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: The end-of-document id: the vocabulary's free one. Ids take two bytes, little-endian.
@@ -44,7 +44,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str = VOCABULARY) -> D
     id, again and again, with no index beside it. The returned rows say which document is
     the nth of a file; they are stored as Parquet under folder too. A file is written under
     another name and moved when complete, so a task that runs again replaces it by its like.
+    Null and repeated ids and repeated rows have their place in a file like others; texts
+    of any length are encoded whole; an empty table makes files without tokens or none.
     """
+    small_batches(docs.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
@@ -97,22 +100,26 @@ def count_tokens(spark: SparkSession, folder: str, end: int = END, dtype: str =
                 yield pd.DataFrame({"path": [p], "block": [b], "closed": [closed], "n_closed": [len(ends)], "open": [left], "last": [(b + 1) * block >= length]})
 
     found = blocks.mapInPandas(scan, "path string, block long, closed array<long>, n_closed long, open long, last boolean")
-    # of each block the scan needs three numbers
-    found = found.select("path", "block", "closed", "last", F.struct("n_closed", "open").alias("sums"))
+    found = written(found)
+    # the prefix scan takes a few numbers of each block; the lengths stay where they are
+    sums = found.select("path", "block", "n_closed", "open", "last")
     by_file = Window.partitionBy("path").orderBy("block")
     before = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    found = found.withColumn("first", F.coalesce(F.sum("sums.n_closed").over(before), F.lit(0)))
+    sums = sums.withColumn("first", F.coalesce(F.sum("n_closed").over(before), F.lit(0)))
     # all blocks since the last one with a separator, that one included, left tokens open
-    found = found.withColumn("run", F.coalesce(F.sum((F.col("sums.n_closed") > 0).cast("int")).over(before), F.lit(0)))
+    sums = sums.withColumn("run", F.coalesce(F.sum((F.col("n_closed") > 0).cast("int")).over(before), F.lit(0)))
     in_run = Window.partitionBy("path", "run").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    closer = F.last(F.when(F.col("sums.n_closed") > 0, F.col("sums.open")), ignorenulls=True).over(before)
-    found = found.withColumn("carried", F.coalesce(closer, F.lit(0)) + F.coalesce(F.sum("sums.open").over(in_run), F.lit(0)))
-    tail = F.when(F.col("last"), F.col("sums.open") + F.when(F.col("sums.n_closed") == 0, F.col("carried")).otherwise(0)).otherwise(0)
+    closer = F.last(F.when(F.col("n_closed") > 0, F.col("open")), ignorenulls=True).over(before)
+    sums = sums.withColumn("carried", F.coalesce(closer, F.lit(0)) + F.coalesce(F.sum("open").over(in_run), F.lit(0)))
+    tail = F.when(F.col("last"), F.col("open") + F.when(F.col("n_closed") == 0, F.col("carried")).otherwise(0)).otherwise(0)
+    sums = sums.select("path", "block", "first", "carried", tail.alias("tail"))
+    found = found.select("path", "block", "closed").join(sums, ["path", "block"])
+    none = F.array().cast("array<long>")
     lengths = F.when(
-        F.col("sums.n_closed") > 0,
+        F.size("closed") > 0,
         F.concat(F.array(F.element_at("closed", 1) + F.col("carried")), F.slice("closed", 2, F.greatest(F.size("closed") - 1, F.lit(0)))),
-    ).otherwise(F.array().cast("array<long>"))
-    lengths = F.concat(lengths, F.when(tail > 0, F.array(tail)).otherwise(F.array().cast("array<long>")))
+    ).otherwise(none)
+    lengths = F.concat(lengths, F.when(F.col("tail") > 0, F.array("tail")).otherwise(none))
     name = F.substring_index("path", "/", -1)
     rows = found.select(name.alias("file"), "first", F.posexplode(lengths).alias("k", "n_tokens"))
     return rows.select("file", (F.col("first") + F.col("k")).alias("ordinal"), "n_tokens")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, small_batches, table
 
 #: Rows of a cell on average, and the most pivots; both bound what is broadcast, not what is found.
 CELL_ROWS, MAX_PIVOTS = 2048, 1024
@@ -88,7 +88,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     Rows with a null id, and vectors null or holding null or non-finite components, take
     no part. Shorter vectors count as ending in zeros. Queries that repeat an id count
     once; data rows that repeat are candidates each; a query never finds rows of its own
-    id. Scores past 2^63 wrap around.
+    id. Scores past 2^63 wrap around. An empty table gives an empty one; other columns,
+    whatever their names, take no part.
 
     Pivots are rows drawn by a hash of their ids. Data cells are the rows nearest to each
     pivot, cut into blocks of bounded size (so a vector with very many copies fills many
@@ -101,6 +102,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     a block is copied to those groups alone that have a query to visit it.
     """
     spark = vectors.sparkSession
+    small_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     data = integer_vectors(vectors, scale)
     asks = integer_vectors(queries, scale).groupBy("vec_id").agg(F.min("v").alias("v"))

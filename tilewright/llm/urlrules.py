@@ -44,7 +44,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     A rule fits its host and all subdomains if the url's path starts with the rule's; the
     longest rule text wins, then the longer host. Pages that no rule fits have a null
     rule and the default verdict; so do null urls and urls without ://, whose host and
-    path are empty. Equal rules with different verdicts: block wins.
+    path are empty. Equal rules with different verdicts: block wins. Null and repeated
+    ids, repeated rows and urls of any length are rows like others; an empty table gives
+    an empty one; other columns of pages, whatever their names, take no part.
 
     The key of a rule is its host's labels in reverse, a separator and its path, so all
     it fits at that depth of host is the interval of keys that start with it. A url is
@@ -65,19 +67,18 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
             F.concat(_reversed(F.split("host", r"\.")), F.lit(_SEP), "path").alias("key"),
         )
     )
-    depths = sorted(r.depth for r in rules.select("depth").distinct().limit(256).collect())
+    # a rule of n labels takes 2n letters, so there are fewer depths than the square root of all rules' letters
+    depths = sorted(r.depth for r in rules.select("depth").distinct().collect())
     url = F.col("url").cast("string")
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     base = base.groupBy("page_id", "host", "path").agg(F.count("*").alias("n"))
     base = base.withColumn("salt", F.xxhash64("page_id", "host", "path"))
-    labels = F.split("host", r"\.")
-    probes = base.withColumn("labels", labels).select(
-        "page_id", "n", "salt", "host", "path", "labels", F.explode(F.array(*[F.lit(d) for d in depths] or [F.lit(0)])).alias("depth")
-    )
-    # the shallowest depth stays for hosts with fewer labels, so that each page has a row
-    probes = probes.filter((F.col("depth") <= F.size("labels")) | (F.col("depth") == (depths[0] if depths else 0)))
-    tail = F.slice("labels", F.greatest(F.size("labels") - F.col("depth") + 1, F.lit(1)), F.col("depth"))
-    probes = probes.withColumn("key", F.when(F.col("depth") <= F.size("labels"), F.concat(_reversed(tail), F.lit(_SEP), "path")).otherwise("")).drop("labels")
+    base = base.withColumn("labels", F.split("host", r"\."))
+    # each page has one row for each depth of rules that its host has, or one of depth 0, which no rule has
+    own = F.array_intersect(F.sequence(F.lit(1), F.size("labels")), F.lit(depths or [0]).cast("array<int>"))
+    probes = base.select("page_id", "n", "salt", "host", "path", "labels", F.explode(F.when(F.size(own) > 0, own).otherwise(F.array(F.lit(0)))).alias("depth"))
+    tail = F.slice("labels", F.size("labels") - F.col("depth") + 1, F.col("depth"))
+    probes = probes.withColumn("key", F.when(F.col("depth") > 0, F.concat(_reversed(tail), F.lit(_SEP), "path")).otherwise("")).drop("labels")
     sample = probes.select("key", F.xxhash64("key", "page_id").alias("h")).orderBy("h").limit(BOUNDARY_SAMPLE)
     keys = sorted(r.key.encode() for r in sample.select("key").collect())
     bounds = [keys[i * len(keys) // parts] for i in range(1, parts)] if keys else []
