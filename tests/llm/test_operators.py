@@ -392,6 +392,22 @@ def test_merkle(spark):
     assert alone.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and alone.near_next == 1.0
 
 
+def test_fingerprints_tell_where_texts_differ(spark):
+    words = rng.choices(VOCAB + ["is", "at", "my"], k=200)
+    text = "\n\n".join("\n".join(" ".join(words[a + 20 * k : a + 20 * k + 20]) for k in range(5)) for a in (0, 100))
+    first, second = text.split("\n\n")
+    swapped = "\n".join(second.split("\n")[i] for i in (1, 0, 2, 3, 4))
+    cases = {"same": text, "before": "extra " + text, "swapped": first + "\n\n" + swapped, "changed": text.replace(second.split("\n")[2], "something else here"), "other": " ".join(reversed(words)), "none": ""}
+    df = spark.createDataFrame([(k, text, t) for k, t in cases.items()], "name string, a string, b string")
+    df = df.select("name", merkle.fingerprint(F.col("a")).alias("a"), merkle.fingerprint(F.col("b")).alias("b"))
+    got = {r.name: r for r in df.select("name", (F.col("a") == F.col("b")).alias("eq"), merkle.likeness(merkle.levels(F.col("a")), merkle.levels(F.col("b"))).alias("like"), merkle.edits(F.col("a"), F.col("b")).alias("at")).collect()}
+    assert got["same"].eq and got["same"].like == 1 and got["same"].at == ""
+    assert not got["before"].eq and 0.8 < got["before"].like < 1 and got["before"].at == "0.0"
+    assert 0.8 < got["swapped"].like < 1 and got["swapped"].at == ""  # both lines are known
+    assert 0.7 < got["changed"].like < 1 and got["changed"].at == "1.2"
+    assert got["other"].like < 0.2 and got["none"].like == 0 and got["none"].at == "0.0"
+
+
 def test_mix(spark):
     r = random.Random(6)
     rows = ROWS + [(100 + i, " ".join(r.choices(VOCAB, k=r.randint(1, 400))), r.choice(["a", "a", "a", "b", "c", None])) for i in range(300)]

@@ -7,48 +7,94 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-_GAP = r"[\x20\x09-\x0D]"
-#: Up to five words with the space around them; the phrases of a paragraph hold all its characters.
-PHRASE = rf"{_GAP}*(?:[^\x20\x09-\x0D]+{_GAP}*){{1,5}}|{_GAP}+"
+_GAP, _WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+#: Three to twelve words with the space around them, cut after the first word from the third on that
+#: ends in s, t or y; so an inserted word moves few cuts. The phrases of a paragraph hold all its characters.
+PHRASE = rf"{_GAP}*(?:{_WORD}+{_GAP}+){{2,11}}?{_WORD}*[sty](?:{_GAP}+|\z)|{_GAP}*(?:{_WORD}+{_GAP}*){{1,12}}|{_GAP}+"
+#: What sections, paragraphs and phrases count in a likeness.
+SHARES = (0.05, 0.15, 0.8)
 
 
 def _sha(text: Column, digits: int = 16) -> Column:
     return F.substring(F.sha2(text.cast("binary"), 256), 1, digits)
 
 
-def phrases_of(text: Column) -> Column:
-    """Digests of a text by section (blank line), paragraph (line) and phrase: array<array<array<string>>>."""
-    leaf = lambda p: F.transform(F.regexp_extract_all(p, F.lit(PHRASE), F.lit(0)), lambda w: _sha(w))
-    return F.transform(F.split(text, "\n\n"), lambda s: F.transform(F.split(s, "\n"), leaf))
+def fingerprint(text: Column) -> Column:
+    """root:section=paragraph-phrases,paragraph-phrases/section=... of a text's sections (blank line), paragraphs (line) and phrases.
 
+    A phrase's digest has 8 digits in the fingerprint and 16 in the paragraph's digest,
+    which is that of its phrases' digests, and so on up to the root: equal roots mean
+    equal texts, and unequal digests on the way down lead to the edits (see edits).
+    """
+    phrases = lambda p: F.transform(F.regexp_extract_all(p, F.lit(PHRASE), F.lit(0)), lambda w: _sha(w))
+    short = lambda ws: F.array_join(F.transform(ws, lambda w: F.substring(w, 1, 8)), "")
+    # (digest, digest-phrases) of a paragraph; (digest, digest=paragraphs) of a section
+    leaf = lambda ws: F.struct(_sha(F.array_join(ws, "")).alias("h"), short(ws).alias("t"))
+    paragraphs = lambda s: F.transform(F.transform(F.split(s, "\n"), phrases), leaf)
+    node = lambda ps: F.struct(
+        _sha(F.array_join(F.transform(ps, lambda p: p["h"]), ",")).alias("h"), F.array_join(F.transform(ps, lambda p: F.concat(p["h"], F.lit("-"), p["t"])), ",").alias("t")
+    )
+    sections = F.transform(F.transform(F.split(text, "\n\n"), paragraphs), node)
+    root = lambda ss: F.concat(
+        _sha(F.array_join(F.transform(ss, lambda s: s["h"]), "/"), 64), F.lit(":"), F.array_join(F.transform(ss, lambda s: F.concat(s["h"], F.lit("="), s["t"])), "/")
+    )
+    return F.transform(F.array(sections), root)[0]
 
-def with_fingerprint(df: DataFrame, text: str, fingerprint: str, leaves: str) -> DataFrame:
-    """Adds the fingerprint of column `text` and the distinct digests of its phrases.
 
-    A fingerprint reads root:section=paragraph-phrases,paragraph-phrases/section=... .
-    The digest of a paragraph is that of its phrases' digests, and so on up to the root,
-    so equal roots mean equal texts, and unequal digests on the way down lead to the edits.
-    """
-    t, p, s = f"_{text}_t", f"_{text}_p", f"_{text}_s"
-    df = df.withColumn(t, phrases_of(F.col(text)))
-    df = df.withColumn(p, F.transform(t, lambda x: F.transform(x, lambda y: _sha(F.array_join(y, "")))))
-    df = df.withColumn(s, F.transform(p, lambda x: _sha(F.array_join(x, ","))))
-    short = lambda y: F.array_join(F.transform(y, lambda w: F.substring(w, 1, 8)), "")
-    body = F.zip_with(
-        F.arrays_zip(F.col(s).alias("h"), F.col(p).alias("p")),
-        t,
-        lambda a, b: F.concat(a["h"], F.lit("="), F.array_join(F.zip_with(a["p"], b, lambda x, y: F.concat(x, F.lit("-"), short(y))), ",")),
+def tree(fp: Column) -> Column:
+    """A fingerprint's sections: array<struct<h, paragraphs: array<struct<h, phrases: array<string>>>>>."""
+    paragraph = lambda p: F.struct(
+        F.substring_index(p, "-", 1).alias("h"), F.regexp_extract_all(F.substring_index(p, "-", -1), F.lit(".{8}"), F.lit(0)).alias("phrases")
     )
-    df = df.withColumn(fingerprint, F.concat(_sha(F.array_join(s, "/"), 64), F.lit(":"), F.array_join(body, "/")))
-    return df.withColumn(leaves, F.array_distinct(F.flatten(F.flatten(t)))).drop(t, p, s)
+    section = lambda s: F.struct(F.substring_index(s, "=", 1).alias("h"), F.transform(F.split(F.substring_index(s, "=", -1), ","), paragraph).alias("paragraphs"))
+    return F.transform(F.split(F.substring_index(fp, ":", -1), "/"), section)
+
+
+def levels(fp: Column) -> Column:
+    """A fingerprint's root and its distinct digests of sections, paragraphs and phrases."""
+    sections = tree(fp)
+    return F.transform(
+        F.array(F.struct(F.substring_index(fp, ":", 1).alias("root"), sections.alias("s"))),
+        lambda x: F.struct(
+            x["root"].alias("root"),
+            F.array_distinct(F.transform(x["s"], lambda s: s["h"])).alias("sections"),
+            F.array_distinct(F.flatten(F.transform(x["s"], lambda s: F.transform(s["paragraphs"], lambda p: p["h"])))).alias("paragraphs"),
+            F.array_distinct(F.flatten(F.transform(x["s"], lambda s: F.flatten(F.transform(s["paragraphs"], lambda p: p["phrases"]))))).alias("phrases"),
+        ),
+    )[0]
+
 
+def likeness(a: Column, b: Column) -> Column:
+    """Of two levels(): 1 for equal roots, else SHARES of what each level shares (twice the shared digests over both counts).
+
+    Texts that have all their phrases in other places are less than 1; without phrases on
+    either side that level shares nothing.
+    """
+    each = F.lit(0.0)
+    for share, name in zip(SHARES, ("sections", "paragraphs", "phrases"), strict=True):
+        x, y = a[name], b[name]
+        each = each + F.lit(share) * F.coalesce(F.try_divide(F.size(F.array_intersect(x, y)) * F.lit(2.0), F.size(x) + F.size(y)), F.lit(0.0))
+    return F.when(a["root"] == b["root"], F.lit(1.0)).otherwise(each)
 
-def likeness(fp_a: Column, leaves_a: Column, fp_b: Column, leaves_b: Column) -> Column:
-    """Twice the shared distinct phrases over both counts; 1 for equal roots."""
-    both = F.size(leaves_a) + F.size(leaves_b)
-    shared = F.size(F.array_intersect(leaves_a, leaves_b)) * F.lit(2.0)
-    same = F.substring_index(fp_a, ":", 1) == F.substring_index(fp_b, ":", 1)
-    return F.when(same, F.lit(1.0)).when(both == 0, F.lit(0.0)).otherwise(shared / both)
+
+def edits(old: Column, new: Column) -> Column:
+    """Where the new fingerprint's text has what the old one's hasn't: its paragraphs as section.paragraph from 0, joined by commas.
+
+    Only sections whose digest the old tree lacks are walked down into, and only
+    paragraphs that it lacks are named.
+    """
+    known = levels(old)
+    # places come before what doesn't count is dropped, so that they are those of the whole tree
+    walked = F.transform(
+        tree(new),
+        lambda s, i: F.filter(
+            F.when(F.array_contains(known["sections"], s["h"]), F.array().cast("array<string>")).otherwise(
+                F.transform(s["paragraphs"], lambda p, j: F.when(~F.array_contains(known["paragraphs"], p["h"]), F.concat(i.cast("string"), F.lit("."), j.cast("string"))))
+            ),
+            lambda x: x.isNotNull(),
+        ),
+    )
+    return F.array_join(F.flatten(walked), ",")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -63,12 +109,14 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []
     cuts = F.array(*[F.lit(int(c)) for c in sorted(set(cuts))]).cast("array<long>")
-    piece = F.when(F.col("doc_id").isNull(), F.lit(n + 1)).otherwise(F.size(F.filter(cuts, lambda c: c > F.col("doc_id"))))
-    rows = rows.withColumn("_piece", piece)
-    order = [F.desc_nulls_last("doc_id"), F.xxhash64("text")]
-    # the greatest id of each range is one of at most n + 1 numbers
-    tops = rows.groupBy("_piece").agg(F.max("doc_id").alias("_top"))
-    heads = rows.join(F.broadcast(tops.withColumnRenamed("_piece", "_p")), (F.col("_piece") == F.col("_p")) & F.col("doc_id").eqNullSafe(F.col("_top")))
+    # null ids, in order of their hashes, make ranges of their own
+    piece = F.when(F.col("doc_id").isNull(), F.lit(n + 9) + F.shiftright("_hash", 60).cast("int")).otherwise(F.size(F.filter(cuts, lambda c: c > F.col("doc_id"))))
+    rows = rows.withColumn("_hash", F.xxhash64("text")).withColumn("_piece", piece)
+    order = [F.desc_nulls_last("doc_id"), F.col("_hash")]
+    # the first row of each range has its greatest id or, of null ids, its least hash
+    tops = rows.groupBy("_piece").agg(F.max("doc_id").alias("_top"), F.min("_hash").alias("_low"))
+    of = (F.col("_piece") == F.col("_p")) & F.col("doc_id").eqNullSafe(F.col("_top")) & (F.col("doc_id").isNotNull() | (F.col("_hash") == F.col("_low")))
+    heads = rows.join(F.broadcast(tops.withColumnRenamed("_piece", "_p")), of)
     heads = heads.withColumn("_k", F.row_number().over(Window.partitionBy("_piece").orderBy(*order))).filter("_k = 1")
     heads = heads.select(F.col("_piece").alias("_head"), F.col("text").alias("_first"))
     everyone = Window.partitionBy(F.lit(1)).orderBy("_head")
@@ -84,23 +132,24 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> fingerprints of each text and of its edited text, and their likenesses.
 
     Edited: the last floor(n_chars / 3) code points give way to as many from the start of
-    the next document (all it has, if fewer). Null texts count as empty; the empty text
-    has a fingerprint like any other, without phrases. One row per row of docs.
+    the next document (all it has, if fewer). edited_at names the paragraphs of the edited
+    text that the text hasn't. Null texts count as empty; the empty text has a fingerprint
+    like any other, without phrases. One row per row of docs, null and repeated ids and
+    repeated rows included; texts of any length are taken whole; an empty table gives an
+    empty one; other columns of docs, whatever their names, take no part.
     """
     rows = with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
     rows = rows.withColumn("_edited", F.concat(F.expr("left(text, cast(n_chars - n_chars div 3 as int))"), F.expr("left(next_text, cast(n_chars div 3 as int))")))
-    rows = with_fingerprint(rows, "text", "fingerprint", "_own")
-    rows = with_fingerprint(rows, "_edited", "edited_fingerprint", "_new")
-    rows = with_fingerprint(rows, "next_text", "_next_fp", "_next")
+    rows = rows.select(
+        "doc_id", "n_chars", F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint(F.col("text")).alias("fingerprint"), fingerprint(F.col("_edited")).alias("edited_fingerprint"), fingerprint(F.col("next_text")).alias("_next"),
+    )
+    rows = rows.withColumns({f"_l{i}": levels(F.col(c)) for i, c in enumerate(("fingerprint", "edited_fingerprint", "_next"))})
     return rows.select(
-        "doc_id",
-        "n_chars",
-        F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("_own"), F.col("edited_fingerprint"), F.col("_new")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("_own"), F.col("_next_fp"), F.col("_next")).alias("near_next"),
-    )
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        likeness(F.col("_l0"), F.col("_l1")).alias("near_edited"), likeness(F.col("_l0"), F.col("_l2")).alias("near_next"),
+        edits(F.col("fingerprint"), F.col("edited_fingerprint")).alias("edited_at"),
+    )
 
 
 def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,8 @@ SELECT page_id, host, path,
 FROM p
 """
 
-_PHRASE = r"[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]*){1,5}|[\x20\x09-\x0D]+"
+_G, _W = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+_PHRASE = rf"{_G}*(?:{_W}+{_G}+){{2,11}}?{_W}*[sty](?:{_G}+|\z)|{_G}*(?:{_W}+{_G}*){{1,12}}|{_G}+"
 
 
 def _tree(text: str, name: str) -> str:
@@ -24,15 +25,19 @@ def _tree(text: str, name: str) -> str:
   lambda p: list_transform(regexp_extract_all(p, '{_PHRASE}'), lambda w: left(sha256(w), 16)))) AS t FROM base),
 {name}_p AS (SELECT doc_id, t, list_transform(t, lambda x: list_transform(x, lambda y: left(sha256(array_to_string(y, '')), 16))) AS p FROM {name}_t),
 {name}_s AS (SELECT doc_id, t, p, list_transform(p, lambda x: left(sha256(array_to_string(x, ',')), 16)) AS s FROM {name}_p),
-{name} AS (SELECT doc_id, sha256(array_to_string(s, '/')) AS root, list_distinct(flatten(flatten(t))) AS leaves,
+{name} AS (SELECT doc_id, p, s, sha256(array_to_string(s, '/')) AS root,
+  list_distinct(s) AS l1, list_distinct(flatten(p)) AS l2, list_distinct(list_transform(flatten(flatten(t)), lambda w: left(w, 8))) AS l3,
   sha256(array_to_string(s, '/')) || ':' || array_to_string(list_transform(range(1, len(s) + 1), lambda i: s[i] || '=' ||
     array_to_string(list_transform(range(1, len(p[i]) + 1), lambda j: p[i][j] || '-' ||
       array_to_string(list_transform(t[i][j], lambda w: left(w, 8)), '')), ',')), '/') AS fp FROM {name}_s)"""
 
 
 def _like(a: str, b: str) -> str:
-    both = f"(len({a}.leaves) + len({b}.leaves))"
-    return f"CASE WHEN {a}.root = {b}.root THEN 1.0::DOUBLE WHEN {both} = 0 THEN 0.0::DOUBLE ELSE len(list_intersect({a}.leaves, {b}.leaves)) * 2.0::DOUBLE / {both} END"
+    def share(weight: float, level: str) -> str:
+        both = f"(len({a}.{level}) + len({b}.{level}))"
+        return f"{weight}::DOUBLE * CASE WHEN {both} = 0 THEN 0.0::DOUBLE ELSE len(list_intersect({a}.{level}, {b}.{level})) * 2.0::DOUBLE / {both} END"
+
+    return f"CASE WHEN {a}.root = {b}.root THEN 1.0::DOUBLE ELSE 0.0::DOUBLE + {share(0.05, 'l1')} + {share(0.15, 'l2')} + {share(0.8, 'l3')} END"
 
 
 OP7 = f"""
@@ -43,7 +48,9 @@ base AS (SELECT doc_id, text, n, nxt, text[1:n - n // 3] || nxt[1:n // 3] AS edi
 {_tree("edited", "new")},
 {_tree("nxt", "nex")}
 SELECT base.doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256, own.fp AS fingerprint, new.fp AS edited_fingerprint,
-  {_like("own", "new")} AS near_edited, {_like("own", "nex")} AS near_next
+  {_like("own", "new")} AS near_edited, {_like("own", "nex")} AS near_next,
+  array_to_string(flatten(list_transform(range(1, len(new.s) + 1), lambda i: CASE WHEN list_contains(own.l1, new.s[i]) THEN []::VARCHAR[] ELSE
+    list_transform(list_filter(range(1, len(new.p[i]) + 1), lambda j: NOT list_contains(own.l2, new.p[i][j])), lambda j: (i - 1)::VARCHAR || '.' || (j - 1)::VARCHAR) END)), ',') AS edited_at
 FROM base JOIN own USING (doc_id) JOIN new USING (doc_id) JOIN nex USING (doc_id)
 """
 
