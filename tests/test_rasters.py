@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilewright.functions import geometry, naming
-from tilewright.operators import density, infer, mask, metrics, mosaic, render, runlog, tiling
-from tilewright.sources import config, rasters
+from tilewright.operators import canvas, density, infer, mask, metrics, mosaic, render, runlog, tileops, tiling
+from tilewright.plans import slides
+from tilewright.sources import config, discovery, rasters, tiff
 from tilewright.streaming.ingest import stream_blocks
 
 
@@ -154,13 +155,118 @@ def test_files(spark, tmp_path):
     tif = b"II" + struct.pack("<HI", 42, 8) + struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", t, k, 1, v) for t, k, v in tags) + struct.pack("<I", 0)
     (tmp_path / "a.tif").write_bytes(tif)
     (tmp_path / "b.tiff").write_bytes(b"nothing")
-    got = {r.path[-5:]: r for r in rasters.inspect_tiffs(spark, str(tmp_path)).collect()}
+    got = {r.path[-5:]: r for r in tiff.inspect_tiffs(spark, str(tmp_path)).collect()}
     assert (got["a.tif"].width, got["a.tif"].height, got["a.tif"].channels, got["a.tif"].pages) == (7, 5, 3, 1) and got[".tiff"].error
     (tmp_path / "list.txt").write_text("a\n\n b \n")
     assert [r.slide for r in rasters.slide_list(spark, str(tmp_path / "list.txt")).collect()] == ["a", "b"]
     assert rasters.discover(spark, str(tmp_path), "*.tif").count() == 1
 
 
+@pytest.mark.parametrize("radius", [1, 3])
+def test_tile_erosion_crosses_borders(spark, radius):
+    r = np.random.default_rng(radius)
+    whole = (r.random((23, 31)) > 0.04).astype(np.uint8) * r.integers(1, 255, (23, 31)).astype(np.uint8)
+    ys, xs = [0, 8, 16, 23], [0, 10, 20, 31]
+    rows = [(1, i * 3 + j, i, j, ys[i + 1] - ys[i], xs[j + 1] - xs[j], whole[ys[i] : ys[i + 1], xs[j] : xs[j + 1]].tobytes()) for i in range(3) for j in range(3)]
+    got = tileops.erode_tiles(spark.createDataFrame(rows, "slide int, tile int, gr int, gc int, h int, w int, mask binary"), radius).collect()
+    out = np.zeros_like(whole)
+    for t in got:
+        out[ys[t.gr] : ys[t.gr] + t.h, xs[t.gc] : xs[t.gc] + t.w] = np.frombuffer(t.mask, np.uint8).reshape(t.h, t.w)
+    padded = np.pad(whole, radius)
+    want = whole.copy()
+    for y in range(23):
+        for x in range(31):
+            if any(padded[y + radius + dy, x + radius + dx] == 0 for dy, dx in mask.disk(radius)):
+                want[y, x] = 0
+    assert len(got) == 9 and (out == want).all() and want.any()
+
+
+def test_window_of_a_slide_mask(spark):
+    m = np.arange(12, dtype=np.uint8).reshape(3, 4)
+    rows = [(3, 5, m.tobytes(), 3, 4, 2, 6, 9, 14), (3, 5, None, 3, 4, 2, 6, 9, 14)]
+    df = spark.createDataFrame(rows, "h int, w int, mask binary, mask_h int, mask_w int, row_up int, col_up int, full_h int, full_w int")
+    got = [x.mask for x in tileops.sample_mask(df).collect()]
+    full = m[np.minimum((np.arange(9) + 0.5) * 3 / 9, 2).astype(int)][:, np.minimum((np.arange(14) + 0.5) * 4 / 14, 3).astype(int)]
+    assert got[1] is None and (np.frombuffer(got[0], np.uint8).reshape(3, 5) == full[2:5, 6:11]).all()
+
+
+@pytest.mark.parametrize("mode", canvas.MODES)
+def test_paste(spark, mode):
+    r = np.random.default_rng(5)
+    parts = [(1, k, int(r.integers(-4, 30)), int(r.integers(-4, 30)), 5, 7, (r.integers(0, 4, (5, 7)) * 60).astype(np.uint8).tobytes()) for k in range(40)]
+    df = spark.createDataFrame(parts, "slide int, seq long, y0 int, x0 int, h int, w int, pixels binary").repartition(5)
+    want = np.zeros((40, 40), np.uint8)
+    for _, _, y0, x0, h, w, px in parts:
+        for y, x in np.ndindex(h, w):
+            v = px[y * w + x]
+            if y0 + y >= 0 and x0 + x >= 0 and (mode == "last" or v > (want[y0 + y, x0 + x] if mode == "max" else 0)):
+                want[y0 + y, x0 + x] = v
+    out = np.zeros((40, 40), np.uint8)
+    for b in canvas.paste(df, 8, mode).collect():
+        out[b.by * 8 : b.by * 8 + 8, b.bx * 8 : b.bx * 8 + 8] = np.frombuffer(b.pixels, np.uint8).reshape(8, 8)
+    assert (out == want).all() and canvas.paste(df.filter("false"), 8, mode).count() == 0
+
+
+def test_tiff_files(spark, tmp_path):
+    r = np.random.default_rng(6)
+    images = [(f"s/{k}.tif", h, w, c, r.integers(0, 256, h * w * c).astype(np.uint8).tobytes()) for k, (h, w, c) in enumerate([(1, 1, 1), (5, 7, 3), (4, 3, 4), (9, 2, 1)])]
+    df = spark.createDataFrame(images + [("s/bad.tif", 2, 2, 3, b"abc")], "name string, h int, w int, channels int, pixels binary")
+    log = {x.name: x for x in tiff.write_tiffs(df, f"file://{tmp_path}").collect()}
+    assert log["s/bad.tif"].error and not (tmp_path / "s/bad.tif").exists()
+    (tmp_path / "s/none.tiff").write_bytes(b"nothing")
+    got = {x.path.rsplit("/", 1)[1]: x for x in tiff.read_tiffs(spark, f"file://{tmp_path}").collect()}
+    assert got["none.tiff"].error
+    for name, h, w, c, px in images:
+        x = got[name[2:]]
+        assert (x.h, x.w, x.channels, bytes(x.pixels), x.error) == (h, w, c, px, None)
+        big = tiff.encode(px, h, w, c, big=True, description="a micro µ")
+        form, pages = tiff.pages_of(lambda at, n, big=big: big[at : at + n])
+        assert form["big"] and len(pages) == 1 and tiff.decode(lambda at, n, big=big: big[at : at + n]) == (h, w, c, px)
+    two = tiff.encode(b"a", 1, 1, 1)
+    at = struct.unpack_from("<I", two, 4)[0]
+    linked = two[:-4] + struct.pack("<I", at)  # a directory that points at itself ends the walk
+    assert len(tiff.pages_of(lambda a, n: linked[a : a + n])[1]) == 1
+    coords = spark.createDataFrame([(1, 1, 0, 5, 4, 9), (1, 0, 0, 0, 4, 5)], "slide_id int, tile_id int, row_up int, col_up int, row_low int, col_low int")
+    (tmp_path / "c.npy").write_bytes(tiff.coordinates_npy(coords).first().npy)
+    assert np.load(tmp_path / "c.npy").tolist() == [[0, 0, 4, 5], [0, 5, 4, 9]]
+
+
+def test_channels_and_stats(spark):
+    rows = [(1, 0, 2, 2, bytes([255] * 4)), (1, 1, 2, 2, bytes([255] * 16)), (1, 2, 2, 2, b"abc"), (1, 3, 2, 2, bytes([0] * 12))]
+    df = spark.createDataFrame(rows, "slide int, tile int, h int, w int, rgb binary")
+    got = infer.infer(df.filter("tile < 3"), lambda: infer.bright)
+    s = infer.infer_stats(df, got).first()
+    assert (s.processed, s.skipped, s.errors) == (2, 1, 1) and "3 bytes" in s.first_error
+    x = np.arange(12, dtype=np.uint8)
+    assert (infer.as_rgb(x.tobytes(), 2, 2, True) == x.reshape(3, 2, 2).transpose(1, 2, 0)).all()
+
+
+def test_slides_pass_their_gates(spark):
+    a, b, c = tile(6, 6, 1, 3)
+    other = lambda m, p: (m if m is None else m.tobytes(), p if p is None else p.tobytes())
+    rows = [(s, t, 6, 6, a.tobytes(), *other(m, p), 3, 3) for s, t, m, p in [(1, 0, b, c), (1, 1, b, c), (2, 0, None, None), (3, 0, b, None), (4, 0, b, c[:2]), (5, 0, b, c)]]
+    tiles = spark.createDataFrame(rows, "slide int, tile int, h int, w int, rgb binary, mask binary, pred binary, out_h int, out_w int")
+    wanted = spark.createDataFrame([(1, 2), (2, 1), (3, 1), (4, 1), (5, 2), (6, 1)], "slide int, n_tiles long")
+    state = slides.run_stages({"tiles": tiles, "slides": wanted}, settings=config.Settings(pix_1mm=30))
+    got = {r.slide: r for r in state["report"].collect()}
+    codes = {1: ("OK", "STAGE3_ABNORMAL"), 2: ("STAGE1_EMPTY",), 3: ("STAGE2_EMPTY",), 4: ("STAGE2_EMPTY",), 5: ("TILEMASKER_LOG_MISSING",), 6: ("DIR_NOT_FOUND",)}
+    assert all(got[s].code in c for s, c in codes.items()) and got[4].n_errors == 1
+    model = [*slides.STAGES[:1], slides.prediction(lambda: infer.bright), *slides.STAGES[2:]]
+    assert slides.run_stages({"tiles": tiles, "slides": wanted}, model, config.Settings(pix_1mm=30))["report"].filter("slide = 3").first().n_pred == 1
+    assert set(slides.run_stages({"tiles": tiles}, only=["masking"])) == {"tiles", "masked"}
+
+
+def test_discovery(spark):
+    paths = ["/d/a/heatmap/seg_tiles/t.tif", "/d/a/magick_tmp/x", "/d/b/RES(1)/tiles/tiling_info.xml", "/d/b/RES(0)/tiles/other", "/d/b/RES1/q_000000.tif"]
+    f = spark.createDataFrame([(p,) for p in paths], "path string")
+    assert sorted(r.slide_dir for r in discovery.slice_dirs(f, "/d").collect()) == ["/d/a", "/d/b"]
+    assert [r.slide_dir for r in discovery.slice_dirs(f, "/d/a").collect()] == ["/d/a"]
+    assert discovery.tiling_infos(f).first() == ("/d/b", paths[2]) and discovery.iron_images(f).first().path == paths[4]
+    t = spark.createDataFrame([(1, 0), (1, 1), (1, 2)], "slide int, tile int")
+    p, i = (spark.createDataFrame(x, "slide int, tile int, path string") for x in ([(1, 0, "p0")], [(1, 0, "i0"), (1, 1, "i1")]))
+    assert sorted(map(tuple, discovery.tile_sources(t, p, i).collect())) == [(1, 0, "p0", "prediction"), (1, 1, "i1", "image"), (1, 2, None, "none")]
+
+
 def test_settings():
     s = config.from_ini("[global]\nPIX_1MM=2890\n[tile_masking]\nEROSION_PIXELS = 50\n[heat_map]\nEROSION_PIXELS=9\nHMAP_RES=0.1\n")
     assert (s.npix, s.erosion_pixels, s.heatmap_erosion_pixels) == (289, 50, 9)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STAINS = ["amyloid", "tau", "iron"]
@@ -68,3 +68,26 @@ def excluded(name: Column) -> Column:
     """Names of brain and white-matter masks and of downsampled images."""
     lower = F.lower(name)
     return lower.contains("brain") | lower.contains("wm") | lower.contains("res10") | lower.contains("magick_tmp")
+
+
+def without_stain(name: Column) -> Column:
+    """The name without its stain's token."""
+    keyword = F.coalesce(*[F.when(stain(name) == s, F.lit(k)) for s, k in KEYWORDS.items()])
+    kept = F.filter(F.split(name, "_"), lambda p: F.lower(p) != keyword)
+    return F.when(keyword.isNotNull(), F.array_join(kept, "_")).otherwise(name)
+
+
+def same_colour(stain_name: Column) -> Column:
+    """A stain as settings and folders write it (TAU, Tau) in the one form used here."""
+    return F.lower(F.trim(stain_name))
+
+
+def class_numbers(label: Column, values: list[int]) -> Column:
+    """The place of each label in values; null for others."""
+    return (F.nullif(F.array_position(F.lit(values).cast("array<int>"), label.cast("int")), F.lit(0)) - 1).cast("int")
+
+
+def wanted_files(files: DataFrame, skip: DataFrame | None = None, max_bytes: int = 300 << 30) -> DataFrame:
+    """files (name, bytes) of at most max_bytes that excluded() doesn't name and skip (name) doesn't list."""
+    kept = files.filter(~excluded(F.col("name")) & (F.col("bytes") <= max_bytes))
+    return kept if skip is None else kept.join(skip.select("name"), "name", "left_anti")

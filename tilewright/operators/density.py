@@ -35,7 +35,8 @@ def tile_density(tiles: DataFrame, npix: int, mask_val: int = 255, threshold: in
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for t in frame.itertuples():
+            made = []
+            for k, t in enumerate(frame.itertuples()):
                 h, w = int(t.h), int(t.w)
                 nr, nc = int(np.rint(h / npix)), int(np.rint(w / npix))
                 if nr == 0 or nc == 0:
@@ -49,7 +50,10 @@ def tile_density(tiles: DataFrame, npix: int, mask_val: int = 255, threshold: in
                 at = [np.arange(n) * npix for n in (nr, nc)]
                 sums = [np.add.reduceat(np.add.reduceat(x.astype(np.int64), at[0], axis=0), at[1], axis=1).ravel() for x in (pred, tissue)]
                 br, bc = np.divmod(np.arange(nr * nc, dtype=np.int32), nc)
-                yield pd.DataFrame({"slide": t.slide, "tile": t.tile, "br": br.astype(np.int32), "bc": bc.astype(np.int32), "n_pred": sums[0], "n_tissue": sums[1]})
+                made.append((np.full(nr * nc, k), br.astype(np.int32), bc.astype(np.int32), *sums))
+            if made:
+                at, br, bc, n_pred, n_tissue = map(np.concatenate, zip(*made, strict=True))
+                yield pd.DataFrame({"slide": frame.slide.to_numpy()[at], "tile": frame.tile.to_numpy()[at], "br": br, "bc": bc, "n_pred": n_pred, "n_tissue": n_tissue})
 
     types = dict(tiles.dtypes)
     rows = tiles.select("slide", "tile", "h", "w", "rgb", "mask", "pred").mapInPandas(

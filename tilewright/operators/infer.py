@@ -28,10 +28,27 @@ def bright(image: np.ndarray) -> np.ndarray:
     return np.stack([np.full_like(level, 0.5), level])
 
 
-def infer(tiles: DataFrame, load: Callable[[], Segmenter], divisor: int = 32, fg: int = 255) -> DataFrame:
+def ramp(image: np.ndarray) -> np.ndarray:
+    """A segmenter without weights whose answer depends on a pixel's place, so that turned tiles give other answers."""
+    level = np.rint(image.astype(np.float64) * 255).sum(axis=0) / 765
+    r, c = np.indices(level.shape)
+    return np.stack([np.full_like(level, 0.5), level + 0.01 * r - 0.02 * c])
+
+
+def as_rgb(pixels: bytes, h: int, w: int, channels_first: bool = False) -> np.ndarray:
+    """A tile's bytes as (h, w, 3): one channel is repeated, a fourth is left out."""
+    n = len(pixels) // max(h * w, 1)
+    if n not in (1, 3, 4) or n * h * w != len(pixels):
+        raise ValueError(f"{len(pixels)} bytes aren't 1, 3 or 4 channels of {h} x {w}")
+    x = np.frombuffer(pixels, np.uint8)
+    x = x.reshape(n, h, w).transpose(1, 2, 0) if channels_first else x.reshape(h, w, n)
+    return np.repeat(x, 3, axis=2) if n == 1 else x[:, :, :3]
+
+
+def infer(tiles: DataFrame, load: Callable[[], Segmenter], divisor: int = 32, fg: int = 255, channels_first: bool = False) -> DataFrame:
     """(slide, tile, h, w, rgb binary) -> (slide, tile, pred binary, error): whole-tile inference; load runs once per task.
 
-    Tiles are scaled to [0, 1], padded below and right by reflection to multiples of
+    Tiles of 1, 3 or 4 channels become RGB, are scaled to [0, 1], padded below and right by reflection to multiples of
     divisor and cut back. A tile that fails has a null pred and its error.
     """
 
@@ -41,7 +58,7 @@ def infer(tiles: DataFrame, load: Callable[[], Segmenter], divisor: int = 32, fg
             pred, errors = [], []
             for t in frame.itertuples():
                 try:
-                    x = np.frombuffer(t.rgb, np.uint8).reshape(int(t.h), int(t.w), 3).transpose(2, 0, 1).astype(np.float32) / 255
+                    x = as_rgb(t.rgb, int(t.h), int(t.w), channels_first).transpose(2, 0, 1).astype(np.float32) / 255
                     down, right = -int(t.h) % divisor, -int(t.w) % divisor
                     mode = "reflect" if min(t.h, t.w) > 1 else "edge"
                     cls = model(np.pad(x, ((0, 0), (0, down), (0, right)), mode=mode)).argmax(axis=0)[: int(t.h), : int(t.w)]
@@ -56,6 +73,15 @@ def infer(tiles: DataFrame, load: Callable[[], Segmenter], divisor: int = 32, fg
     return tiles.select("slide", "tile", "h", "w", "rgb").mapInPandas(run, f"slide {types['slide']}, tile {types['tile']}, pred binary, error string")
 
 
+def infer_stats(tiles: DataFrame, results: DataFrame) -> DataFrame:
+    """Per slide of tiles (slide, tile): tiles processed, skipped (no result) and failed, with the first failed tile's error."""
+    both = tiles.select("slide", "tile").join(results.select("slide", "tile", "error", F.lit(True).alias("_done")), ["slide", "tile"], "left")
+    return both.groupBy("slide").agg(
+        F.count_if(F.col("_done") & F.col("error").isNull()).alias("processed"), F.count_if(F.col("_done").isNull()).alias("skipped"),
+        F.count("error").alias("errors"), F.min_by("error", F.when(F.col("error").isNotNull(), F.col("tile"))).alias("first_error"),
+    )
+
+
 #: name -> (row, column) in the augmented n x n tile of pixel (r, c); rotations are counter-clockwise.
 AUGMENTATIONS = {
     "identity": ("r", "c"),

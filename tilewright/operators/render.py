@@ -37,3 +37,17 @@ def verify(heatmap: DataFrame) -> DataFrame:
     sums = heatmap.groupBy("slide").agg(F.max("value").alias("max_value"), F.count_if(F.col("value") != 0).alias("n_nonzero"), F.count("*").alias("n"))
     code = F.when(F.col("max_value") > LEGAL_MAX, "STAGE3_ABNORMAL").when(F.col("n_nonzero") == 0, "STAGE3_VERIFY_FAILED").otherwise("OK")
     return sums.select("slide", "max_value", "n_nonzero", (100.0 * F.col("n_nonzero") / F.col("n")).alias("pct_nonzero"), code.alias("code"))
+
+
+def matched(tiles: DataFrame, small: DataFrame) -> DataFrame:
+    """Tiles (slide, tile, h, w) with their sizes at reduced scale (slide, tile, out_h, out_w), of slides where both have as many tiles."""
+    n = lambda df, c: df.groupBy("slide").agg(F.count("*").alias(c))
+    fit = n(tiles, "_a").join(n(small, "_b"), "slide").filter("_a = _b").select("slide")
+    return tiles.join(small, ["slide", "tile"]).join(fit, "slide", "left_semi")
+
+
+def same_shape(tiles: DataFrame, predictions: DataFrame) -> DataFrame:
+    """tiles (slide, tile, h, w) and predictions (slide, tile, pred binary): pred of another size than its tile's goes, error says so."""
+    both = tiles.join(predictions, ["slide", "tile"], "left")
+    wrong = F.col("pred").isNotNull() & (F.octet_length("pred") != F.col("h") * F.col("w"))
+    return both.withColumn("error", F.when(wrong, F.lit("prediction and tile differ in size"))).withColumn("pred", F.when(~wrong, F.col("pred")))

@@ -66,3 +66,38 @@ def would_free(files: DataFrame) -> DataFrame:
     """(stain, slide, kb) of intermediate files -> slides with something to free, kB, MB and GB in whole units."""
     by_slide = files.groupBy("stain", "slide").agg(F.sum("kb").alias("kb")).filter("kb > 0")
     return by_slide.groupBy("stain").agg(F.count("*").alias("slides"), F.sum("kb").alias("kb")).withColumn("mb", F.expr("kb div 1024")).withColumn("gb", F.expr("kb div 1048576"))
+
+
+def entries(results: DataFrame) -> DataFrame:
+    """(slide, code[, detail]) -> (slide, log, line): the log a slide's line goes to, success for OK and warnings, failure for all but OK."""
+    detail = F.col("detail") if "detail" in results.columns else F.lit(None).cast("string")
+    line = F.when(F.col("code") == "OK", F.col("slide").cast("string")).otherwise(F.concat_ws("|", F.col("slide").cast("string"), "code", detail))
+    logs = F.when(F.col("code") == "OK", F.array(F.lit("success"))).when(status(F.col("code")) == "WARN", F.array(F.lit("success"), F.lit("failure"))).otherwise(F.array(F.lit("failure")))
+    return results.select("slide", F.explode(logs).alias("log"), line.alias("line"))
+
+
+def error_counts(log: DataFrame) -> DataFrame:
+    """Entries and errors (code other than OK) of each stage."""
+    return log.groupBy("stage").agg(F.count("*").alias("entries"), F.count_if(F.col("code") != "OK").alias("errors"))
+
+
+def first_errors(log: DataFrame, n: int = 10) -> DataFrame:
+    """(seq, message): the first n errors by seq and, if there are more, a last row that says how many, seq null."""
+    errors = log.filter(F.col("code") != "OK").select("seq", F.concat_ws(" ", F.col("slide").cast("string"), "code").alias("message"))
+    more = errors.agg((F.count("*") - n).alias("k")).filter("k > 0").select(F.lit(None).cast("long").alias("seq"), F.format_string("... and %d more", "k").alias("message"))
+    return errors.orderBy("seq").limit(n).unionByName(more)
+
+
+def conversion_state(wanted: DataFrame, files: DataFrame) -> DataFrame:
+    """wanted (slide) against files (slide, kind: full or small): done if both are there, resume if only the full one is, else convert."""
+    there = files.groupBy("slide").agg(F.count_if(F.col("kind") == "full").alias("_f"), F.count_if(F.col("kind") == "small").alias("_s"))
+    state = F.when((F.col("_f") > 0) & (F.col("_s") > 0), "done").when(F.col("_f") > 0, "resume").otherwise("convert")
+    return wanted.join(there, "slide", "left").withColumn("state", state).drop("_f", "_s")
+
+
+def stage_states(slides: DataFrame) -> DataFrame:
+    """(slide, code) of slides -> (slide, stage, state): each of the three stages is ok, failed (the code's own) or not reached."""
+    failed = F.when(F.col("code") == "DIR_NOT_FOUND", 0).when(F.col("code").startswith("STAGE1") | F.col("code").startswith("TILEMASKER"), 1).when(F.col("code").startswith("STAGE2"), 2)
+    failed = failed.when(F.col("code").isin("STAGE3_FAILED", "STAGE3_VERIFY_FAILED"), 3).otherwise(9)
+    rows = slides.select("slide", failed.alias("_f"), F.posexplode(F.array(*map(F.lit, ("masking", "prediction", "heatmap")))).alias("_k", "stage"))
+    return rows.select("slide", "stage", F.when(F.col("_k") + 1 < F.col("_f"), "ok").when(F.col("_k") + 1 == F.col("_f"), "failed").otherwise("not reached").alias("state"))

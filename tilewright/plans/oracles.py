@@ -61,6 +61,17 @@ def _neighbours(south: str, east: str) -> str:
   CASE WHEN {east} THEN tile_id + 1 END AS east, CASE WHEN gc > 0 THEN tile_id - 1 END AS west FROM tl"""
 
 
+WHOLE = f"""{PX}, wh AS (SELECT *, tile // 20 * 8 + y AS gy, tile % 20 * 8 + xx AS gx FROM px),
+ er AS (SELECT a.slide, a.tile, a.y, a.xx, a.mask, count(*) AS n FROM wh a LEFT JOIN wh b ON a.slide = b.slide AND b.mask > 0 AND
+  ((a.gy = b.gy AND a.gx = b.gx) OR (a.gy = b.gy AND a.gx = b.gx - 1) OR (a.gy = b.gy AND a.gx = b.gx + 1) OR (a.gx = b.gx AND a.gy = b.gy - 1) OR (a.gx = b.gx AND a.gy = b.gy + 1)) GROUP BY 1, 2, 3, 4, 5)"""
+PARTS = """pa AS (SELECT slide, seq, y0 + i // 2 AS y, x0 + i % 2 AS x, v FROM (SELECT l_suppkey % 5 AS slide, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey * 50 + CAST(l_quantity AS INTEGER) AS seq, (l_partkey % 40 - 1)::INTEGER AS y0, (l_orderkey % 50 - 1)::INTEGER AS x0,
+  CASE WHEN l_quantity < 20 THEN 0 ELSE CAST(floor(5 * l_quantity) AS INTEGER) END AS v FROM lineitem), range(6) t(i) WHERE y0 + i // 2 >= 0 AND x0 + i % 2 >= 0)"""
+REPORT = f"""{HEAT}, nt AS (SELECT slide, tile, bool_or(pred > 0) AS p FROM px GROUP BY 1, 2), cn AS (SELECT slide, count(*) AS n_tiles, count(*) FILTER (p) AS n_pred FROM nt GROUP BY 1),
+ vf AS (SELECT slide, max(value) AS m, count(*) FILTER (value <> 0) AS n_nonzero FROM heat GROUP BY 1),
+ rp AS (SELECT slide::BIGINT AS slide, n_tiles, n_tiles AS n_seg, n_pred, 0::BIGINT AS n_errors, round(m, 6) AS max_value, n_nonzero, CASE WHEN n_pred = 0 THEN 'STAGE2_EMPTY' WHEN m > 100000 THEN 'STAGE3_ABNORMAL'
+   WHEN n_nonzero = 0 THEN 'STAGE3_VERIFY_FAILED' ELSE 'OK' END AS code, CASE WHEN n_pred = 0 OR n_nonzero = 0 THEN 'FAIL' WHEN m > 100000 THEN 'WARN' ELSE 'OK' END AS status FROM cn JOIN vf USING (slide)
+  UNION ALL SELECT -r_regionkey - 1, 1, NULL, NULL, NULL, NULL, NULL, 'DIR_NOT_FOUND', 'FAIL' FROM region)"""
+
 CODE = """CASE WHEN slide_id % 19 = 0 THEN 'DIR_NOT_FOUND' WHEN slide_id % 17 = 0 THEN 'STAGE1_FAILED' WHEN slide_id % 13 = 0 THEN 'STAGE1_EMPTY' WHEN slide_id % 11 = 0 THEN 'TILEMASKER_LOG_MISSING'
   WHEN p_size = 1 THEN 'STAGE2_FAILED' WHEN p_size = 2 THEN 'STAGE2_EMPTY' WHEN p_size = 3 THEN 'STAGE3_FAILED' WHEN p_retailprice * 60 > 100000 THEN 'STAGE3_ABNORMAL'
   WHEN p_size % 7 = 0 THEN 'STAGE3_VERIFY_FAILED' ELSE 'OK' END"""
@@ -74,10 +85,11 @@ ORACLE_SQL: dict[str, str] = {
     "q_adjacency_compat": _neighbours("true", "true"),
     "q_seg_tile": f"WITH {SEG} SELECT slide, tile, y AS r, xx AS c, red, green, blue FROM seg",
     "q_clean_pred": f"WITH {CLEAN} SELECT slide, tile, y AS r, xx AS c, pred, removed FROM clean",
-    "q_clean_stats": f"""WITH {CLEAN}, g AS (SELECT slide, tile, count(*) FILTER (removed) AS gone FROM clean WHERE tile % 7 <> 0 GROUP BY 1, 2)
+    "q_clean_stats": f"""WITH {CLEAN}, g AS (SELECT slide, tile, count(*) FILTER (removed) AS gone FROM clean GROUP BY 1, 2)
   SELECT e.label AS slide, count(*) AS total, count(gone) AS processed, count(*) FILTER (gone IS NULL) AS skipped, CAST(sum(coalesce(gone, 0)) AS BIGINT) AS pixels_removed,
   count(*) FILTER (gone > 0) AS tiles_with_background FROM embeddings e LEFT JOIN g ON e.label = g.slide AND e.vec_id = g.tile GROUP BY 1""",
-    "q_tile_mask_join": """WITH s AS (SELECT label AS slide, count(*) AS n_images, count(*) FILTER (vec_id % 97 <> 0) AS n_masks FROM embeddings GROUP BY 1)
+    "q_tile_mask_join": f"""WITH {PX}, m AS (SELECT DISTINCT slide, tile FROM px WHERE mask = 255), s AS (SELECT label AS slide, count(*) AS n_images, count(m.tile) AS n_masks
+  FROM embeddings LEFT JOIN m ON slide = label AND tile = vec_id GROUP BY 1)
   SELECT slide, n_images, n_masks, n_masks AS n_joined, n_images <> n_masks AS excluded, CASE WHEN n_images <> n_masks THEN 1 ELSE 0 END::BIGINT AS n_errors FROM s""",
     "q_block_density": f"WITH {BLOCKS} {DENSITY}",
     "q_block_density_wrap": f"WITH {WRAP} {DENSITY}",
@@ -137,11 +149,47 @@ ORACLE_SQL: dict[str, str] = {
     "q_grid_fallback": f"WITH {GRID} SELECT slide_id, grid_rows, CAST(CASE WHEN slide_id % 3 = 0 THEN grid_cols + slide_id % 2 ELSE grid_cols END AS INTEGER) AS grid_cols, slide_id % 3 = 0 AND slide_id % 2 = 1 AS size_differs FROM grid",
     "q_union_sources": "SELECT user_id, event_type FROM events WHERE event_type = 'view' UNION ALL SELECT user_id, event_type FROM events WHERE event_type = 'click'",
     "q_distinct_slides": "SELECT DISTINCT user_id AS slide FROM events",
-    "q_top_errors": f"WITH {LOG} SELECT seq, slide, code FROM lg WHERE code <> 'OK' ORDER BY seq LIMIT 10",
+    "q_top_errors": f"""WITH {LOG}, e AS (SELECT seq, slide || ' ' || code AS message FROM lg WHERE code <> 'OK')
+  SELECT * FROM (SELECT * FROM e ORDER BY seq LIMIT 10) UNION ALL SELECT NULL, '... and ' || (count(*) - 10) || ' more' FROM e HAVING count(*) > 10""",
     "q_stain_dim": f"WITH {SLIDES}, s AS (SELECT slide_id, {STAIN} AS stain FROM sl) SELECT slide_id, stain, CASE stain WHEN 'amyloid' THEN 'Amyloid' WHEN 'tau' THEN 'Tau' ELSE 'Iron' END || '_seg_tiles' AS folder FROM s",
     "q_cleanup_report": """WITH b AS (SELECT ['amyloid', 'tau', 'iron'][o_custkey % 3 + 1] AS stain, o_custkey AS slide, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS kb FROM orders GROUP BY 1, 2 HAVING kb > 0),
   s AS (SELECT stain, count(*) AS slides, CAST(sum(kb) AS BIGINT) AS kb FROM b GROUP BY 1) SELECT *, kb // 1024 AS mb, kb // 1048576 AS gb FROM s""",
     "q_label_map": f"WITH {PX} SELECT slide, count(*) AS labelled, CAST(sum(CASE WHEN pred > 0 THEN 1 ELSE 0 END) AS BIGINT) AS foreground FROM px WHERE x >= -0.2 GROUP BY 1",
     "q_mask_resize": f"WITH {PX} SELECT a.slide, a.tile, a.y AS r, a.xx AS c, b.mask FROM px a JOIN px b ON a.slide = b.slide AND a.tile = b.tile AND b.y = a.y // 2 * 2 AND b.xx = a.xx // 2 * 2",
     "q_masking_applied": f"WITH {PX} SELECT slide, count(*) FILTER (mask < 255 AND R > 0) AS n_changed, count(*) FILTER (mask < 255 AND R > 0) > 0 AS applied FROM px GROUP BY 1",
+    "q_erode_slide_tiles": f"WITH {WHOLE} SELECT slide, tile, y AS r, xx AS c, CASE WHEN n = 5 THEN mask ELSE 0 END AS mask FROM er",
+    "q_eroded_count": f"WITH {WHOLE} SELECT slide, count(*) FILTER (mask > 0 AND n < 5) AS n_eroded FROM er GROUP BY 1",
+    "q_tta_tiles": f"""WITH {PX}, a AS (SELECT slide, tile, y, xx, (R + G + B) / 765.0::DOUBLE AS l, unnest({AUG}) AS k FROM px),
+  m AS (SELECT slide, tile, y AS r, xx AS c, avg(1 / (1 + exp(0.5::DOUBLE - (l + 0.01::DOUBLE * k[1] - 0.02::DOUBLE * k[2])))) AS p FROM a GROUP BY 1, 2, 3, 4)
+  SELECT slide, tile, r, c, CASE WHEN p > 0.5 THEN 255 ELSE 0 END AS cls FROM m""",
+    "q_shrink_tiles": f"""WITH {PX}, s AS (SELECT slide, tile, y // 3 AS y3, xx // 3 AS x3, count(*) AS n, sum(R) AS sr, sum(G) AS sg, sum(B) AS sb FROM px GROUP BY 1, 2, 3, 4)
+  SELECT slide, tile, y3::INTEGER AS r, (x3 * 3 + k)::INTEGER AS c, ([sr, sg, sb][k + 1] // n)::INTEGER AS small FROM s, range(3) t(k)""",
+    "q_cut_tiles": f"""WITH {PX}, e AS (SELECT *, y * 3 // 8 AS g0, xx * 3 // 8 AS h0 FROM px), g AS (SELECT *, CASE WHEN (g0 + 1) * 8 // 3 <= y THEN g0 + 1 ELSE g0 END AS gr, CASE WHEN (h0 + 1) * 8 // 3 <= xx THEN h0 + 1 ELSE h0 END AS gc FROM e)
+  SELECT tile AS slide_id, (gr * 3 + gc)::INTEGER AS tile_id, (gr * 8 // 3)::INTEGER AS row_up, (gc * 8 // 3)::INTEGER AS col_up, (3 * count(*))::INTEGER AS n_bytes, sum(R + G + B)::INTEGER AS total FROM g GROUP BY 1, 2, gr, gc""",
+    "q_paste_max": f"WITH {PARTS} SELECT slide, y, x, max(v) AS v FROM pa GROUP BY 1, 2, 3 HAVING max(v) > 0",
+    "q_paste_last": f"WITH {PARTS} SELECT slide, y, x, arg_max(v, seq) AS v FROM pa GROUP BY 1, 2, 3 HAVING arg_max(v, seq) > 0",
+    "q_paste_last_set": f"WITH {PARTS} SELECT slide, y, x, arg_max(v, seq) AS v FROM pa WHERE v > 0 GROUP BY 1, 2, 3",
+    "q_infer_stats": f"""WITH {PX}, t AS (SELECT slide, tile, max(R) AS m, bool_or(mask = 255) AS tissue, max(mask) AS k FROM px GROUP BY 1, 2), f AS (SELECT *, m >= 64 OR k = 0 AS tried FROM t)
+  SELECT slide, count(*) FILTER (tried AND tissue) AS processed, count(*) FILTER (NOT tried) AS skipped, count(*) FILTER (tried AND NOT tissue) AS errors FROM f GROUP BY 1""",
+    "q_error_counts": f"WITH {LOG} SELECT stage, count(*) AS entries, count(*) FILTER (code <> 'OK') AS errors FROM lg GROUP BY 1",
+    "q_log_entries": f"""WITH {LAST}, l AS (SELECT slide, code FROM last WHERE k = 1) SELECT slide, 'success' AS log, CASE code WHEN 'OK' THEN slide::VARCHAR ELSE slide || '|' || code END AS line FROM l WHERE code IN ('OK', 'STAGE3_ABNORMAL')
+  UNION ALL SELECT slide, 'failure', slide || '|' || code FROM l WHERE code <> 'OK'""",
+    "q_conversion_state": """WITH o AS (SELECT o_custkey AS k, bool_or(o_orderstatus = 'F') AS f, bool_or(o_orderstatus <> 'F') AS s FROM orders GROUP BY 1)
+  SELECT c_custkey AS slide, CASE WHEN f AND s THEN 'done' WHEN f THEN 'resume' ELSE 'convert' END AS state FROM customer LEFT JOIN o ON k = c_custkey""",
+    "q_tiling_xml": f"WITH {GRID} SELECT slide_id, h, w, name || '<1>.tif' AS file, '/data/a&b/' || name AS home, grid_rows, grid_cols FROM grid",
+    "q_adjacency_xml": f"""WITH {TILES} SELECT slide_id, count(*)::INTEGER AS n_tiles, sum((gr > 0)::INTEGER + (gc > 0)::INTEGER + (gr < grid_rows - 1)::INTEGER + (gc < grid_cols - 1)::INTEGER)::INTEGER AS n_neighbours,
+  coalesce(sum(tile_id + grid_cols) FILTER (gr < grid_rows - 1), 0)::INTEGER AS south_sum FROM tl GROUP BY 1""",
+    "q_ome_metadata": f"""WITH {SLIDES} SELECT slide_id, CASE WHEN p_size > 0 THEN round(p_size * 1e-7::DOUBLE * 1e6::DOUBLE, 6) END AS x, CASE WHEN slide_id > 50 THEN 0.25::DOUBLE END AS y,
+  CASE WHEN slide_id > 50 THEN 'um' END AS "PhysicalSizeYUnit", NULL::DOUBLE AS z, '5 um;' || name AS channels FROM sl""",
+    "q_images_with_masks": f"WITH {SLIDES} SELECT '/data/' || name || '/output/RES/a.tiff' AS path, '/data/' || name || '/mask/final_mask/y_mask.tiff' AS mask FROM sl WHERE p_size > 5",
+    "q_res_dirs": f"WITH {SLIDES} SELECT '/data/' || name || '/output' AS slide_dir, '/data/' || name || '/output/RES' AS res_dir, '/data/' || name || '/output/RES/a_res10.tiff' AS small FROM sl",
+    "q_seg_tile_files": f"WITH {SLIDES} SELECT '/data/' || name || '/heatmap/seg_tiles/tile_000' || k || '.tif' AS path, 'tile_000' || k || '.tif' AS name, (k + 1)::INTEGER AS no FROM sl, range(2) t(k)",
+    "q_tiff_roundtrip": f"""WITH {PX} SELECT slide || '/tile_' || lpad(tile::VARCHAR, CAST(greatest(4, length(tile::VARCHAR)) AS INTEGER), '0') || '.tif' AS name, 8::BIGINT AS h, 8::BIGINT AS w, 3::BIGINT AS channels, 1 AS pages,
+  'uint8' AS dtype, false AS big, sum(R + G + B)::INTEGER AS total FROM px GROUP BY slide, tile""",
+    "q_name_parts": f"""WITH {SLIDES} SELECT name, array_to_string(list_filter(string_split(name, '_'), lambda p: lower(p) NOT IN ('cp13', 'iron', 'amyloid')), '_') AS plain,
+  CASE p_size WHEN 7 THEN 0 WHEN 3 THEN 1 WHEN 20 THEN 2 END AS cls FROM sl""",
+    "q_slide_pipeline": f"WITH {REPORT} SELECT * FROM rp",
+    "q_stage_states": f"""WITH {REPORT} SELECT slide, ['masking', 'prediction', 'heatmap'][k] AS stage, CASE WHEN code = 'DIR_NOT_FOUND' THEN 'not reached' WHEN code = 'STAGE2_EMPTY' THEN ['ok', 'failed', 'not reached'][k]
+  WHEN code = 'STAGE3_VERIFY_FAILED' THEN ['ok', 'ok', 'failed'][k] ELSE 'ok' END AS state FROM rp, range(1, 4) t(k)""",
 }
+ORACLE_SQL["q_scale_tiles"] = ORACLE_SQL["q_dynamic_scale"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import naming
+from ..operators import canvas, infer, mask, metrics, mosaic, render, runlog, tileops, tiling
 from ..operators import density as dn
-from ..operators import infer, mask, metrics, mosaic, render, runlog, tiling
+from ..sources import discovery, metadata, tiff
+from ..sources.config import Settings
+from ..sources.shared import shared_dir
+from . import slides as sp
 from . import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,14 +84,14 @@ def q_clean_pred(spark, d):
 
 @query
 def q_clean_stats(spark, d):
-    seg = mask.clean(mask.segment(v.pixels(spark, d)).filter("tile % 7 <> 0"))
-    return mask.clean_stats(v.tile_sizes(spark, d).select("slide", "tile"), seg)
+    return mask.clean_stats(v.tile_sizes(spark, d).select("slide", "tile"), _cleaned(spark, d))
 
 
 @query
 def q_tile_mask_join(spark, d):
-    t = v.tile_sizes(spark, d).select("slide", "tile")
-    return mask.join_status(t, t.filter("tile % 97 <> 0"))
+    """Images of all tiles, masks of those with tissue."""
+    tissue = v.pixels(spark, d).filter("mask = 255").select("slide", "tile").distinct()
+    return mask.join_status(v.tile_sizes(spark, d).select("slide", "tile"), tissue)
 
 
 @query
@@ -348,8 +353,7 @@ def q_distinct_slides(spark, d):
 
 @query
 def q_top_errors(spark, d):
-    e = v.run_events(spark, d).filter("code <> 'OK'").select("seq", "slide", "code")
-    return e.orderBy("seq").limit(10)
+    return runlog.first_errors(v.run_events(spark, d), 10)
 
 
 @query
@@ -376,9 +380,8 @@ def q_label_map(spark, d):
 @query
 def q_mask_resize(spark, d):
     """Masks at half size, sampled for each pixel of the tile."""
-    low = v.pixels(spark, d).filter("r % 2 = 0 and c % 2 = 0").select("slide", "tile", F.expr("cast(r div 2 as int)").alias("sr"), F.expr("cast(c div 2 as int)").alias("sc"), F.col("mask").alias("m"))
-    px = v.pixels(spark, d).select("slide", "tile", "r", "c", *[g.nearest_source(F.col(k), F.lit(4), F.lit(8)).alias(f"s{k}") for k in "rc"])
-    return px.join(low, ["slide", "tile", "sr", "sc"]).select("slide", "tile", "r", "c", F.col("m").alias("mask"))
+    t = v.tiles(spark, d).select("slide", "tile", "h", "w", v.thinned(F.col("mask")).alias("mask"), F.lit(4).alias("mask_h"), F.lit(4).alias("mask_w"))
+    return v.pixels_of(tileops.sample_mask(t), "mask")
 
 
 @query
@@ -386,3 +389,161 @@ def q_masking_applied(spark, d):
     raw = v.pixels(spark, d).withColumn("before", F.col("red") + F.col("green") + F.col("blue"))
     seg = mask.segment(raw).withColumn("changed", F.col("red") + F.col("green") + F.col("blue") != F.col("before"))
     return seg.groupBy("slide").agg(F.count_if("changed").alias("n_changed"), (F.count_if("changed") > 0).alias("applied"))
+
+
+@query
+def q_erode_slide_tiles(spark, d):
+    """Erosion over tiles placed on a grid, so disks cross the tiles' borders."""
+    return v.pixels_of(tileops.erode_tiles(v.placed(spark, d), 1), "mask")
+
+
+@query
+def q_eroded_count(spark, d):
+    t = v.placed(spark, d)
+    both = t.select("slide", "tile", F.col("mask").alias("before")).join(tileops.erode_tiles(t, 1).select("slide", "tile", "mask"), ["slide", "tile"])
+    return both.groupBy("slide").agg(F.sum(v.bytes_set(F.col("before")) - v.bytes_set(F.col("mask"))).alias("n_eroded"))
+
+
+@query
+def q_tta_tiles(spark, d):
+    got = tileops.infer_turned(v.tiles(spark, d), lambda: infer.ramp)
+    return v.pixels_of(got.join(v.tile_sizes(spark, d), ["slide", "tile"]), "pred").withColumnRenamed("pred", "cls")
+
+
+@query
+def q_scale_tiles(spark, d):
+    e = v.table(spark, d, "embeddings").select(F.col("label").alias("slide"), F.col("vec_id").alias("tile"), tileops.scaled(F.col("embedding").cast("array<double>")).alias("s"))
+    rows = e.select("slide", "tile", F.posexplode("s").alias("i", "scaled"))
+    return rows.select("slide", "tile", F.expr("cast(i div 8 as int)").alias("r"), (F.col("i") % 8).alias("c"), *_r("scaled"))
+
+
+@query
+def q_shrink_tiles(spark, d):
+    got = tileops.shrink(v.tiles(spark, d), 3).select("slide", "tile", F.lit(3).alias("h"), F.lit(9).alias("w"), "small")
+    return v.pixels_of(got, "small")
+
+
+@query
+def q_cut_tiles(spark, d):
+    """Each vector's raster as an image of its own, cut by a grid of 3-pixel tiles."""
+    images = v.tiles(spark, d).select(F.col("tile").alias("slide_id"), "h", "w", F.col("rgb").alias("pixels"))
+    at = tiling.coordinates(tiling.grid(images.select("slide_id", "h", "w"), 3)).drop("gr", "gc")
+    got = tileops.cut(images.join(at, "slide_id"))
+    return got.select("slide_id", "tile_id", "row_up", "col_up", F.octet_length("tile").alias("n_bytes"), v.byte_sum(F.col("tile")).alias("total"))
+
+
+@query
+def q_paste_max(spark, d):
+    return v.canvas_pixels(canvas.paste(v.parts(spark, d), 16, "max"), 16)
+
+
+@query
+def q_paste_last(spark, d):
+    return v.canvas_pixels(canvas.paste(v.parts(spark, d), 16, "last"), 16)
+
+
+@query
+def q_paste_last_set(spark, d):
+    return v.canvas_pixels(canvas.paste(v.parts(spark, d), 16, "last_set"), 16)
+
+
+@query
+def q_infer_stats(spark, d):
+    """Tiles with bright pixels only; the bytes of those without tissue are cut short, so that they fail."""
+    t = v.tiles(spark, d).filter(F.hex("rgb").rlike("^(..)*?[4-9A-F].") | F.hex("mask").rlike("^0*$"))
+    short = F.when(F.contains(F.hex("mask"), F.lit("FF")), F.col("rgb")).otherwise(F.expr("substring(rgb, 1, 10)"))
+    got = infer.infer(t.withColumn("rgb", short), lambda: infer.bright)
+    return infer.infer_stats(v.tile_sizes(spark, d), got).drop("first_error")
+
+
+@query
+def q_error_counts(spark, d):
+    return runlog.error_counts(v.run_events(spark, d))
+
+
+@query
+def q_log_entries(spark, d):
+    return runlog.entries(runlog.latest(v.run_events(spark, d)))
+
+
+@query
+def q_conversion_state(spark, d):
+    o = v.table(spark, d, "orders").select(F.col("o_custkey").alias("slide"), F.when(F.col("o_orderstatus") == "F", "full").otherwise("small").alias("kind"))
+    return runlog.conversion_state(v.table(spark, d, "customer").select(F.col("c_custkey").alias("slide")), o)
+
+
+@query
+def q_tiling_xml(spark, d):
+    """Tilings written as XML and read again, for slides whose tiles are all found."""
+    grid = _grid(spark, d).withColumn("home", F.concat(F.lit("/data/a&b/"), "name")).withColumn("file", F.concat("name", F.lit("<1>.tif")))
+    xml = metadata.tiling_xml(grid, tiling.sanity(grid, tiling.coordinates(grid)))
+    return metadata.parse_tiling(xml).drop("xml")
+
+
+@query
+def q_adjacency_xml(spark, d):
+    xml = metadata.adjacency_xml(tiling.adjacency(_grid(spark, d)))
+    n = lambda path: F.size(F.xpath("xml", F.lit(path)))
+    return xml.select("slide_id", n("/Tiles/Tile/@id").alias("n_tiles"), n("/Tiles/Tile/Neighbor/@tile").alias("n_neighbours"), F.xpath_int("xml", F.lit("sum(/Tiles/Tile/Neighbor[@side='south']/@tile)")).alias("south_sum"))
+
+
+@query
+def q_ome_metadata(spark, d):
+    s = v.slides(spark, d).select(
+        "slide_id", (F.col("p_size") * 1e-7).alias("scale_x"), F.when(F.col("slide_id") > 50, 2.5e-7).alias("scale_y"), F.lit(0.0).alias("scale_z"), F.array(F.lit("5 µm"), "name").alias("channels")
+    )
+    o = metadata.ome_metadata(s)
+    return o.select("slide_id", F.round("ome.PhysicalSizeX", 6).alias("x"), F.round("ome.PhysicalSizeY", 6).alias("y"), "ome.PhysicalSizeYUnit", F.col("ome.PhysicalSizeZ").alias("z"), F.array_join("ome.ChannelNames", ";").alias("channels"))
+
+
+@query
+def q_images_with_masks(spark, d):
+    f = v.slide_files(spark, d)
+    return discovery.with_masks(discovery.full_res(f), f).select("path", "mask")
+
+
+@query
+def q_res_dirs(spark, d):
+    return discovery.res_dirs(v.slide_files(spark, d))
+
+
+@query
+def q_seg_tile_files(spark, d):
+    return discovery.seg_tiles(v.slide_files(spark, d)).select("path", "name", "no")
+
+
+@query
+def q_tiff_roundtrip(spark, d):
+    """Tiles written as TIFF files to the shared folder, then their headers and pixels read again."""
+    folder = f"{shared_dir(spark)}/tiles-{uuid.uuid4().hex}"
+    t = v.tiles(spark, d).select(F.concat(F.col("slide").cast("string"), F.lit("/"), naming.tile_name(F.col("tile"))).alias("name"), "h", "w", F.lit(3).alias("channels"), F.col("rgb").alias("pixels"))
+    tiff.write_tiffs(t, folder).write.parquet(f"{folder}-log")
+    head = tiff.inspect_tiffs(spark, folder, 4).select("path", "pages", "dtype", "big")
+    got = tiff.read_tiffs(spark, folder).join(head, "path")
+    name = F.substring_index("path", "/", -2)
+    return got.select(name.alias("name"), "h", "w", "channels", "pages", "dtype", "big", v.byte_sum(F.col("pixels")).alias("total"))
+
+
+@query
+def q_name_parts(spark, d):
+    return v.slides(spark, d).select("name", naming.without_stain(F.col("name")).alias("plain"), naming.class_numbers(F.col("p_size"), [7, 3, 20]).alias("cls"))
+
+
+def _slide_state(spark, d):
+    tiles = v.tiles(spark, d).withColumn("out_h", F.lit(4)).withColumn("out_w", F.lit(4))
+    # a tile without any marked pixel has no prediction
+    tiles = tiles.withColumn("pred", F.when(~F.hex("pred").rlike("^0*$"), F.col("pred")))
+    slides = tiles.groupBy("slide").agg(F.count("*").alias("n_tiles"))
+    regions = v.table(spark, d, "region").select((-F.col("r_regionkey") - 1).cast(dict(slides.dtypes)["slide"]).alias("slide"), F.lit(1).cast("bigint").alias("n_tiles"))
+    return sp.run_stages({"tiles": tiles, "slides": slides.unionByName(regions)}, settings=Settings(pix_1mm=30))
+
+
+@query
+def q_slide_pipeline(spark, d):
+    """All stages; slides without tiles (one per region) fail at the first gate."""
+    return _slide_state(spark, d)["report"].select("slide", "n_tiles", "n_seg", "n_pred", "n_errors", *_r("max_value"), "n_nonzero", "code", "status")
+
+
+@query
+def q_stage_states(spark, d):
+    return runlog.stage_states(_slide_state(spark, d)["report"])

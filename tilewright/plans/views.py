@@ -40,6 +40,62 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masks of tiles() on a grid of 20 tiles in a row for each slide: (slide, tile, gr, gc, h, w, mask)."""
+    at = [F.expr("cast(tile div 20 as int)").alias("gr"), F.expr("cast(tile % 20 as int)").alias("gc")]
+    return tiles(spark, sf_dir).select("slide", "tile", *at, "h", "w", "mask")
+
+
+def _byte(column: Column, i: Column) -> Column:
+    return F.conv(F.substring(F.hex(column), i * 2 + 1, F.lit(2)), 16, 10).cast("int")
+
+
+def pixels_of(tiles_: DataFrame, column: str) -> DataFrame:
+    """(slide, tile, h, w, column binary) -> (slide, tile, r, c, column): a row for each byte."""
+    rows = tiles_.select("slide", "tile", "w", F.col(column).alias("_b"), F.explode(F.expr("sequence(0, h * w - 1)")).alias("i"))
+    return rows.select("slide", "tile", F.expr("cast(i div w as int)").alias("r"), F.expr("cast(i % w as int)").alias("c"), _byte(F.col("_b"), F.col("i")).alias(column))
+
+
+def thinned(mask: Column) -> Column:
+    """Every second pixel of every second row of an 8 x 8 raster's bytes."""
+    return F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.substring(F.hex(mask), (F.floor(k / 4) * 32 + k % 4 * 4 + 1).cast("int"), F.lit(2))), ""))
+
+
+def bytes_set(pixels_: Column) -> Column:
+    return F.size(F.filter(F.sequence(F.lit(0), F.octet_length(pixels_) - 1), lambda i: _byte(pixels_, i) > 0))
+
+
+def byte_sum(pixels_: Column) -> Column:
+    n = F.octet_length(pixels_)
+    return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), lambda a, i: a + _byte(pixels_, i))
+
+
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3 x 2 parts of one value each on a canvas per supplier; some begin above or left of it."""
+    q = F.floor(F.col("l_quantity") * 5).cast("int")
+    value = F.when(F.col("l_quantity") < 20, 0).otherwise(q)
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 5).alias("slide"), F.expr("(l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey * 50 + cast(l_quantity as int)").alias("seq"), (F.col("l_partkey") % 40 - 1).cast("int").alias("y0"),
+        (F.col("l_orderkey") % 50 - 1).cast("int").alias("x0"), F.lit(3).alias("h"), F.lit(2).alias("w"), F.unhex(F.repeat(F.lpad(F.hex(value), 2, "0"), 6)).alias("pixels"),
+    )
+
+
+def canvas_pixels(blocks: DataFrame, block: int) -> DataFrame:
+    """(slide, by, bx, pixels) -> (slide, y, x, v) of the pixels above 0."""
+    rows = blocks.select("slide", "by", "bx", F.hex("pixels").alias("_h"), F.explode(F.sequence(F.lit(0), F.lit(block * block - 1))).alias("i"))
+    value = F.conv(F.substring("_h", F.col("i") * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    rows = rows.select("slide", (F.col("by") * block + F.expr(f"i div {block}")).cast("int").alias("y"), (F.col("bx") * block + F.col("i") % block).cast("int").alias("x"), value.alias("v"))
+    return rows.filter("v > 0")
+
+
+def slide_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path) of files of each slide(): images, reduced images, masks and segmented tiles."""
+    ends = ("output/RES/a.tiff", "output/RES/a_res10.tiff", "output/RES_2/b000000.tif", "mask/final_mask/x_mask.tif", "mask/final_mask/y_mask.tiff", "mask/final_mask/z_WM_mask.tif", "heatmap/seg_tiles/tile_0001.tif", "heatmap/seg_tiles/tile_0000.tif")
+    # small parts have no mask
+    rows = slides(spark, sf_dir).select("name", "p_size", F.explode(F.array(*map(F.lit, ends))).alias("e")).filter("p_size > 5 OR e NOT LIKE 'mask/%'")
+    return rows.select(F.concat(F.lit("/data/"), "name", F.lit("/"), "e").alias("path"))
+
+
 def tile_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tiles of pixels() and the 4 x 4 size they have at reduced scale."""
     e = table(spark, sf_dir, "embeddings").filter(F.size("embedding") > 0)

@@ -1,9 +1,8 @@
-"""Files of rasters: discovery, NIfTI-1 export and baseline TIFF headers."""
+"""Files of rasters: discovery, slide lists and NIfTI-1 export."""
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -48,51 +47,3 @@ def nifti_tiles(heatmap: DataFrame, scale: tuple[float, float, float] = (0.0123,
 
     types = dict(heatmap.dtypes)
     return heatmap.groupBy("slide", "tile").applyInPandas(image, f"slide {types['slide']}, tile {types['tile']}, nifti binary")
-
-
-#: Tags of the TIFF 6.0 specification.
-TAGS = {256: "width", 257: "height", 258: "bits", 259: "compression", 277: "channels"}
-
-
-def tiff_header(content: bytes) -> dict:
-    """Byte order, BigTIFF flag, pages and the first page's size of a TIFF file's bytes; pages past the bytes given aren't counted."""
-    order = {b"II": "<", b"MM": ">"}.get(content[:2])
-    if order is None or len(content) < 8:
-        return {"error": "no TIFF"}
-    version = struct.unpack_from(order + "H", content, 2)[0]
-    if version not in (42, 43):
-        return {"error": "no TIFF"}
-    big = version == 43
-    at = struct.unpack_from(order + ("Q" if big else "I"), content, 8 if big else 4)[0]
-    found: dict = {"big": big, "little_endian": order == "<", "pages": 0}
-    seen = set()
-    while at and at not in seen and at + 8 <= len(content):
-        seen.add(at)
-        n = struct.unpack_from(order + ("Q" if big else "H"), content, at)[0]
-        first, width = at + (8 if big else 2), 20 if big else 12
-        if first + n * width + (8 if big else 4) > len(content):
-            break
-        if not found["pages"]:
-            for k in range(n):
-                tag, kind = struct.unpack_from(order + "HH", content, first + k * width)
-                if tag in TAGS:
-                    found[TAGS[tag]] = struct.unpack_from(order + {3: "H", 4: "I"}.get(kind, "I"), content, first + k * width + (12 if big else 8))[0]
-        found["pages"] += 1
-        at = struct.unpack_from(order + ("Q" if big else "I"), content, first + n * width)[0]
-    return found
-
-
-def inspect_tiffs(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per TIFF file below folder: size, pages and format, or an error."""
-    names = ["big", "little_endian", "pages", *TAGS.values(), "error"]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [tiff_header(c) for c in frame.content]
-            out = pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype=object) for n in names})
-            out.insert(0, "path", frame.path)
-            yield out
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tif*").load(folder)
-    schema = "path string, big boolean, little_endian boolean, pages int, width int, height int, bits int, compression int, channels int, error string"
-    return files.select("path", "content").mapInPandas(run, schema)
