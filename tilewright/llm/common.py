@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_dir as shared_dir
+
 #: The words of every operator here: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Most bytes of an Arrow batch of texts, whatever their lengths (one row at least).
@@ -19,25 +20,6 @@ BATCH = "8m"
 MAX_FILTER_BITS = 1 << 28
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
-
-    Only where that is unset and the driver is the only machine (tests, a laptop), a
-    temporary folder is made and set.
-    """
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if named is None:
-        named = sc.getCheckpointDir() if sc._jsc.sc().getCheckpointDir().isDefined() else None
-    if named is None:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="tilewright-")
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(named)
-    return named
-
-
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
