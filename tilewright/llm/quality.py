@@ -98,7 +98,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
                 rows = memo.of(text)
                 held.append(rows)
                 size += len(rows)
-                if size > 200_000 or i == batch.num_rows - 1:
+                if size > 100_000 or i == batch.num_rows - 1:
                     pair = [np.zeros(0, np.int64)]
                     for r in held:
                         a, b = r[:-1].astype(np.int64), r[1:].astype(np.int64)
