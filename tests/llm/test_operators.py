@@ -91,10 +91,20 @@ def test_masks_cover():
         assert any(not diff & m for m in masks)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 1 << 20])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr(components, "LOCAL", local)
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7), (None, 3)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in (100, 101, 102)}}
+    r = random.Random(2)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)]
+    root = {i: i for i in range(300)}
+    for _ in range(300):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {x.node: x.root for x in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {i: root[i] for a, b in edges if a != b for i in (a, b)}
     assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
@@ -109,10 +119,11 @@ def test_top_k(spark):
     for q, v in {i: v for i, v in fine if i % 20 == 0 or i in (3, 404)}.items():
         best = sorted((-int(v @ x), i) for i, x in fine if i != q)[:20]
         want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
-    for cell, block in ((2048, 4096), (20, 7)):
+    more = df.select("*", F.lit(1).alias("v"), F.lit(2).alias("cell"), F.lit("x").alias("rank"))
+    for cell, block in ((2048, 1 << 15), (20, 7), (20, 64)):
         topk.CELL_ROWS, topk.BLOCK_ROWS = cell, block
-        assert sorted(map(tuple, topk.top_k(df, asks).collect())) == sorted(want)
-    topk.CELL_ROWS, topk.BLOCK_ROWS = 2048, 4096
+        assert sorted(map(tuple, topk.top_k(more, more.filter("vec_id % 20 = 0 OR vec_id IN (3, 404)")).collect())) == sorted(want)
+    topk.CELL_ROWS, topk.BLOCK_ROWS = 2048, 1 << 15
     assert topk.top_k(df.filter("false"), asks).count() == 0
     assert topk.top_k(df.filter("vec_id < 5"), df.filter("vec_id = 1")).count() == 5
 
@@ -150,7 +161,7 @@ def test_bounds_leave_out_rows_of_the_own_id(spark, monkeypatch):
 
 
 def test_query_groups_are_bounded(spark, monkeypatch):
-    first, cuts = topk.query_groups(np.array([10, 3 * topk.QUERY_ROWS + 1, 0, 20, topk.QUERY_ROWS, 5]))
+    first, cuts = topk.groups_of(np.array([10, 3 * topk.QUERY_ROWS + 1, 0, 20, topk.QUERY_ROWS, 5]), topk.QUERY_ROWS)
     assert cuts.tolist() == [1, 4, 1, 1, 1, 1] and first.tolist() == [0, 1, 4, 5, 6, 7]  # a home without queries may have any
     monkeypatch.setattr(topk, "QUERY_ROWS", 7)
     monkeypatch.setattr(topk, "CELL_ROWS", 20)

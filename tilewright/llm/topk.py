@@ -13,8 +13,10 @@ from .common import cut, small_batches, table
 
 #: Rows of a cell on average, and the most pivots; both bound what is broadcast, not what is found.
 CELL_ROWS, MAX_PIVOTS = 2048, 1024
-#: Rows of a data block and of a query block, at most on average; a task holds one of each.
-BLOCK_ROWS, QUERY_ROWS = 4096, 4096
+#: Rows of a data group and of a query group, at most on average; a task holds one of each.
+BLOCK_ROWS, QUERY_ROWS = 1 << 15, 4096
+#: Scores that are held at a time.
+SCORES = 1 << 21
 _SAFE = float(1 << 52)
 
 
@@ -41,12 +43,13 @@ def _best(q: np.ndarray, x: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int
     n = len(ids)
     rows, cols, scores = [], [], []
     bound = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(q.shape[1], 1)
-    for a in range(0, len(q), 512):
+    step = max(1, SCORES // max(n, 1))
+    for a in range(0, len(q), step):
         if bound < _SAFE:
-            s = (q[a : a + 512] @ x.T).astype(np.int64)
+            s = (q[a : a + step] @ x.T).astype(np.int64)
         else:
-            s = q[a : a + 512].astype(np.int64) @ x.T.astype(np.int64)
-        mine = own[a : a + 512, None] == ids[None]
+            s = q[a : a + step].astype(np.int64) @ x.T.astype(np.int64)
+        mine = own[a : a + step, None] == ids[None]
         # one number orders by score, then by smaller id
         span = int(np.abs(s).max(initial=0)) + 1
         if span < (1 << 62) // max(n, 1):
@@ -64,20 +67,20 @@ def _best(q: np.ndarray, x: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int
     return join(rows), join(cols), join(scores)
 
 
-def query_groups(asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First query group of each home and the number of groups that it is cut into by hash, from its number of queries.
+def groups_of(counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """First group of each cell and the number of groups that it is cut into by hash, from its number of rows.
 
-    Neighbouring homes share a group of at most QUERY_ROWS queries; a home with more has groups of its own.
+    Neighbouring cells share a group of at most `most` rows; a cell with more has groups of its own.
     """
-    cuts = np.maximum(1, -(-asked // QUERY_ROWS))
-    first, at, room = np.zeros(len(asked), np.int64), -1, 0
-    for home, n in enumerate(asked.tolist()):
-        if cuts[home] > 1:
-            first[home], at, room = at + 1, at + int(cuts[home]), 0
+    cuts = np.maximum(1, -(-counts // most))
+    first, at, room = np.zeros(len(counts), np.int64), -1, 0
+    for cell, n in enumerate(counts.tolist()):
+        if cuts[cell] > 1:
+            first[cell], at, room = at + 1, at + int(cuts[cell]), 0
             continue
         if n > room or at < 0:
-            at, room = at + 1, QUERY_ROWS
-        first[home], room = at, room - n
+            at, room = at + 1, most
+        first[cell], room = at, room - n
     return first, cuts
 
 
@@ -92,14 +95,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     whatever their names, take no part.
 
     Pivots are rows drawn by a hash of their ids. Data cells are the rows nearest to each
-    pivot, cut into blocks of bounded size (so a vector with very many copies fills many
-    blocks); each block is summed up by its size and the largest distance from its pivot.
-    A query's score with a row of a block is at most <query, pivot> + |query| * radius
-    and at least the same with a minus, so the sizes of the blocks of the best lower
-    bounds give each query a score that its k-th result has at least; rows of the query's
-    own id fill no place there, however often it repeats. Blocks whose upper bound is
-    below that are not visited. Queries are grouped by their own nearest pivot;
-    a block is copied to those groups alone that have a query to visit it.
+    pivot, summed up by their number and the largest distance from the pivot. A query's
+    score with a row of a cell is at most <query, pivot> + |query| * radius and at least
+    the same with a minus, so the sizes of the cells of the best lower bounds give each
+    query a score that its k-th result has at least; rows of the query's own id fill no
+    place there, however often it repeats. Cells whose upper bound is below that are not
+    visited. Queries are grouped by their own nearest pivot; a cell is copied to those
+    groups alone that have a query to visit it. Small cells are solved together and large
+    ones (a vector with very many copies, say) in pieces, each for a group of queries at a
+    time, and each passes on k rows a query.
     """
     spark = vectors.sparkSession
     small_batches(spark)
@@ -130,11 +134,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     data = data.mapInPandas(place, "vec_id long, v binary, cell int, far double")
     data = cut(data.repartition(parts))
     sizes = data.groupBy("cell").agg(F.count("*").alias("n")).toPandas()
-    pieces = np.ones(m, np.int64)
-    pieces[sizes.cell.to_numpy()] = -(-sizes.n.to_numpy() // BLOCK_ROWS)
-    split = F.array(*[F.lit(int(p)) for p in pieces])
-    data = data.withColumn("block", F.struct("cell", F.pmod(F.xxhash64("vec_id", "v"), F.element_at(split, F.col("cell") + 1)).cast("int").alias("piece")))
-    blocks = data.groupBy("block.cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).orderBy("cell").toPandas()
+    held = np.zeros(m, np.int64)
+    held[sizes.cell.to_numpy()] = sizes.n.to_numpy()
+    numbers = lambda xs, c: F.element_at(F.lit([int(x) for x in xs]), c + 1)
+    first, pieces = groups_of(held, BLOCK_ROWS)
+    data = data.withColumn("block", (numbers(first, F.col("cell")) + F.pmod(F.xxhash64("vec_id", "v"), numbers(pieces, F.col("cell")))).cast("int"))
+    blocks = data.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).orderBy("cell").toPandas()
     centre, count, radius = pivots[blocks.cell.to_numpy()], blocks.n.to_numpy(np.int64), blocks.far.to_numpy() * (1 + 1e-9) + 1e-6
     cells = blocks.cell.to_numpy(np.int32)
     repeats = data.groupBy("vec_id").agg(F.count("*").alias("own")).filter("own > 1")
@@ -161,16 +166,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     homes = asks.groupBy("home").agg(F.count("*").alias("n")).toPandas()
     asked = np.zeros(m, np.int64)
     asked[homes.home.to_numpy()] = homes.n.to_numpy()
-    group, cuts = query_groups(asked)
-    at = F.element_at(F.array(*[F.lit(int(g)) for g in group]), F.col("home") + 1)
-    of = F.element_at(F.array(*[F.lit(int(c)) for c in cuts]), F.col("home") + 1)
-    asks = asks.withColumn("asks", (at + F.pmod(F.xxhash64("vec_id"), of)).cast("int"))
-    sent = asks.select("asks", "vec_id", "v", F.explode("cells").alias("cell"))
-    pieces_of = F.element_at(split, F.col("cell") + 1)
-    sent = sent.select("asks", "vec_id", "v", "cell", F.explode(F.sequence(F.lit(0).cast("int"), (pieces_of - 1).cast("int"))).alias("piece"))
-    pairs = sent.groupBy(F.col("asks").alias("to_asks"), F.col("cell").alias("to_cell"), F.col("piece").alias("to_piece")).count()
-    copied = data.select("vec_id", "v", "block.*").join(pairs, (F.col("cell") == F.col("to_cell")) & (F.col("piece") == F.col("to_piece")))
-    copied = copied.select("to_asks", "to_cell", "to_piece", "vec_id", "v")
+    group, cuts = groups_of(asked, QUERY_ROWS)
+    asks = asks.withColumn("asks", (numbers(group, F.col("home")) + F.pmod(F.xxhash64("vec_id"), numbers(cuts, F.col("home")))).cast("int"))
+    of_cell = lambda c: F.sequence(numbers(first, c).cast("int"), (numbers(first, c) + numbers(pieces, c) - 1).cast("int"))
+    sent = asks.select("asks", "vec_id", "v", F.explode(F.array_distinct(F.flatten(F.transform("cells", of_cell)))).alias("block"))
+    pairs = asks.select(F.col("asks").alias("to_asks"), F.explode("cells").alias("to_cell")).distinct()
+    copied = data.select("vec_id", "v", "cell", F.col("block").alias("to_block")).join(pairs, F.col("cell") == F.col("to_cell"))
+    copied = copied.select("to_asks", "to_block", "vec_id", "v")
 
     def solve(key: tuple, asked: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         unpack = lambda c: np.frombuffer(b"".join(c), "<i8").reshape(len(c), -1).astype(np.float64)
@@ -181,7 +183,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
         r, c, s = _best(unpack(asked.v), unpack(found.v), asked.vec_id.to_numpy(), ids, k)
         return pd.DataFrame({"query_id": asked.vec_id.to_numpy()[r], "vec_id": ids[c], "score": s})
 
-    both = sent.groupBy("asks", "cell", "piece").cogroup(copied.groupBy("to_asks", "to_cell", "to_piece"))
+    both = sent.groupBy("asks", "block").cogroup(copied.groupBy("to_asks", "to_block"))
     partial = both.applyInPandas(solve, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return partial.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
