@@ -58,22 +58,37 @@ def erode_tiles(tiles: DataFrame, radius: int) -> DataFrame:
                         out.append((t.slide, t.gr + dy, t.gc + dx, -dy, -dx, t.tile, *part.shape, part.tobytes()))
             yield pd.DataFrame(out, columns=names)
 
-    def join(frame: pd.DataFrame) -> pd.DataFrame:
-        own = frame[(frame.dy == 0) & (frame.dx == 0)]
-        if not len(own):
-            return frame[["slide", "tile", "gr", "gc", "h", "w", "mask"]].iloc[:0]
-        h, w = int(own.h.iloc[0]), int(own.w.iloc[0])
+    def joined(parts: list) -> tuple | None:
+        own = next((t for t in parts if t.dy == 0 and t.dx == 0), None)
+        if own is None:
+            return None
+        h, w = int(own.h), int(own.w)
         m = np.zeros((h + 2 * radius, w + 2 * radius), np.uint8)
-        for t in frame.itertuples():
+        for t in parts:
             part = np.frombuffer(t.mask, np.uint8).reshape(int(t.h), int(t.w))
             y = {-1: radius - t.h, 0: radius, 1: radius + h}[t.dy]
             x = {-1: radius - t.w, 0: radius, 1: radius + w}[t.dx]
-            m[y : y + t.h, x : x + t.w] = part[:, :w] if t.dx == 0 and t.w > w else part
+            m[y : y + t.h, x : x + t.w] = part
         inner = m[radius : radius + h, radius : radius + w]
-        return own.assign(mask=[np.where(eroded(m, radius), inner, 0).astype(np.uint8).tobytes()])[["slide", "tile", "gr", "gc", "h", "w", "mask"]]
+        return own.slide, own.tile, own.gr, own.gc, h, w, np.where(eroded(m, radius), inner, 0).astype(np.uint8).tobytes()
+
+    def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["slide", "tile", "gr", "gc", "h", "w", "mask"]
+        parts: list = []
+        for frame in frames:
+            out = []
+            for t in frame.itertuples():
+                if parts and (t.slide, t.gr, t.gc) != (parts[0].slide, parts[0].gr, parts[0].gc):
+                    out.append(joined(parts))
+                    parts = []
+                parts.append(t)
+            yield pd.DataFrame([x for x in out if x], columns=columns)
+        yield pd.DataFrame([x for x in ([joined(parts)] if parts else []) if x], columns=columns)
 
     spread = tiles.select(*keys, "tile", "h", "w", "mask").mapInPandas(strips, schema)
-    return spread.groupBy(*keys).applyInPandas(join, _types(tiles, "slide", "tile", "gr", "gc", "h", "w") + ", mask binary")
+    n = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = spread.repartition(n, *keys).sortWithinPartitions(*keys)
+    return ordered.mapInPandas(join, _types(tiles, "slide", "tile", "gr", "gc", "h", "w") + ", mask binary")
 
 
 def each_tile(tiles: DataFrame, column: str, into: str, kernel: Callable[[object], bytes | None]) -> DataFrame:

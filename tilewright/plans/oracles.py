@@ -64,13 +64,13 @@ def _neighbours(south: str, east: str) -> str:
 WHOLE = f"""{PX}, wh AS (SELECT *, tile // 20 * 8 + y AS gy, tile % 20 * 8 + xx AS gx FROM px),
  er AS (SELECT a.slide, a.tile, a.y, a.xx, a.mask, count(*) AS n FROM wh a LEFT JOIN wh b ON a.slide = b.slide AND b.mask > 0 AND
   ((a.gy = b.gy AND a.gx = b.gx) OR (a.gy = b.gy AND a.gx = b.gx - 1) OR (a.gy = b.gy AND a.gx = b.gx + 1) OR (a.gx = b.gx AND a.gy = b.gy - 1) OR (a.gx = b.gx AND a.gy = b.gy + 1)) GROUP BY 1, 2, 3, 4, 5)"""
-PARTS = """pa AS (SELECT slide, seq, y0 + i // 2 AS y, x0 + i % 2 AS x, v FROM (SELECT l_suppkey % 5 AS slide, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey * 50 + CAST(l_quantity AS INTEGER) AS seq, (l_partkey % 40 - 1)::INTEGER AS y0, (l_orderkey % 50 - 1)::INTEGER AS x0,
+PARTS = """pa AS (SELECT slide, seq, (y0 + i // 2)::INTEGER AS y, (x0 + i % 2)::INTEGER AS x, v FROM (SELECT l_suppkey % 5 AS slide, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey * 50 + CAST(l_quantity AS INTEGER) AS seq, (l_partkey % 40 - 1)::INTEGER AS y0, (l_orderkey % 50 - 1)::INTEGER AS x0,
   CASE WHEN l_quantity < 20 THEN 0 ELSE CAST(floor(5 * l_quantity) AS INTEGER) END AS v FROM lineitem), range(6) t(i) WHERE y0 + i // 2 >= 0 AND x0 + i % 2 >= 0)"""
 REPORT = f"""{HEAT}, nt AS (SELECT slide, tile, bool_or(pred > 0) AS p FROM px GROUP BY 1, 2), cn AS (SELECT slide, count(*) AS n_tiles, count(*) FILTER (p) AS n_pred FROM nt GROUP BY 1),
  vf AS (SELECT slide, max(value) AS m, count(*) FILTER (value <> 0) AS n_nonzero FROM heat GROUP BY 1),
- rp AS (SELECT slide::BIGINT AS slide, n_tiles, n_tiles AS n_seg, n_pred, 0::BIGINT AS n_errors, round(m, 6) AS max_value, n_nonzero, CASE WHEN n_pred = 0 THEN 'STAGE2_EMPTY' WHEN m > 100000 THEN 'STAGE3_ABNORMAL'
+ rp AS (SELECT slide::INTEGER AS slide, n_tiles, n_tiles AS n_seg, n_pred, 0::BIGINT AS n_errors, round(m, 6) AS max_value, n_nonzero, CASE WHEN n_pred = 0 THEN 'STAGE2_EMPTY' WHEN m > 100000 THEN 'STAGE3_ABNORMAL'
    WHEN n_nonzero = 0 THEN 'STAGE3_VERIFY_FAILED' ELSE 'OK' END AS code, CASE WHEN n_pred = 0 OR n_nonzero = 0 THEN 'FAIL' WHEN m > 100000 THEN 'WARN' ELSE 'OK' END AS status FROM cn JOIN vf USING (slide)
-  UNION ALL SELECT -r_regionkey - 1, 1, NULL, NULL, NULL, NULL, NULL, 'DIR_NOT_FOUND', 'FAIL' FROM region)"""
+  UNION ALL SELECT (-r_regionkey - 1)::INTEGER, 1::BIGINT, NULL, NULL, NULL, NULL, NULL, 'DIR_NOT_FOUND', 'FAIL' FROM region)"""
 
 CODE = """CASE WHEN slide_id % 19 = 0 THEN 'DIR_NOT_FOUND' WHEN slide_id % 17 = 0 THEN 'STAGE1_FAILED' WHEN slide_id % 13 = 0 THEN 'STAGE1_EMPTY' WHEN slide_id % 11 = 0 THEN 'TILEMASKER_LOG_MISSING'
   WHEN p_size = 1 THEN 'STAGE2_FAILED' WHEN p_size = 2 THEN 'STAGE2_EMPTY' WHEN p_size = 3 THEN 'STAGE3_FAILED' WHEN p_retailprice * 60 > 100000 THEN 'STAGE3_ABNORMAL'
