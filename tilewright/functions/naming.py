@@ -46,6 +46,15 @@ def ordered(name: Column) -> Column:
     return F.when((a > 0) & (b > 0) & (a < b), F.array_join(F.transform(parts, swap), "_")).otherwise(name)
 
 
+#: Folders of segmented tiles by stain.
+SEG_FOLDERS = {"amyloid": "Amyloid_seg_tiles", "tau": "Tau_seg_tiles", "iron": "Iron_seg_tiles"}
+
+
+def seg_folder(stain_name: Column) -> Column:
+    """The folder of a stain's segmented tiles; null for other stains."""
+    return F.coalesce(*[F.when(stain_name == s, F.lit(f)) for s, f in SEG_FOLDERS.items()])
+
+
 def tile_name(tile: Column, mask: bool = False) -> Column:
     return F.format_string("tile_%04d_mask.tif" if mask else "tile_%04d.tif", tile)
 

@@ -82,6 +82,11 @@ def infer_stats(tiles: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
+def unit_channels(pixels: DataFrame) -> DataFrame:
+    """red, green and blue from 0 to 1."""
+    return pixels.withColumns({c: F.col(c) / 255.0 for c in ("red", "green", "blue")})
+
+
 #: name -> (row, column) in the augmented n x n tile of pixel (r, c); rotations are counter-clockwise.
 AUGMENTATIONS = {
     "identity": ("r", "c"),

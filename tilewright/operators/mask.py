@@ -13,6 +13,13 @@ def segment(pixels: DataFrame, mask_val: int = MASK_VAL) -> DataFrame:
     return pixels.withColumns({c: F.when(F.col("mask") >= mask_val, F.col(c)).otherwise(0) for c in ("red", "green", "blue")})
 
 
+def masking_applied(pixels: DataFrame, mask_val: int = MASK_VAL) -> DataFrame:
+    """Per slide the pixels whose channel sum segment() changes, and whether there are any."""
+    total = F.col("red") + F.col("green") + F.col("blue")
+    changed = segment(pixels.withColumn("_before", total), mask_val).withColumn("_changed", total != F.col("_before"))
+    return changed.groupBy("slide").agg(F.count_if("_changed").alias("n_changed"), (F.count_if("_changed") > 0).alias("applied"))
+
+
 def clean(pixels: DataFrame, threshold: int = 0) -> DataFrame:
     """pred becomes 0 where red + green + blue is not above threshold; `removed` flags where it was not 0 before."""
     tissue = F.col("red") + F.col("green") + F.col("blue") > threshold

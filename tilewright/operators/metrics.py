@@ -68,3 +68,9 @@ def dynamic_scale(pixels: DataFrame, keys: list[str], value: str) -> DataFrame:
     ends = pixels.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     x = (F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
     return pixels.join(ends, keys).withColumn("scaled", F.when(F.col("_hi") > F.col("_lo"), F.greatest(F.lit(0.0), F.least(x, F.lit(1.0)))).otherwise(0.0)).drop("_lo", "_hi")
+
+
+def label_counts(pixels: DataFrame, keys: list[str], label: str = "label") -> DataFrame:
+    """Per key the labelled pixels (label other than -1) and those in the foreground (above 0)."""
+    known = pixels.filter(F.col(label) != -1)
+    return known.groupBy(*keys).agg(F.count("*").alias("labelled"), F.sum((F.col(label) > 0).cast("int")).alias("foreground"))

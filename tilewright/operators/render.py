@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
+from .mask import eroded
 
 SCALE_FACTOR = 1000.0
 LEGAL_MAX = 100_000.0
@@ -24,6 +25,13 @@ def reduced(tiles: DataFrame, blocks: DataFrame, npix: int, scale: float = SCALE
     return found.select("slide", "tile", "r", "c", (F.coalesce("pct", F.lit(0.0)) * scale).alias("value"))
 
 
+def erode_heatmap(heatmap: DataFrame, tissue: DataFrame, radius: int) -> DataFrame:
+    """Adds value_eroded: value where the whole disk around the pixel is in tissue (slide, tile, r, c at reduced scale), else 0."""
+    alive = eroded(tissue, ["slide", "tile"], F.lit(True), radius).withColumn("_alive", F.lit(True))
+    rows = heatmap.join(alive, ["slide", "tile", "r", "c"], "left")
+    return rows.withColumn("value_eroded", F.when(F.col("_alive"), F.col("value")).otherwise(0.0)).drop("_alive")
+
+
 def gray(heatmap: DataFrame, ranges: DataFrame, scale: float = SCALE_FACTOR) -> DataFrame:
     """Adds gray: value / scale within the slide's range, in 256 steps; 0 where the range is empty."""
     both = heatmap.join(ranges, "slide")

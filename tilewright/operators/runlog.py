@@ -101,3 +101,8 @@ def stage_states(slides: DataFrame) -> DataFrame:
     failed = failed.when(F.col("code").isin("STAGE3_FAILED", "STAGE3_VERIFY_FAILED"), 3).otherwise(9)
     rows = slides.select("slide", failed.alias("_f"), F.posexplode(F.array(*map(F.lit, ("masking", "prediction", "heatmap")))).alias("_k", "stage"))
     return rows.select("slide", "stage", F.when(F.col("_k") + 1 < F.col("_f"), "ok").when(F.col("_k") + 1 == F.col("_f"), "failed").otherwise("not reached").alias("state"))
+
+
+def slides_of(log: DataFrame) -> DataFrame:
+    """The slides that a log names, once each."""
+    return log.select("slide").distinct()

@@ -139,9 +139,7 @@ def q_erode_mask(spark, d):
 def q_heatmap_erode(spark, d):
     small = v.pixels(spark, d).filter("r % 2 = 1 and c % 2 = 1 and mask > 0")
     small = small.select("slide", "tile", F.expr("cast(r div 2 as int)").alias("r"), F.expr("cast(c div 2 as int)").alias("c"))
-    alive = mask.eroded(small, ["slide", "tile"], F.lit(True), 1).withColumn("alive", F.lit(True))
-    rows = _heat(spark, d).join(alive, ["slide", "tile", "r", "c"], "left")
-    return rows.select("slide", "tile", "r", "c", *_r("value"), F.round(F.when(F.col("alive"), F.col("value")).otherwise(0.0), 6).alias("value_eroded"))
+    return render.erode_heatmap(_heat(spark, d), small, 1).select("slide", "tile", "r", "c", *_r("value", "value_eroded"))
 
 
 @query
@@ -195,8 +193,7 @@ def q_tta_mean(spark, d):
 
 @query
 def q_preprocess(spark, d):
-    px = v.pixels(spark, d)
-    return px.select("slide", "tile", "r", "c", *[F.round(F.col(k) / 255.0, 6).alias(k) for k in ("red", "green", "blue")])
+    return infer.unit_channels(v.pixels(spark, d)).select("slide", "tile", "r", "c", *_r("red", "green", "blue"))
 
 
 @query
@@ -348,7 +345,7 @@ def q_union_sources(spark, d):
 
 @query
 def q_distinct_slides(spark, d):
-    return v.run_events(spark, d).select("slide").distinct()
+    return runlog.slides_of(v.run_events(spark, d))
 
 
 @query
@@ -358,9 +355,8 @@ def q_top_errors(spark, d):
 
 @query
 def q_stain_dim(spark, d):
-    dim = spark.createDataFrame([("amyloid", "Amyloid_seg_tiles"), ("tau", "Tau_seg_tiles"), ("iron", "Iron_seg_tiles")], "stain string, folder string")
     s = v.slides(spark, d).select("slide_id", naming.stain(F.col("name")).alias("stain"))
-    return s.join(F.broadcast(dim), "stain").select("slide_id", "stain", "folder")
+    return s.withColumn("folder", naming.seg_folder(F.col("stain"))).filter("folder IS NOT NULL")
 
 
 @query
@@ -373,8 +369,7 @@ def q_cleanup_report(spark, d):
 @query
 def q_label_map(spark, d):
     px = v.pixels(spark, d).withColumn("label", F.when(F.col("x") < -0.2, -1).otherwise(F.col("pred")))
-    px = px.filter("label <> -1").withColumn("cls", (F.col("label") > 0).cast("int"))
-    return px.groupBy("slide").agg(F.count("*").alias("labelled"), F.sum("cls").alias("foreground"))
+    return metrics.label_counts(px, ["slide"])
 
 
 @query
@@ -386,9 +381,7 @@ def q_mask_resize(spark, d):
 
 @query
 def q_masking_applied(spark, d):
-    raw = v.pixels(spark, d).withColumn("before", F.col("red") + F.col("green") + F.col("blue"))
-    seg = mask.segment(raw).withColumn("changed", F.col("red") + F.col("green") + F.col("blue") != F.col("before"))
-    return seg.groupBy("slide").agg(F.count_if("changed").alias("n_changed"), (F.count_if("changed") > 0).alias("applied"))
+    return mask.masking_applied(v.pixels(spark, d))
 
 
 @query

@@ -14,7 +14,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8 x 8 tiles of embeddings, a row per pixel: slide = label, tile = vec_id."""
-    e = table(spark, sf_dir, "embeddings").select(F.col("label").alias("slide"), F.col("vec_id").alias("tile"), F.posexplode("embedding").alias("pos", "e"))
+    e = table(spark, sf_dir, "embeddings").filter(F.size("embedding") == 64)
+    e = e.select(F.col("label").alias("slide"), F.col("vec_id").alias("tile"), F.posexplode("embedding").alias("pos", "e"))
     x = F.col("e").cast("double")
     rows = e.select("slide", "tile", F.floor(F.col("pos") / 8).cast("int").alias("r"), (F.col("pos") % 8).alias("c"), F.lit(8).alias("h"), F.lit(8).alias("w"), x.alias("x"))
     rows = rows.withColumn("red", F.greatest(F.lit(0), F.least(F.lit(255), F.floor(F.col("x") * 1024).cast("int"))))
@@ -98,7 +99,7 @@ def slide_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tile_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tiles of pixels() and the 4 x 4 size they have at reduced scale."""
-    e = table(spark, sf_dir, "embeddings").filter(F.size("embedding") > 0)
+    e = table(spark, sf_dir, "embeddings").filter(F.size("embedding") == 64)
     return e.select(F.col("label").alias("slide"), F.col("vec_id").alias("tile"), *[F.lit(n).alias(k) for k, n in (("h", 8), ("w", 8), ("out_h", 4), ("out_w", 4))])
 
 
