@@ -23,6 +23,8 @@ HEAVY = 4096
 CELLS = 1 << 16
 #: Numbers in a piece of a summed table.
 PIECE = 1 << 14
+#: Tokens of texts that are counted at a time (one text at least).
+STEP = 1 << 18
 
 
 def words_of(text: str | None) -> np.ndarray:
@@ -63,6 +65,15 @@ def _pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(n)), n), before, word
 
 
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ends, at = np.cumsum(batch.column("n").to_numpy()), 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + STEP, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def _flags(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [batch.column(c).to_numpy(zero_copy_only=False) for c in ("in_target", "in_background")]
 
@@ -81,7 +92,7 @@ def _tables(tokens: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in _steps(batches):
             text, before, word = _pairs(batch)
             for k, flag in enumerate(_flags(batch)):
                 own = flag[text]
@@ -115,7 +126,7 @@ def _heavy(tokens: DataFrame, cells: np.ndarray, least: int) -> pd.DataFrame:
     shared = tokens.sparkSession.sparkContext.broadcast(cells >= least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _steps(batches):
             text, before, word = _pairs(batch)
             pair = before * VOCABULARY + word
             at = shared.value[_cell(pair)]
@@ -170,7 +181,7 @@ def cross_entropy(docs: DataFrame, target: DataFrame, background: DataFrame | No
         return at, keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
 
     def light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _steps(batches):
             text, before, word = _pairs(batch)
             pair = before * VOCABULARY + word
             rest = ~found(shared.value[0], pair)[1]
@@ -184,7 +195,7 @@ def cross_entropy(docs: DataFrame, target: DataFrame, background: DataFrame | No
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, *loss = shared.value
-        for batch in batches:
+        for batch in _steps(batches):
             text, before, word = _pairs(batch)
             at, known = found(keys, before * VOCABULARY + word)
             each = [np.bincount(text[known], x[at[known]], batch.num_rows) for x in loss]
