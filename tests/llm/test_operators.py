@@ -411,7 +411,7 @@ def test_fingerprints_tell_where_texts_differ(spark):
     cases = {"same": text, "before": "extra " + text, "swapped": first + "\n\n" + swapped, "changed": text.replace(second.split("\n")[2], "something else here"), "other": " ".join(reversed(words)), "none": ""}
     df = spark.createDataFrame([(k, text, t) for k, t in cases.items()], "name string, a string, b string")
     df = df.select("name", merkle.fingerprint(F.col("a")).alias("a"), merkle.fingerprint(F.col("b")).alias("b"))
-    got = {r.name: r for r in df.select("name", (F.col("a") == F.col("b")).alias("eq"), merkle.likeness(merkle.levels(F.col("a")), merkle.levels(F.col("b"))).alias("like"), merkle.edits(F.col("a"), F.col("b")).alias("at")).collect()}
+    got = {r.name: r for r in df.select("name", (F.col("a") == F.col("b")).alias("eq"), merkle.likeness(merkle.levels(F.col("a")), merkle.levels(F.col("b"))).alias("like"), merkle.edits(merkle.levels(F.col("a")), F.col("b")).alias("at")).collect()}
     assert got["same"].eq and got["same"].like == 1 and got["same"].at == ""
     assert not got["before"].eq and 0.8 < got["before"].like < 1 and got["before"].at == "0.0"
     assert 0.8 < got["swapped"].like < 1 and got["swapped"].at == ""  # both lines are known

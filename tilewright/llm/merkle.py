@@ -77,13 +77,14 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a["root"] == b["root"], F.lit(1.0)).otherwise(each)
 
 
-def edits(old: Column, new: Column) -> Column:
+def edits(known: Column, new: Column) -> Column:
     """Where the new fingerprint's text has what the old one's hasn't: its paragraphs as section.paragraph from 0, joined by commas.
 
+    known is the column of the old one's levels(), which the walk looks up again and again.
+
     Only sections whose digest the old tree lacks are walked down into, and only
     paragraphs that it lacks are named.
     """
-    known = levels(old)
     # places come before what doesn't count is dropped, so that they are those of the whole tree
     walked = F.transform(
         tree(new),
@@ -148,7 +149,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("_l0"), F.col("_l1")).alias("near_edited"), likeness(F.col("_l0"), F.col("_l2")).alias("near_next"),
-        edits(F.col("fingerprint"), F.col("edited_fingerprint")).alias("edited_at"),
+        edits(F.col("_l0"), F.col("edited_fingerprint")).alias("edited_at"),
     )
 
 
