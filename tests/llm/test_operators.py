@@ -508,7 +508,7 @@ def test_tokens_after_the_last_separator(spark, tmp_path):
 @pytest.mark.parametrize("heavy", [4096, 3])
 def test_lm(spark, monkeypatch, heavy):
     monkeypatch.setattr(lmscore, "HEAVY", heavy)
-    monkeypatch.setattr(lmscore, "STEP", 100 if heavy == 3 else 1 << 18)
+    monkeypatch.setattr(lmscore, "STEP", 1 if heavy == 3 else 1 << 18)
     rows = [(i, t[1]) for i, t in enumerate(ROWS)] + [(7, ROWS[6][1]), (None, "w1 w2"), (None, "w1 w2"), (90, "w1 " * 500)]
     target = {i for i in range(12, 100)}
     d = docs(spark, rows).withColumn("row", F.lit(1)).withColumn("n", F.lit("x"))

@@ -198,7 +198,8 @@ def cross_entropy(docs: DataFrame, target: DataFrame, background: DataFrame | No
         for batch in _steps(batches):
             text, before, word = _pairs(batch)
             at, known = found(keys, before * VOCABULARY + word)
-            each = [np.bincount(text[known], x[at[known]], batch.num_rows) for x in loss]
+            # of no pairs at all, bincount makes whole numbers
+            each = [np.bincount(text[known], x[at[known]], batch.num_rows).astype(np.float64) for x in loss]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, each)], ["row", "t", "b"])
 
     rows = tokens.mapInArrow(light, "pair long, code long, n int")
