@@ -62,3 +62,25 @@ s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(CAST(q.v AS D
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20
 """
+
+_CRC = """list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, k: xor(c // 2, 3988292384 * (c % 2))))"""
+
+OP13 = f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS nth,
+  coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS root, xor({_CRC}, 4294967295) % 6 AS h FROM t),
+m AS (SELECT c.conv_id, 0 AS part, nth, role, text FROM c JOIN t ON t.conv_id = c.root AND nth < h
+  UNION ALL SELECT c.conv_id, 1, nth, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND nth >= h),
+r AS (SELECT c.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY part, nth) FILTER (nth IS NOT NULL), []) AS s FROM c LEFT JOIN m USING (conv_id) GROUP BY c.conv_id),
+p AS (SELECT conv_id, len(s) AS n, d, s[1:d] AS prefix FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM r)),
+x AS (SELECT *, min(conv_id) OVER (PARTITION BY d, prefix) AS rep FROM p),
+nodes AS (SELECT rep, d, count(*) AS n, any_value(coalesce(length(prefix[-1].text), 0)) AS chars, sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends
+  FROM x GROUP BY rep, d),
+kids AS (SELECT par.rep, par.d, count(*) AS kids FROM nodes k JOIN x par ON par.conv_id = k.rep AND par.d = k.d - 1 GROUP BY ALL),
+below AS (SELECT x.rep, x.d, sum((n.n - 1) * n.chars) AS saved, count(*) FILTER (kids IS NULL) AS leaves
+  FROM nodes n LEFT JOIN kids USING (rep, d) JOIN x ON x.conv_id = n.rep AND x.d <= n.d GROUP BY ALL)
+SELECT nodes.rep::BIGINT AS conv_id, nodes.d::BIGINT AS depth, par.rep::BIGINT AS parent_conv_id, nodes.n::BIGINT AS n_convs, coalesce(kids, 0)::BIGINT AS n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, ends AS ends_sha256
+FROM nodes JOIN below USING (rep, d) LEFT JOIN kids USING (rep, d) LEFT JOIN x par ON par.conv_id = nodes.rep AND par.d = nodes.d - 1
+"""
