@@ -231,8 +231,9 @@ def merged_forest(frame: pd.DataFrame, chunk: int, whole: bool) -> pd.DataFrame:
         x = tops.pop()
         closed.append((0, 0, 0, 0, n[x], conv[x], leaves[x], kids[x], below[x], ends[x], -1, 0, 0))
     rest = {c: [cols[c][i] for i in tops] for c in _NUMBERS}
-    done = dict(zip([*_NUMBERS[5:], "top", "l1", "l2"], zip(*closed, strict=True), strict=True)) if closed else {}
-    out = pd.concat([pd.DataFrame(rest, dtype=np.int64).assign(open=True, top=0), pd.DataFrame(done, dtype=np.int64).assign(open=False, pos=0, lcp=0, lcum=0)])
+    # with all columns, as whole numbers of 64 bits, even where either has no rows
+    done = pd.DataFrame(np.array(closed, np.int64).reshape(-1, 13), columns=[*_NUMBERS[5:], "top", "l1", "l2"])
+    out = pd.concat([pd.DataFrame(rest, dtype=np.int64).assign(open=True, top=0), done.assign(open=False, pos=0, lcp=0, lcum=0)])
     return out.assign(first=[i == 0 and not whole for i in range(len(tops))] + [False] * len(closed), last=False, chunk=chunk)[[c.split()[0] for c in _FOREST.split(", ")]]
 
 
