@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lines, lmscore, merkle, mixing, quality, simhash, sql, tokencount, topk, trie, urlrules
+from . import bpe, divergence, lines, lmscore, merkle, mixing, quality, simhash, sql, tokencount, topk, trie, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": topk.op1_topk,
@@ -19,7 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lmscore": lmscore.op8_lmscore,
     "op9_lines": lines.op9_lines,
     "op10_mixing": mixing.op10_mixing,
+    "op12_divergence": divergence.op12_divergence,
     "op13_trie": trie.op13_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_topk": sql.OP1, "op3_urlrules": sql.OP3, "op7_merkle": sql.OP7, "op13_trie": sql.OP13}
+ORACLE_SQL: dict[str, str] = {"op1_topk": sql.OP1, "op3_urlrules": sql.OP3, "op7_merkle": sql.OP7, "op12_divergence": sql.OP12, "op13_trie": sql.OP13}

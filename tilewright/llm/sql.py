@@ -84,3 +84,22 @@ SELECT nodes.rep::BIGINT AS conv_id, nodes.d::BIGINT AS depth, par.rep::BIGINT A
   leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, ends AS ends_sha256
 FROM nodes JOIN below USING (rep, d) LEFT JOIN kids USING (rep, d) LEFT JOIN x par ON par.conv_id = nodes.rep AND par.d = nodes.d - 1
 """
+
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+w AS (SELECT doc, lang, source, translate(unnest(words), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY ALL HAVING count(DISTINCT doc) >= 3),
+n AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(total) AS size FROM k GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(size, 0) AS size FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) AS size FROM n GROUP BY ALL) USING (lang, source)),
+p AS (SELECT g.lang, g.source, term, coalesce(n, 0) AS n, (1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (g.size + v.v))::BIGINT AS p,
+  (1 + (1000000000::HUGEINT * (total + 1)) // (v.size + v.v))::BIGINT AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source, term)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+WHERE part = 'pair' OR rank <= 200
+"""
