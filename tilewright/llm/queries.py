@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, divergence, lines, lmscore, merkle, mixing, quality, simhash, sql, tokencount, topk, trie, urlrules
+from . import bpe, divergence, itq, lines, lmscore, merkle, mixing, quality, simhash, sql, tokencount, topk, trie, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": topk.op1_topk,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lmscore": lmscore.op8_lmscore,
     "op9_lines": lines.op9_lines,
     "op10_mixing": mixing.op10_mixing,
+    "op11_itq": itq.op11_itq,
     "op12_divergence": divergence.op12_divergence,
     "op13_trie": trie.op13_trie,
 }
