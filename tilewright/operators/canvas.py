@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MODES = ("last", "last_set", "max")
 
@@ -76,3 +77,59 @@ def paste(parts: DataFrame, block: int = 1024, mode: str = "max") -> DataFrame:
     cut = parts.select("slide", "seq", "y0", "x0", "h", "w", "pixels").mapInPandas(pieces, schema)
     ordered = cut.repartition(n, "slide", "by", "bx").sortWithinPartitions("slide", "by", "bx", "seq")
     return ordered.mapInPandas(laid, f"slide {types['slide']}, by int, bx int, pixels binary")
+
+
+def windows(blocks: DataFrame, block: int, wanted: DataFrame) -> DataFrame:
+    """Windows (slide, tile, up, left, h, w) of canvases in blocks (slide, by, bx, pixels) -> (slide, tile, h, w, pixels binary).
+
+    A window meets the blocks that it overlaps by their places; each hands on the part it
+    shares, and a task lays the parts of a window together, so no row is larger than a
+    block or a window. What no block covers is 0, left of and above the canvas as well.
+    """
+    types = dict(wanted.dtypes)
+    keys = f"slide {types['slide']}, tile {types['tile']}"
+    last = lambda at, size: F.floor((F.col(at) + F.col(size) - 1) / block).cast("int")
+    first = lambda at: F.floor(F.col(at) / block).cast("int")
+    each = wanted.select("slide", "tile", *[F.col(c).cast("int").alias(c) for c in ("up", "left", "h", "w")])
+    met = each.withColumn("by", F.explode(F.sequence(first("up"), last("up", "h")))).withColumn("bx", F.explode(F.sequence(first("left"), last("left", "w"))))
+    met = met.join(blocks.select("slide", "by", "bx", "pixels"), ["slide", "by", "bx"])
+    parts_ = "y int, x int, ph int, pw int, pixels binary"
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for t in f.itertuples():
+                m = np.frombuffer(t.pixels, np.uint8).reshape(block, block)
+                top, low = max(t.up, t.by * block), min(t.up + t.h, (t.by + 1) * block)
+                side, right = max(t.left, t.bx * block), min(t.left + t.w, (t.bx + 1) * block)
+                part = m[top - t.by * block : low - t.by * block, side - t.bx * block : right - t.bx * block]
+                out.append((t.slide, t.tile, t.h, t.w, top - t.up, side - t.left, *part.shape, part.tobytes()))
+            yield pd.DataFrame(out, columns=["slide", "tile", "h", "w", "y", "x", "ph", "pw", "pixels"])
+
+    def whole(key: tuple, h: int, w: int, parts: list) -> tuple:
+        out = np.zeros((h, w), np.uint8)
+        for t in parts:
+            if t.pixels is not None:
+                out[t.y : t.y + t.ph, t.x : t.x + t.pw] = np.frombuffer(t.pixels, np.uint8).reshape(t.ph, t.pw)
+        return *key, h, w, out.tobytes()
+
+    def laid(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, key, size, parts = ["slide", "tile", "h", "w", "pixels"], None, (0, 0), []
+        for f in frames:
+            out = []
+            for t in f.itertuples():
+                if (t.slide, t.tile) != key:
+                    if key:
+                        out.append(whole(key, *size, parts))
+                    key, size, parts = (t.slide, t.tile), (t.h, t.w), []
+                parts.append(t)
+            yield pd.DataFrame(out, columns=names)
+        if key:
+            yield pd.DataFrame([whole(key, *size, parts)], columns=names)
+
+    n = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = met.mapInPandas(cut, f"{keys}, h int, w int, {parts_}")
+    # every window has a row of its own, so that one without blocks is there too
+    none = each.select("slide", "tile", "h", "w", *[F.lit(0).alias(c) for c in ("y", "x", "ph", "pw")], F.lit(None).cast("binary").alias("pixels"))
+    ordered = pieces.unionByName(none).repartition(n, "slide", "tile").sortWithinPartitions("slide", "tile")
+    return ordered.mapInPandas(laid, f"{keys}, h int, w int, pixels binary")

@@ -21,10 +21,12 @@ def slide_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("slide")).filter("slide <> ''")
 
 
-def nifti(data: np.ndarray, scale: tuple[float, float, float]) -> bytes:
-    """A single-file NIfTI-1 image of float64 values with the affine diag(scale, 1)."""
+def nifti_head(shape: tuple[int, ...], scale: tuple[float, float, float]) -> bytes:
+    """The 352 bytes before the values (float64, first axis fastest) of a NIfTI-1 image with the affine diag(scale, 1)."""
+    if max(shape) > 32767:
+        raise ValueError("NIfTI-1 images have at most 32767 pixels a side")
     head = bytearray(352)
-    dims = [data.ndim, *data.shape, *[1] * (7 - data.ndim)]
+    dims = [len(shape), *shape, *[1] * (7 - len(shape))]
     struct.pack_into("<i", head, 0, 348)
     struct.pack_into("<8h", head, 40, *dims)
     struct.pack_into("<2h", head, 70, 64, 64)  # float64
@@ -34,7 +36,12 @@ def nifti(data: np.ndarray, scale: tuple[float, float, float]) -> bytes:
     for row in range(3):
         struct.pack_into("<4f", head, 280 + 16 * row, *[scale[row] if k == row else 0.0 for k in range(4)])
     head[344:348] = b"n+1\0"
-    return bytes(head) + data.astype("<f8").tobytes(order="F")
+    return bytes(head)
+
+
+def nifti(data: np.ndarray, scale: tuple[float, float, float]) -> bytes:
+    """A single-file NIfTI-1 image of float64 values with the affine diag(scale, 1)."""
+    return nifti_head(data.shape, scale) + data.astype("<f8").tobytes(order="F")
 
 
 def nifti_tiles(heatmap: DataFrame, scale: tuple[float, float, float] = (0.0123, 0.0123, 0.24)) -> DataFrame:

@@ -1,22 +1,31 @@
-"""Baseline TIFF and BigTIFF: headers by range reads, uncompressed images in and out, one file a task at a time."""
+"""Baseline TIFF and BigTIFF: headers by range reads, small images in and out, one file a task at a time (see windows for large ones)."""
 
 from __future__ import annotations
 
+import io
 import struct
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .codecs import Layout
+from .paths import filesystem
+
 #: Tags of the TIFF 6.0 specification.
-TAGS = {256: "width", 257: "height", 258: "bits", 259: "compression", 262: "photometric", 273: "offsets", 277: "channels", 278: "rows", 279: "counts", 339: "format"}
+TAGS = {
+    256: "width", 257: "height", 258: "bits", 259: "compression", 262: "photometric", 273: "offsets", 277: "channels", 278: "rows", 279: "counts", 284: "planar", 317: "predictor",
+    322: "tile_w", 323: "tile_h", 324: "tile_offsets", 325: "tile_counts", 339: "format",
+}
 #: struct letters by field type: byte, ascii, short, long and, in BigTIFF, long8.
 KINDS = {1: "B", 2: "s", 3: "H", 4: "I", 16: "Q"}
 #: Bytes of pixels from which a file needs 64-bit offsets.
 BIG = 1 << 32
+COORDINATES = ["row_up", "col_up", "row_low", "col_low"]
 DTYPES = {1: "uint", 2: "int", 3: "float"}
 
 Read = Callable[[int, int], bytes]
@@ -83,17 +92,20 @@ def encode(pixels: bytes, h: int, w: int, channels: int, big: bool | None = None
 
 
 def decode(read: Read, page: int = 0) -> tuple[int, int, int, bytes]:
-    """(h, w, channels, pixels) of an uncompressed 8-bit page in strips."""
-    p = pages_of(read, page + 1)[1][page]
-    if p.get("compression", [1]) != [1] or set(p.get("bits", [1])) != {8} or "offsets" not in p:
-        raise ValueError("only uncompressed 8-bit strips are read")
-    pixels = b"".join(read(a, n) for a, n in zip(p["offsets"], p["counts"], strict=True))
-    return p["height"][0], p["width"][0], p.get("channels", [1])[0], pixels
+    """(h, w, channels, pixels) of a page of 8-bit samples."""
+    form, pages = pages_of(read, page + 1)
+    p = Layout(pages[page], form["little_endian"])
+    if p.dtype.itemsize != 1:
+        raise ValueError("only 8-bit samples are read here")
+    return p.height, p.width, p.channels, p.window(read, 0, 0, p.height, p.width).tobytes()
 
 
-def _reader(fs: pafs.FileSystem, path: str):
-    f = fs.open_input_file(path)
-    return f, lambda at, n: (f.seek(at), f.read(n))[1]
+@contextmanager
+def opened(path: str) -> Iterator[Read]:
+    """read(offset, size) of a file, whatever its name holds."""
+    fs, at = filesystem(path)
+    with fs.open_input_file(at) as f:
+        yield lambda start, n: (f.seek(start), f.read(n))[1]
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,9 +126,7 @@ def inspect_tiffs(spark: SparkSession, folder: str, max_pages: int | None = None
             rows = []
             for path in frame.path:
                 try:
-                    fs, at = pafs.FileSystem.from_uri(path)
-                    f, read = _reader(fs, at)
-                    with f:
+                    with opened(path) as read:
                         form, pages = pages_of(read, max_pages)
                     first = {k: v[0] for k, v in pages[0].items()} if pages else {}
                     kind = DTYPES.get(first.get("format", 1), "void")
@@ -132,18 +142,16 @@ def inspect_tiffs(spark: SparkSession, folder: str, max_pages: int | None = None
 
 
 def read_tiffs(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, h, w, channels, pixels, error) of the first page of each uncompressed 8-bit TIFF file below folder."""
+    """(path, h, w, channels, pixels, error) of the first page of each small 8-bit TIFF file below folder."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for path in frame.path:
                 row = {"path": path, "h": None, "w": None, "channels": None, "pixels": None, "error": None}
                 try:
-                    fs, at = pafs.FileSystem.from_uri(path)
-                    f, read = _reader(fs, at)
-                    with f:
+                    with opened(path) as read:
                         row |= dict(zip(("h", "w", "channels", "pixels"), decode(read), strict=True))
-                except (ValueError, struct.error, OSError) as e:
+                except (ValueError, KeyError, IndexError, struct.error, OSError) as e:
                     row["error"] = str(e)[:200]
                 yield pd.DataFrame([row]).astype({"h": "Int64", "w": "Int64", "channels": "Int64"})
 
@@ -153,14 +161,15 @@ def read_tiffs(spark: SparkSession, folder: str) -> DataFrame:
 def write_tiffs(images: DataFrame, folder: str, column: str = "pixels") -> DataFrame:
     """Writes images (name, h, w, channels, `column` binary) to folder/name; returns (name, bytes, error).
 
-    A file is written under another name and moved when complete, so a task that runs
-    again replaces it by its like. Nothing is written until the result is used; names
+    A file is written under a name of the task's attempt and moved when complete, so a task
+    that runs again, or twice at once, replaces it by its like. Nothing is written until the result is used; names
     are taken as unique, and may hold folders.
     """
     names = ["name", "bytes", "error"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, base = pafs.FileSystem.from_uri(folder)
+        fs, base = filesystem(folder)
+        draft = f".draft-{TaskContext.get().taskAttemptId()}"
         for frame in frames:
             rows = []
             for t in frame.itertuples():
@@ -168,9 +177,9 @@ def write_tiffs(images: DataFrame, folder: str, column: str = "pixels") -> DataF
                     data = encode(getattr(t, column), int(t.h), int(t.w), int(t.channels))
                     at = f"{base}/{t.name}"
                     fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
-                    with fs.open_output_stream(at + ".draft") as f:
+                    with fs.open_output_stream(at + draft) as f:
                         f.write(data)
-                    fs.move(at + ".draft", at)
+                    fs.move(at + draft, at)
                     rows.append((t.name, len(data), None))
                 except (ValueError, TypeError, OSError) as e:
                     rows.append((t.name, None, str(e)[:200]))
@@ -179,16 +188,34 @@ def write_tiffs(images: DataFrame, folder: str, column: str = "pixels") -> DataF
     return images.select("name", "h", "w", "channels", column).mapInPandas(run, "name string, bytes long, error string")
 
 
+def npy_head(descr: str, shape: tuple[int, ...]) -> bytes:
+    """What comes before the values of a .npy file of version 1.0, rows first."""
+    head = f"{{'descr': '{descr}', 'fortran_order': False, 'shape': {shape!r}, }}"
+    head += " " * (-(len(head) + 11) % 64) + "\n"
+    return b"\x93NUMPY\x01\x00" + struct.pack("<H", len(head)) + head.encode()
+
+
 def npy(array: np.ndarray) -> bytes:
     """An array as a .npy file of version 1.0."""
-    head = f"{{'descr': '{array.dtype.str}', 'fortran_order': False, 'shape': {array.shape!r}, }}"
-    head += " " * (-(len(head) + 11) % 64) + "\n"
-    return b"\x93NUMPY\x01\x00" + struct.pack("<H", len(head)) + head.encode() + np.ascontiguousarray(array).tobytes()
+    return npy_head(array.dtype.str, array.shape) + np.ascontiguousarray(array).tobytes()
+
+
+def read_coordinates(files: DataFrame) -> DataFrame:
+    """(slide_id, npy binary) -> (slide_id, tile_id, row_up, col_up, row_low, col_low): the rows of coordinate files, numbers cut to whole ones."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for slide, raw in zip(frame.slide_id, frame.npy, strict=True):
+                at = np.load(io.BytesIO(raw), allow_pickle=False).astype(np.int64).reshape(-1, 4)
+                yield pd.DataFrame({"slide_id": slide, "tile_id": np.arange(len(at)), **{c: at[:, k] for k, c in enumerate(COORDINATES)}})
+
+    types = dict(files.dtypes)
+    return files.select("slide_id", "npy").mapInPandas(run, f"slide_id {types['slide_id']}, tile_id int, " + ", ".join(f"{c} int" for c in COORDINATES))
 
 
 def coordinates_npy(coordinates: DataFrame) -> DataFrame:
     """(slide_id, tile_id, row_up, col_up, row_low, col_low) -> (slide_id, npy binary): a slide's coordinates as an int64 (n, 4) file, by tile."""
-    each = coordinates.groupBy("slide_id").agg(F.array_sort(F.collect_list(F.struct("tile_id", F.array("row_up", "col_up", "row_low", "col_low").alias("at")))).alias("rows"))
+    each = coordinates.groupBy("slide_id").agg(F.array_sort(F.collect_list(F.struct("tile_id", F.array(*COORDINATES).alias("at")))).alias("rows"))
 
     @F.pandas_udf("binary")
     def file(rows: pd.Series) -> pd.Series:
