@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 MODES = ("last", "last_set", "max")
 
 
-def paste(parts: DataFrame, block: int = 1024, mode: str = "max") -> DataFrame:
-    """(slide, seq, y0, x0, h, w, pixels binary) -> (slide, by, bx, pixels binary): the canvas in blocks of block x block bytes.
+def paste(parts: DataFrame, block: int = 1024, mode: str = "max", dtype: str = "u1") -> DataFrame:
+    """(slide, seq, y0, x0, h, w, pixels binary) -> (slide, by, bx, pixels binary): the canvas in blocks of block x block values of dtype.
 
     A pixel takes the greatest value of all parts there (mode "max": Z-stacks and other
     axes), that of the part with the highest seq ("last": stitching), or of the last that
@@ -34,7 +34,7 @@ def paste(parts: DataFrame, block: int = 1024, mode: str = "max") -> DataFrame:
         for frame in frames:
             out = []
             for t in frame.itertuples():
-                m = np.frombuffer(t.pixels, np.uint8).reshape(int(t.h), int(t.w))
+                m = np.frombuffer(t.pixels, dtype).reshape(int(t.h), int(t.w))
                 for by in range(max(t.y0, 0) // block, (t.y0 + t.h - 1) // block + 1):
                     top, low = max(t.y0, by * block), min(t.y0 + t.h, (by + 1) * block)
                     for bx in range(max(t.x0, 0) // block, (t.x0 + t.w - 1) // block + 1):
@@ -45,13 +45,13 @@ def paste(parts: DataFrame, block: int = 1024, mode: str = "max") -> DataFrame:
             if mode == "max" and out:
                 held: dict[tuple, np.ndarray] = {}
                 for slide, by, bx, _, y, x, h, w, pixels in out:
-                    lay(held.setdefault((slide, by, bx), np.zeros((block, block), np.uint8)), y, x, h, w, pixels)
-                if len(held) * block * block < sum(len(o[-1]) for o in out):
+                    lay(held.setdefault((slide, by, bx), np.zeros((block, block), dtype)), y, x, h, w, pixels)
+                if len(held) * block * block * np.dtype(dtype).itemsize < sum(len(o[-1]) for o in out):
                     out = [(*k, out[0][3], 0, 0, block, block, v.tobytes()) for k, v in held.items()]
             yield pd.DataFrame(out, columns=names)
 
     def lay(canvas: np.ndarray, y: int, x: int, h: int, w: int, pixels: bytes) -> None:
-        part, at = np.frombuffer(pixels, np.uint8).reshape(h, w), canvas[y : y + h, x : x + w]
+        part, at = np.frombuffer(pixels, dtype).reshape(h, w), canvas[y : y + h, x : x + w]
         if mode == "max":
             np.maximum(at, part, out=at)
         elif mode == "last":
@@ -67,7 +67,7 @@ def paste(parts: DataFrame, block: int = 1024, mode: str = "max") -> DataFrame:
                 if (t.slide, t.by, t.bx) != key:
                     if key:
                         out.append((*key, canvas.tobytes()))
-                    key, canvas = (t.slide, t.by, t.bx), np.zeros((block, block), np.uint8)
+                    key, canvas = (t.slide, t.by, t.bx), np.zeros((block, block), dtype)
                 lay(canvas, t.y, t.x, t.h, t.w, t.pixels)
             yield pd.DataFrame(out, columns=["slide", "by", "bx", "pixels"])
         if key:

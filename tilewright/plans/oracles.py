@@ -56,6 +56,16 @@ def _eroded(source: str, n: int) -> str:
   GROUP BY 1, 2, 3, 4 HAVING count(*) = {n})"""
 
 
+#: A pixel and its four neighbours.
+CROSS = "(VALUES (0, 0), (0, 1), (0, -1), (1, 0), (-1, 0)) o(dy, dx)"
+
+
+def _slide_alive(px: str) -> str:
+    """Places at half size of whole slides whose four neighbours are tissue of px as well."""
+    return f"""ti AS (SELECT slide, tile // 20 * 4 + y // 2 AS gy, tile % 20 * 4 + xx // 2 AS gx FROM {px} WHERE mask > 0 AND y % 2 = 1 AND xx % 2 = 1),
+ al AS (SELECT f.slide, f.gy, f.gx FROM ti f CROSS JOIN {CROSS} JOIN ti n ON n.slide = f.slide AND n.gy = f.gy + dy AND n.gx = f.gx + dx GROUP BY 1, 2, 3 HAVING count(*) = 5)"""
+
+
 def _neighbours(south: str, east: str) -> str:
     return f"""WITH {TILES} SELECT slide_id, tile_id, CASE WHEN gr > 0 THEN tile_id - grid_cols END AS north, CASE WHEN {south} THEN tile_id + grid_cols END AS south,
   CASE WHEN {east} THEN tile_id + 1 END AS east, CASE WHEN gc > 0 THEN tile_id - 1 END AS west FROM tl"""
@@ -76,6 +86,15 @@ CODE = """CASE WHEN slide_id % 19 = 0 THEN 'DIR_NOT_FOUND' WHEN slide_id % 17 =
   WHEN p_size = 1 THEN 'STAGE2_FAILED' WHEN p_size = 2 THEN 'STAGE2_EMPTY' WHEN p_size = 3 THEN 'STAGE3_FAILED' WHEN p_retailprice * 60 > 100000 THEN 'STAGE3_ABNORMAL'
   WHEN p_size % 7 = 0 THEN 'STAGE3_VERIFY_FAILED' ELSE 'OK' END"""
 
+#: REPORT with masks eroded over whole slides, and heatmaps by what is left of them.
+_PXE = f"""{PX.replace("px AS", "px0 AS", 1)}, wh AS (SELECT slide, tile // 20 * 8 + y AS gy, tile % 20 * 8 + xx AS gx FROM px0 WHERE mask > 0),
+ er AS (SELECT f.slide, f.gy, f.gx FROM wh f CROSS JOIN {CROSS} JOIN wh n ON n.slide = f.slide AND n.gy = f.gy + dy AND n.gx = f.gx + dx GROUP BY 1, 2, 3 HAVING count(*) = 5),
+ px AS (SELECT px0.* REPLACE (CASE WHEN er.gy IS NULL THEN 0 ELSE mask END AS mask) FROM px0 LEFT JOIN er ON px0.slide = er.slide AND tile // 20 * 8 + y = er.gy AND tile % 20 * 8 + xx = er.gx)"""
+ERODED = REPORT.replace(PX, _PXE).replace("heat AS (", "heat0 AS (", 1).replace(
+    ", nt AS (", f""", {_slide_alive("px")}, heat AS (SELECT h.* REPLACE (CASE WHEN al.gy IS NULL THEN 0.0::DOUBLE ELSE value END AS value)
+  FROM heat0 h LEFT JOIN al ON h.slide = al.slide AND h.tile // 20 * 4 + h.r = al.gy AND h.tile % 20 * 4 + h.c = al.gx), nt AS (""", 1,
+)
+
 ORACLE_SQL: dict[str, str] = {
     "q_tile_grid": f"WITH {GRID} SELECT slide_id, h, w, grid_rows, grid_cols FROM grid",
     "q_tile_coords": f"WITH {COORDS} SELECT * FROM co",
@@ -103,9 +122,10 @@ ORACLE_SQL: dict[str, str] = {
   CASE WHEN m > 100000 THEN 'STAGE3_ABNORMAL' WHEN n_nonzero = 0 THEN 'STAGE3_VERIFY_FAILED' ELSE 'OK' END AS code FROM s""",
     "q_erode_mask": f"""WITH {PX}, {_eroded("SELECT slide, tile, y AS r, xx AS c FROM px WHERE mask > 0", 5)}
   SELECT px.slide, px.tile, y AS r, xx AS c, CASE WHEN al.tile IS NULL THEN 0 ELSE mask END AS mask FROM px LEFT JOIN al ON px.slide = al.slide AND px.tile = al.tile AND y = al.r AND xx = al.c""",
-    "q_heatmap_erode": f"""WITH {HEAT}, {_eroded("SELECT slide, tile, y // 2 AS r, xx // 2 AS c FROM px WHERE mask > 0 AND y % 2 = 1 AND xx % 2 = 1", 5)}
-  SELECT h.slide, h.tile, h.r, h.c, round(value, 6) AS value, CASE WHEN al.tile IS NULL THEN 0.0::DOUBLE ELSE round(value, 6) END AS value_eroded
-  FROM heat h LEFT JOIN al ON h.slide = al.slide AND h.tile = al.tile AND h.r = al.r AND h.c = al.c""",
+    "q_res10_tiles": f"WITH {HEAT} SELECT slide, tile, r, c, round(value, 6) AS value FROM heat",
+    "q_heatmap_erode": f"""WITH {HEAT}, {_slide_alive("px")}
+  SELECT h.slide, h.tile, h.r, h.c, round(value, 6) AS value, CASE WHEN al.gy IS NULL THEN 0.0::DOUBLE ELSE round(value, 6) END AS value_eroded
+  FROM heat h LEFT JOIN al ON h.slide = al.slide AND h.tile // 20 * 4 + h.r = al.gy AND h.tile % 20 * 4 + h.c = al.gx""",
     "q_z_projection": "SELECT l_suppkey % 5 AS slide, l_orderkey % 32 AS y, l_partkey % 32 AS x, max(CAST(floor(5 * l_quantity) AS INTEGER)) AS v FROM lineitem GROUP BY 1, 2, 3",
     "q_axis_projection": "SELECT l_suppkey % 5 AS slide, l_linenumber % 3 AS channel, l_orderkey % 32 AS y, l_partkey % 32 AS x, max(CAST(floor(5 * l_quantity) AS INTEGER)) AS v FROM lineitem GROUP BY 1, 2, 3, 4",
     "q_mosaic_last_wins": f"WITH {SCENES} SELECT slide, y, x, coalesce(arg_max(v, scene) FILTER (v > 0), 0) AS v FROM sc GROUP BY 1, 2, 3",
@@ -146,7 +166,7 @@ ORACLE_SQL: dict[str, str] = {
   s AS (SELECT stage, count(*) AS runs, CAST(sum((epoch_us(nx) - epoch_us(ts)) // 1000000) AS BIGINT) AS seconds FROM n WHERE nx IS NOT NULL GROUP BY 1) SELECT *, seconds // 60 AS minutes FROM s""",
     "q_resume_pending": "SELECT o_custkey AS slide, o_orderkey AS tile FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l_returnflag = 'R')",
     "q_ready_slides": "SELECT c_custkey AS slide, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) THEN 'OK' ELSE 'DIR_NOT_FOUND' END AS code FROM customer",
-    "q_grid_fallback": f"WITH {GRID} SELECT slide_id, grid_rows, CAST(CASE WHEN slide_id % 3 = 0 THEN grid_cols + slide_id % 2 ELSE grid_cols END AS INTEGER) AS grid_cols, slide_id % 3 = 0 AND slide_id % 2 = 1 AS size_differs FROM grid",
+    "q_grid_fallback": f"WITH {GRID} SELECT slide_id, grid_rows, CAST(CASE WHEN p_size > 30 THEN grid_cols + slide_id % 2 ELSE grid_cols END AS INTEGER) AS grid_cols, p_size > 30 AND slide_id % 2 = 1 AS size_differs FROM grid",
     "q_union_sources": "SELECT user_id, event_type FROM events WHERE event_type = 'view' UNION ALL SELECT user_id, event_type FROM events WHERE event_type = 'click'",
     "q_distinct_slides": "SELECT DISTINCT user_id AS slide FROM events",
     "q_top_errors": f"""WITH {LOG}, e AS (SELECT seq, slide || ' ' || code AS message FROM lg WHERE code <> 'OK')
@@ -155,7 +175,19 @@ ORACLE_SQL: dict[str, str] = {
     "q_cleanup_report": """WITH b AS (SELECT ['amyloid', 'tau', 'iron'][o_custkey % 3 + 1] AS stain, o_custkey AS slide, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS kb FROM orders GROUP BY 1, 2 HAVING kb > 0),
   s AS (SELECT stain, count(*) AS slides, CAST(sum(kb) AS BIGINT) AS kb FROM b GROUP BY 1) SELECT *, kb // 1024 AS mb, kb // 1048576 AS gb FROM s""",
     "q_label_map": f"WITH {PX} SELECT slide, count(*) AS labelled, CAST(sum(CASE WHEN pred > 0 THEN 1 ELSE 0 END) AS BIGINT) AS foreground FROM px WHERE x >= -0.2 GROUP BY 1",
-    "q_mask_resize": f"WITH {PX} SELECT a.slide, a.tile, a.y AS r, a.xx AS c, b.mask FROM px a JOIN px b ON a.slide = b.slide AND a.tile = b.tile AND b.y = a.y // 2 * 2 AND b.xx = a.xx // 2 * 2",
+    "q_mask_resize": """SELECT label AS slide, vec_id AS tile, (i // 8)::INTEGER AS r, (i % 8)::INTEGER AS c, CASE WHEN x > -0.05 THEN 255 WHEN x > -0.1 THEN 127 ELSE 0 END AS mask
+  FROM (SELECT label, vec_id, i, CAST(embedding[i // 16 * 16 + i % 8 // 2 * 2 + 1] AS DOUBLE) AS x FROM embeddings, range(64) t(i))""",
+    "q_mask_windows": f"""WITH {PX}, n AS (SELECT slide, (max(tile) // 20 + 1) * 4 AS mh FROM px GROUP BY 1),
+ s AS (SELECT slide, tile // 20 * 4 + y // 2 AS my, tile % 20 * 4 + xx // 2 AS mx, mask FROM px WHERE y % 2 = 1 AND xx % 2 = 1),
+ o AS (SELECT slide, tile, y, xx, mh, greatest(least((tile // 20 * 8 + y + 0.5::DOUBLE) / 2 - 0.5::DOUBLE, mh - 1), 0) AS py, greatest(least((tile % 20 * 8 + xx + 0.5::DOUBLE) / 2 - 0.5::DOUBLE, 79), 0) AS px_ FROM px JOIN n USING (slide)),
+ k AS (SELECT slide, tile, y, xx, least(floor(py) + dy, mh - 1)::BIGINT AS my, least(floor(px_) + dx, 79)::BIGINT AS mx, (CASE dy WHEN 0 THEN 1 - py + floor(py) ELSE py - floor(py) END) * (CASE dx WHEN 0 THEN 1 - px_ + floor(px_) ELSE px_ - floor(px_) END) AS share
+  FROM o, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) q(dy, dx))
+ SELECT k.slide, tile, y AS r, xx AS c, floor(sum(share * coalesce(mask, 0)) + 0.5::DOUBLE)::INTEGER AS mask FROM k LEFT JOIN s ON s.slide = k.slide AND s.my = k.my AND s.mx = k.mx GROUP BY 1, 2, 3, 4""",
+    "q_window_tiles": f"""WITH {PX}, n AS (SELECT slide, (max(tile) // 20 + 1) * 8 AS h, ceil((max(tile) // 20 + 1) * 8 / 24.0)::BIGINT AS rows FROM px GROUP BY 1),
+ w AS (SELECT slide, g * 7 + c AS tile_id, g * h // rows AS row_up, (g + 1) * h // rows AS row_low, c * 160 // 7 AS col_up, (c + 1) * 160 // 7 AS col_low FROM n, range(rows) a(g), range(7) b(c)),
+ q AS (SELECT slide, tile // 20 * 8 + y AS gy, tile % 20 * 8 + xx AS gx, mask FROM px)
+ SELECT w.slide, tile_id::INTEGER AS tile_id, row_up, col_up, (row_low - row_up)::INTEGER AS h, (col_low - col_up)::INTEGER AS w, coalesce(sum(mask), 0)::INTEGER AS total
+ FROM w LEFT JOIN q ON q.slide = w.slide AND gy >= row_up AND gy < row_low AND gx >= col_up AND gx < col_low GROUP BY ALL""",
     "q_masking_applied": f"WITH {PX} SELECT slide, count(*) FILTER (mask < 255 AND R > 0) AS n_changed, count(*) FILTER (mask < 255 AND R > 0) > 0 AS applied FROM px GROUP BY 1",
     "q_erode_slide_tiles": f"WITH {WHOLE} SELECT slide, tile, y AS r, xx AS c, CASE WHEN n = 5 THEN mask ELSE 0 END AS mask FROM er",
     "q_eroded_count": f"WITH {WHOLE} SELECT slide, count(*) FILTER (mask > 0 AND n < 5) AS n_eroded FROM er GROUP BY 1",
@@ -184,12 +216,14 @@ ORACLE_SQL: dict[str, str] = {
     "q_images_with_masks": f"WITH {SLIDES} SELECT '/data/' || name || '/output/RES/a.tiff' AS path, '/data/' || name || '/mask/final_mask/y_mask.tiff' AS mask FROM sl WHERE p_size > 5",
     "q_res_dirs": f"WITH {SLIDES} SELECT '/data/' || name || '/output' AS slide_dir, '/data/' || name || '/output/RES' AS res_dir, '/data/' || name || '/output/RES/a_res10.tiff' AS small FROM sl",
     "q_seg_tile_files": f"WITH {SLIDES} SELECT '/data/' || name || '/heatmap/seg_tiles/tile_000' || k || '.tif' AS path, 'tile_000' || k || '.tif' AS name, (k + 1)::INTEGER AS no FROM sl, range(2) t(k)",
-    "q_tiff_roundtrip": f"""WITH {PX} SELECT slide || '/tile_' || lpad(tile::VARCHAR, CAST(greatest(4, length(tile::VARCHAR)) AS INTEGER), '0') || '.tif' AS name, 8::BIGINT AS h, 8::BIGINT AS w, 3::BIGINT AS channels, 1 AS pages,
+    "q_tiff_roundtrip": f"""WITH {PX} SELECT '3063_22_#' || slide || '_BS_Iron/tile_' || lpad(tile::VARCHAR, CAST(greatest(4, length(tile::VARCHAR)) AS INTEGER), '0') || '.tif' AS name, 8::BIGINT AS h, 8::BIGINT AS w, 3::BIGINT AS channels, 1 AS pages,
   'uint8' AS dtype, false AS big, sum(R + G + B)::INTEGER AS total FROM px GROUP BY slide, tile""",
     "q_name_parts": f"""WITH {SLIDES} SELECT name, array_to_string(list_filter(string_split(name, '_'), lambda p: lower(p) NOT IN ('cp13', 'iron', 'amyloid')), '_') AS plain,
   CASE p_size WHEN 7 THEN 0 WHEN 3 THEN 1 WHEN 20 THEN 2 END AS cls FROM sl""",
     "q_slide_pipeline": f"WITH {REPORT} SELECT * FROM rp",
+    "q_slide_pipeline_eroded": f"WITH {ERODED} SELECT * FROM rp",
     "q_stage_states": f"""WITH {REPORT} SELECT slide, ['masking', 'prediction', 'heatmap'][k] AS stage, CASE WHEN code = 'DIR_NOT_FOUND' THEN 'not reached' WHEN code = 'STAGE2_EMPTY' THEN ['ok', 'failed', 'not reached'][k]
   WHEN code = 'STAGE3_VERIFY_FAILED' THEN ['ok', 'ok', 'failed'][k] ELSE 'ok' END AS state FROM rp, range(1, 4) t(k)""",
 }
 ORACLE_SQL["q_scale_tiles"] = ORACLE_SQL["q_dynamic_scale"]
+ORACLE_SQL["q_slide_colormap"] = ORACLE_SQL["q_colormap"]

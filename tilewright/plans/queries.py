@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import naming
-from ..operators import canvas, infer, mask, metrics, mosaic, render, runlog, tileops, tiling
+from ..operators import canvas, infer, mask, maskwindows, metrics, mosaic, render, runlog, tileops, tiling
 from ..operators import density as dn
-from ..sources import discovery, metadata, tiff
+from ..sources import discovery, metadata, slidefiles, tiff, windows
 from ..sources.config import Settings
 from ..sources.shared import shared_dir
 from . import slides as sp
@@ -135,11 +135,24 @@ def q_erode_mask(spark, d):
     return mask.erode(px, ["slide", "tile"], mask.erosion_radius(10)).select("slide", "tile", "r", "c", "mask")
 
 
+def _heat_tiles(spark, d):
+    places = {"small_up": F.expr("cast(tile div 20 * 4 as int)"), "small_left": F.expr("cast(tile % 20 * 4 as int)")}
+    return render.heat_tiles(v.tile_sizes(spark, d).withColumns(places), dn.tile_density(v.tiles(spark, d), v.NPIX), v.NPIX)
+
+
 @query
 def q_heatmap_erode(spark, d):
-    small = v.pixels(spark, d).filter("r % 2 = 1 and c % 2 = 1 and mask > 0")
-    small = small.select("slide", "tile", F.expr("cast(r div 2 as int)").alias("r"), F.expr("cast(c div 2 as int)").alias("c"))
-    return render.erode_heatmap(_heat(spark, d), small, 1).select("slide", "tile", "r", "c", *_r("value", "value_eroded"))
+    """Heatmaps eroded over whole slides, so disks cross the tiles' borders."""
+    heat = _heat_tiles(spark, d)
+    eroded = render.erode_heat(heat, canvas.paste(v.tissue_parts(spark, d), 32, "last"), 32, 1)
+    both = render.heat_pixels(heat).join(render.heat_pixels(eroded).withColumnRenamed("value", "value_eroded"), ["slide", "tile", "r", "c"])
+    return both.select("slide", "tile", "r", "c", *_r("value", "value_eroded"))
+
+
+@query
+def q_res10_tiles(spark, d):
+    """q_res10, a row a tile."""
+    return render.heat_pixels(_heat_tiles(spark, d)).select("slide", "tile", "r", "c", *_r("value"))
 
 
 @query
@@ -331,7 +344,7 @@ def q_ready_slides(spark, d):
 @query
 def q_grid_fallback(spark, d):
     s = v.slides(spark, d)
-    stored = tiling.grid(s).filter("slide_id % 3 = 0").select(
+    stored = tiling.grid(s).filter("p_size > 30").select(
         "slide_id", F.col("grid_rows").alias("s_rows"), (F.col("grid_cols") + F.col("slide_id") % 2).cast("int").alias("s_cols"), F.col("h").alias("s_h"), (F.col("w") + F.col("slide_id") % 2).alias("s_w")
     )
     return tiling.with_stored_grid(s, stored)
@@ -379,6 +392,35 @@ def q_mask_resize(spark, d):
     return v.pixels_of(tileops.sample_mask(t), "mask")
 
 
+def _slide_rows(spark, d):
+    """Rows of tiles that placed() gives each slide."""
+    return v.placed(spark, d).groupBy("slide").agg((F.max("gr") + 1).alias("n"))
+
+
+@query
+def q_mask_windows(spark, d):
+    """Masks of whole slides at half size, in blocks, interpolated for each tile from the window below it."""
+    n = _slide_rows(spark, d)
+    t = v.placed(spark, d).join(n, "slide").select("slide", "tile", (F.col("gr") * 8).alias("row_up"), (F.col("gc") * 8).alias("col_up"), "h", "w", (F.col("n") * 8).alias("full_h"), F.lit(160).alias("full_w"))
+    sizes = n.select("slide", (F.col("n") * 4).alias("mask_h"), F.lit(80).alias("mask_w"))
+    got = maskwindows.tile_masks(t, canvas.paste(v.tissue_parts(spark, d), 32, "last"), sizes, 32, "bilinear")
+    return v.pixels_of(got.select("slide", "tile", F.lit(8).alias("h"), F.lit(8).alias("w"), "mask"), "mask")
+
+
+@query
+def q_window_tiles(spark, d):
+    """Whole slides written as tiled BigTIFF files, then cut by a grid that doesn't fit their tiles, each window from the bytes below it."""
+    folder = f"{shared_dir(spark)}/slides-{uuid.uuid4().hex}"
+    p = v.placed(spark, d)
+    parts = p.select("slide", F.col("tile").alias("seq"), (F.col("gr") * 8).alias("y0"), (F.col("gc") * 8).alias("x0"), "h", "w", F.col("mask").alias("pixels"))
+    blocks = canvas.paste(parts, 32, "last").join(_slide_rows(spark, d), "slide")
+    name = F.concat(F.col("slide").cast("string"), F.lit("_22_#"), F.col("slide").cast("string"), F.lit(" 50%.tif"))
+    slidefiles.write_slides(blocks.select(name.alias("name"), F.col("by").alias("gy"), F.col("bx").alias("gx"), (F.col("n") * 8).alias("h"), F.lit(160).alias("w"), "pixels"), folder, 32)
+    got = windows.read_windows(spark, folder, 24)
+    slide = F.regexp_extract("path", "([0-9]+)_22_#[0-9]+ 50%.tif$", 1).cast("int")
+    return got.select(slide.alias("slide"), "tile_id", "row_up", "col_up", "h", "w", v.byte_sum(F.col("pixels")).alias("total"))
+
+
 @query
 def q_masking_applied(spark, d):
     return mask.masking_applied(v.pixels(spark, d))
@@ -509,7 +551,8 @@ def q_seg_tile_files(spark, d):
 def q_tiff_roundtrip(spark, d):
     """Tiles written as TIFF files to the shared folder, then their headers and pixels read again."""
     folder = f"{shared_dir(spark)}/tiles-{uuid.uuid4().hex}"
-    t = v.tiles(spark, d).select(F.concat(F.col("slide").cast("string"), F.lit("/"), naming.tile_name(F.col("tile"))).alias("name"), "h", "w", F.lit(3).alias("channels"), F.col("rgb").alias("pixels"))
+    folder_name = F.concat(F.lit("3063_22_#"), F.col("slide").cast("string"), F.lit("_BS_Iron/"))
+    t = v.tiles(spark, d).select(F.concat(folder_name, naming.tile_name(F.col("tile"))).alias("name"), "h", "w", F.lit(3).alias("channels"), F.col("rgb").alias("pixels"))
     tiff.write_tiffs(t, folder).write.parquet(f"{folder}-log")
     head = tiff.inspect_tiffs(spark, folder, 4).select("path", "pages", "dtype", "big")
     got = tiff.read_tiffs(spark, folder).join(head, "path")
@@ -522,19 +565,38 @@ def q_name_parts(spark, d):
     return v.slides(spark, d).select("name", naming.without_stain(F.col("name")).alias("plain"), naming.class_numbers(F.col("p_size"), [7, 3, 20]).alias("cls"))
 
 
-def _slide_state(spark, d):
+def _slide_state(spark, d, settings=Settings(pix_1mm=30, block=32)):
     tiles = v.tiles(spark, d).withColumn("out_h", F.lit(4)).withColumn("out_w", F.lit(4))
+    place = lambda i, n: F.expr(f"cast({i} * {n} as int)")
+    tiles = tiles.withColumns({"row_up": place("(tile div 20)", 8), "col_up": place("(tile % 20)", 8), "small_up": place("(tile div 20)", 4), "small_left": place("(tile % 20)", 4)})
     # a tile without any marked pixel has no prediction
     tiles = tiles.withColumn("pred", F.when(~F.hex("pred").rlike("^0*$"), F.col("pred")))
     slides = tiles.groupBy("slide").agg(F.count("*").alias("n_tiles"))
     regions = v.table(spark, d, "region").select((-F.col("r_regionkey") - 1).cast(dict(slides.dtypes)["slide"]).alias("slide"), F.lit(1).cast("bigint").alias("n_tiles"))
-    return sp.run_stages({"tiles": tiles, "slides": slides.unionByName(regions)}, settings=Settings(pix_1mm=30))
+    return sp.run_stages({"tiles": tiles, "slides": slides.unionByName(regions)}, settings=settings)
+
+
+def _report(state):
+    return state["report"].select("slide", "n_tiles", "n_seg", "n_pred", "n_errors", *_r("max_value"), "n_nonzero", "code", "status")
 
 
 @query
 def q_slide_pipeline(spark, d):
     """All stages; slides without tiles (one per region) fail at the first gate."""
-    return _slide_state(spark, d)["report"].select("slide", "n_tiles", "n_seg", "n_pred", "n_errors", *_r("max_value"), "n_nonzero", "code", "status")
+    return _report(_slide_state(spark, d))
+
+
+@query
+def q_slide_pipeline_eroded(spark, d):
+    """All stages with both erosions, of masks at full size and of the heatmap at reduced size."""
+    return _report(_slide_state(spark, d, Settings(pix_1mm=30, block=32, erosion_pixels=1, heatmap_erosion_pixels=1)))
+
+
+@query
+def q_slide_colormap(spark, d):
+    """Grey levels of the plan's colormap stage."""
+    t = _slide_state(spark, d)["colormap"].select("slide", "tile", F.col("out_h").alias("h"), F.col("out_w").alias("w"), "gray")
+    return v.pixels_of(t, "gray")
 
 
 @query

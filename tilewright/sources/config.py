@@ -20,6 +20,8 @@ class Settings:
     y_dim: float = 0.0123
     z_dim: float = 0.122
     heatmap_erosion_pixels: int = 0
+    #: Pixels along a side of the blocks that whole slides are kept in.
+    block: int = 1024
 
     @property
     def npix(self) -> int:
