@@ -132,13 +132,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
                 yield pd.DataFrame({"vec_id": g.vec_id, "v": [r.astype("<i8").tobytes() for r in x], "cell": cell.astype(np.int32), "far": far})
 
     data = data.mapInPandas(place, "vec_id long, v binary, cell int, far double")
-    data = cut(data.repartition(parts))
+    # rows are told apart by their place, so that a cell of equal rows can be cut as well
+    data = cut(data.repartition(parts).withColumn("place", F.monotonically_increasing_id()))
     sizes = data.groupBy("cell").agg(F.count("*").alias("n")).toPandas()
     held = np.zeros(m, np.int64)
     held[sizes.cell.to_numpy()] = sizes.n.to_numpy()
     numbers = lambda xs, c: F.element_at(F.lit([int(x) for x in xs]), c + 1)
     first, pieces = groups_of(held, BLOCK_ROWS)
-    data = data.withColumn("block", (numbers(first, F.col("cell")) + F.pmod(F.xxhash64("vec_id", "v"), numbers(pieces, F.col("cell")))).cast("int"))
+    data = data.withColumn("block", (numbers(first, F.col("cell")) + F.pmod(F.xxhash64("place"), numbers(pieces, F.col("cell")))).cast("int"))
     blocks = data.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).orderBy("cell").toPandas()
     centre, count, radius = pivots[blocks.cell.to_numpy()], blocks.n.to_numpy(np.int64), blocks.far.to_numpy() * (1 + 1e-9) + 1e-6
     cells = blocks.cell.to_numpy(np.int32)
@@ -171,7 +172,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
     of_cell = lambda c: F.sequence(numbers(first, c).cast("int"), (numbers(first, c) + numbers(pieces, c) - 1).cast("int"))
     sent = asks.select("asks", "vec_id", "v", F.explode(F.array_distinct(F.flatten(F.transform("cells", of_cell)))).alias("block"))
     pairs = asks.select(F.col("asks").alias("to_asks"), F.explode("cells").alias("to_cell")).distinct()
-    copied = data.select("vec_id", "v", "cell", F.col("block").alias("to_block")).join(pairs, F.col("cell") == F.col("to_cell"))
+    pairs = pairs.select("to_asks", "to_cell", F.explode(of_cell(F.col("to_cell"))).alias("to_block"))
+    copied = data.select("vec_id", "v", "cell", "block").join(pairs, (F.col("cell") == F.col("to_cell")) & (F.col("block") == F.col("to_block")))
     copied = copied.select("to_asks", "to_block", "vec_id", "v")
 
     def solve(key: tuple, asked: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
