@@ -206,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     Word vectors come from all of docs, whole texts, repeated rows and null ids included;
     null texts count as empty. Of the labels, at most max_labelled take part; ids with
     several labels count by their mean, at 0.5 as 1; null ids and labels don't count. Rows
-    of docs that share a labelled id all take part. Without labelled rows the network
+    of docs that share a labelled id count by their mean. Without labelled rows the network
     scores 0.5; an empty table gives such a network.
     """
     small_batches(docs.sparkSession)
@@ -223,7 +223,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
             yield pd.Series([pooled(memo.of(t), shared.value) for t in text], dtype=object)
 
     chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
-    rows = chosen.select("_id", "y", pool("text").alias("x")).toPandas().sort_values("_id", kind="stable")
+    # rows of one id are averaged where they are, so that the driver gets one for each label
+    each = chosen.select("_id", "y", pool("text").alias("x")).select("_id", "y", F.posexplode("x").alias("place", "v"))
+    each = each.groupBy("_id", "y", "place").agg(F.avg(F.col("v").cast("double")).cast("float").alias("v"))
+    rows = each.groupBy("_id", "y").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda p: p["v"]).alias("x"))
+    rows = rows.toPandas().sort_values("_id", kind="stable")
     x = np.stack(rows.x.to_list()).astype(np.float64) if len(rows) else np.zeros((0, 2 * DIM + 1))
     return fit(x, rows.y.to_numpy(np.float64), vectors)
 
