@@ -98,34 +98,51 @@ def edits(known: Column, new: Column) -> Column:
     return F.array_join(F.flatten(walked), ",")
 
 
+def _ranges(rows: DataFrame, n: int) -> Column:
+    """The range of each row (doc_id, _hash) in an order by falling doc_id, null last, then by _hash.
+
+    Ids are cut at approximate percentiles. An id (or null) with more rows than a range
+    should have is cut further by hash, into ranges of its own.
+    """
+    cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n), F.count("*")).first()
+    total, cuts = cuts[1], F.array(*[F.lit(int(c)) for c in sorted(set(cuts[0] or []))]).cast("array<long>")
+    # at most n of them
+    often = {r.doc_id: -(-r["count"] * n // total) for r in rows.groupBy("doc_id").count().filter(F.col("count") > total // n).collect()}
+    pieces = F.when(F.col("doc_id").isNull(), F.lit(often.pop(None, 1)))
+    if often:
+        pieces = pieces.otherwise(F.element_at(F.create_map(*[F.lit(x) for k, v in often.items() for x in (k, v)]), F.col("doc_id")))
+    # from 1, as rows of other ids in the same range come before
+    of_hash = F.least((F.col("_hash").cast("double") / 2.0**64 + 0.5) * pieces, pieces - 1.0).cast("long") + 1
+    main = F.when(F.col("doc_id").isNull(), F.lit(n)).otherwise(F.size(F.filter(cuts, lambda c: c > F.col("doc_id"))))
+    return main.cast("long") * (1 << 32) + F.coalesce(of_hash, F.lit(0))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with next_text, the text of the next row by descending doc_id, null ids last, the last row's next being the first.
 
-    The ids are cut into ranges at approximate percentiles; each range is sorted by
-    itself, and the last row of a range takes the first of the next. Rows with the same
-    id go by a hash of their texts.
+    Null texts are empty. The rows are cut into ranges; each is sorted by itself, and the
+    last row of a range takes the first of the next. Rows with the same id, or none, go by
+    a hash of their texts, however many they are; rows that repeat follow each other. An
+    empty table gives an empty one; other columns take no part.
     """
     spark = docs.sparkSession
     n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []
-    cuts = F.array(*[F.lit(int(c)) for c in sorted(set(cuts))]).cast("array<long>")
-    # null ids, in order of their hashes, make ranges of their own
-    piece = F.when(F.col("doc_id").isNull(), F.lit(n + 9) + F.shiftright("_hash", 60).cast("int")).otherwise(F.size(F.filter(cuts, lambda c: c > F.col("doc_id"))))
-    rows = rows.withColumn("_hash", F.xxhash64("text")).withColumn("_piece", piece)
-    order = [F.desc_nulls_last("doc_id"), F.col("_hash")]
-    # the first row of each range has its greatest id or, of null ids, its least hash
-    tops = rows.groupBy("_piece").agg(F.max("doc_id").alias("_top"), F.min("_hash").alias("_low"))
-    of = (F.col("_piece") == F.col("_p")) & F.col("doc_id").eqNullSafe(F.col("_top")) & (F.col("doc_id").isNotNull() | (F.col("_hash") == F.col("_low")))
-    heads = rows.join(F.broadcast(tops.withColumnRenamed("_piece", "_p")), of)
-    heads = heads.withColumn("_k", F.row_number().over(Window.partitionBy("_piece").orderBy(*order))).filter("_k = 1")
-    heads = heads.select(F.col("_piece").alias("_head"), F.col("text").alias("_first"))
+    rows = rows.withColumn("_hash", F.xxhash64("text"))
+    rows = rows.withColumn("_piece", _ranges(rows.select("doc_id", "_hash"), n))
+    # orders like the falling id, without overflow
+    falling = F.bitwise_not("doc_id")
+    tops = rows.groupBy("_piece").agg(F.min(F.struct(falling.alias("id"), "_hash")).alias("_top")).select(F.col("_piece").alias("_p"), F.col("_top.id").alias("_id"), F.col("_top._hash").alias("_low"))
+    of = (F.col("_piece") == F.col("_p")) & falling.eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_low"))
+    # rows that agree in id and hash have one text
+    heads = rows.join(F.broadcast(tops), of).groupBy("_piece").agg(F.min("text").alias("_first"))
+    heads = heads.select(F.col("_piece").alias("_head"), "_first")
     everyone = Window.partitionBy(F.lit(1)).orderBy("_head")
-    ends = tops.select(F.col("_piece").alias("_head")).withColumn(
+    ends = tops.select(F.col("_p").alias("_head")).withColumn(
         "_after", F.coalesce(F.lead("_head").over(everyone), F.min("_head").over(Window.partitionBy(F.lit(1))))
     )
     ends = ends.withColumnRenamed("_head", "_piece").join(heads, F.col("_after") == F.col("_head")).select("_piece", "_first")
-    within = rows.withColumn("_lead", F.lead("text").over(Window.partitionBy("_piece").orderBy(*order)))
+    within = rows.withColumn("_lead", F.lead("text").over(Window.partitionBy("_piece").orderBy(F.desc_nulls_last("doc_id"), "_hash")))
     return within.join(ends, "_piece").select("doc_id", "text", F.coalesce("_lead", "_first").alias("next_text"))
 
 
