@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import filter_of, small_batches, strings_of, table, written
+from .common import MAX_FILTER_BITS, filter_of, small_batches, strings_of, table, written
 
 #: Equal lines count from MIN_WORDS words on; lines of NEAR_WORDS or more also by edits, with partners one word shorter.
 MIN_WORDS, NEAR_WORDS = 1, 5
@@ -44,21 +44,30 @@ def half_keys(words: list[bytes]) -> list[int]:
     return keys
 
 
-def variants(words: list[bytes]) -> list[tuple[int, int]]:
-    """(key, place) of the line itself, place -1, and of all lines that the deletion of a word makes of it.
+#: Odd, and its inverse by 2 ** 64: a line's key sums up its words' hashes, each times a power of the inverse by its place.
+_TURN = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def variants(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, key, place): of each line itself, place -1, and of all lines that the deletion of a word makes of it.
 
     Lines that share a key and a place differ in the word at that place alone; a line
-    that shares its own key with a deletion of another is that line without a word.
+    that shares its own key with a deletion of another is that line without a word. Keys
+    of deletions come from the sums before and after the word, so a line takes as many
+    steps as it has words.
     """
-    joined = b" ".join(words)
-    found = [(_h(joined), -1)]
-    start = 0
-    for p, w in enumerate(words):
-        stop = start + len(w)
-        rest = joined[:start] + joined[stop + 1 :] if p < len(words) - 1 else joined[: start - 1] if p else b""
-        found.append((_h(rest), p))
-        start = stop + 1
-    return found
+    n = np.array([len(w) for w in lines], np.int64)
+    of, start = np.repeat(np.arange(len(lines)), n), np.cumsum(n) - n
+    place = np.arange(n.sum()) - start[of]
+    power = np.cumprod(np.r_[np.uint64(1), np.full(max(int(n.max(initial=0)) - 1, 0), _BACK)])
+    digest = xxhash.xxh64_intdigest
+    each = np.fromiter((digest(w) for words in lines for w in words), np.uint64, len(of)) * power[place]
+    sums = np.r_[np.uint64(0), np.cumsum(each)]
+    own = sums[start + n] - sums[start]
+    before, after = sums[start[of] + place] - sums[start[of]], sums[start[of] + n[of]] - sums[start[of] + place + 1]
+    key = np.r_[own, before + after * _TURN].view(np.int64)
+    return np.r_[np.arange(len(lines)), of], key, np.r_[np.full(len(lines), -1), place].astype(np.int32)
 
 
 def within_one(a: list[bytes], b: list[bytes]) -> bool:
@@ -173,7 +182,8 @@ def _sorted(rows: DataFrame, *by: str) -> DataFrame:
 
 def _texts(docs: DataFrame, candidates: DataFrame, partner_words: int) -> DataFrame:
     """(h, words, doc_id, dkey, line): the distinct lines that may be near others, each as its earliest."""
-    shared = docs.sparkSession.sparkContext.broadcast(filter_of(candidates))
+    bits, mask = filter_of(candidates)
+    shared = docs.sparkSession.sparkContext.broadcast((bits, mask))
     names = ["h", "words", "doc_id", "dkey", "line"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +219,13 @@ def _texts(docs: DataFrame, candidates: DataFrame, partner_words: int) -> DataFr
                 yield batch.filter(pa.array(first))
 
     schema = "h long, words binary, doc_id long, dkey long, line int"
-    return _sorted(_keyed(docs).mapInArrow(run, schema), "h").mapInArrow(earliest, schema)
+    found = _sorted(_keyed(docs).mapInArrow(run, schema), "h").mapInArrow(earliest, schema)
+    if mask + 1 < MAX_FILTER_BITS:
+        return found
+    # so many candidates that the filter passes others too: those go by the candidates' own keys
+    short = F.size(F.split(F.col("words").cast("string"), " ")) < SHORT
+    known = found.join(candidates.withColumnRenamed("h", "_h"), F.col("h") == F.col("_h"), "left").filter(short | F.col("_h").isNotNull())
+    return known.select(*names)
 
 
 def _pairs(lines: DataFrame) -> DataFrame:
@@ -225,10 +241,7 @@ def _pairs(lines: DataFrame) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(a, TOGETHER) for b in batches for a in range(0, b.num_rows, TOGETHER)):
-            found = [variants(w.split()) for w in batch.column("words").to_pylist()]
-            at = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            key = np.array([k for f in found for k, _ in f], np.int64)
-            place = np.array([p for f in found for _, p in f], np.int32)
+            at, key, place = variants([w.split() for w in batch.column("words").to_pylist()])
             h = batch.column("h").to_numpy()[at]
             each = {c: v[at] for c, v in _ids(batch.column("doc_id")).items()} | {"dkey": batch.column("dkey").to_numpy()[at], "line": batch.column("line").to_numpy()[at]}
             by = np.lexsort((each["dkey"], each["line"], each["doc_id"], each["no_id"], place, key))
