@@ -151,8 +151,10 @@ def remix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: int
     took = mix(docs, weights, max_repeat).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     n = F.expr(f"if(size = 0, 1, least({int(max_repeat)}, (2 * taken + size) div (2 * size)))").cast("int")
     copies = took.select("doc_id", n.alias("n")).filter("n > 0")
-    rows = docs.select(F.struct("*").alias("row"))
-    many = rows.join(copies, F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id"))).withColumn("k", F.explode(F.expr("sequence(1, n)")))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("_id"))
+    # rows without an id are mixed as one, so there is one number for them, which goes to where they are
+    none = rows.filter("_id IS NULL").join(F.broadcast(copies.filter("doc_id IS NULL")), F.col("_id").eqNullSafe(F.col("doc_id")))
+    many = rows.join(copies, F.col("_id") == F.col("doc_id")).unionByName(none).withColumn("k", F.explode(F.expr("sequence(1, n)")))
     return many.select("row.*")
 
 
