@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import written
 
 #: Edges up to this many (16 bytes each) are settled by one task.
 LOCAL = 1 << 20
@@ -25,7 +25,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges, counted beforehand, one task finds the same roots without rounds. Only nodes
     with an edge appear in the result; null ends and loops are ignored.
     """
-    e = cut(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    e = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     if e.count() <= LOCAL:
         return e.coalesce(1).mapInArrow(_roots, "node long, root long")
     while not _stars(e):
@@ -35,7 +35,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = large.unionByName(low.filter("m < u").select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        e = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
