@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 MODES = ("last", "last_set", "max")
 
 
-def paste(parts: DataFrame, block: int = 1024, mode: str = "max", dtype: str = "u1") -> DataFrame:
-    """(slide, seq, y0, x0, h, w, pixels binary) -> (slide, by, bx, pixels binary): the canvas in blocks of block x block values of dtype.
+def paste(parts: DataFrame, block: int = 1024, mode: str = "max", dtype: str = "u1", channels: int = 1) -> DataFrame:
+    """(slide, seq, y0, x0, h, w, pixels binary) -> (slide, by, bx, pixels binary): the canvas in blocks of block x block pixels, of `channels` values of dtype each.
 
     A pixel takes the greatest value of all parts there (mode "max": Z-stacks and other
     axes), that of the part with the highest seq ("last": stitching), or of the last that
@@ -34,24 +34,24 @@ def paste(parts: DataFrame, block: int = 1024, mode: str = "max", dtype: str = "
         for frame in frames:
             out = []
             for t in frame.itertuples():
-                m = np.frombuffer(t.pixels, dtype).reshape(int(t.h), int(t.w))
+                m = np.frombuffer(t.pixels, dtype).reshape(int(t.h), int(t.w), channels)
                 for by in range(max(t.y0, 0) // block, (t.y0 + t.h - 1) // block + 1):
                     top, low = max(t.y0, by * block), min(t.y0 + t.h, (by + 1) * block)
                     for bx in range(max(t.x0, 0) // block, (t.x0 + t.w - 1) // block + 1):
                         left, right = max(t.x0, bx * block), min(t.x0 + t.w, (bx + 1) * block)
                         if low > top and right > left:
                             part = m[top - t.y0 : low - t.y0, left - t.x0 : right - t.x0]
-                            out.append((t.slide, by, bx, t.seq, top - by * block, left - bx * block, *part.shape, part.tobytes()))
+                            out.append((t.slide, by, bx, t.seq, top - by * block, left - bx * block, *part.shape[:2], part.tobytes()))
             if mode == "max" and out:
                 held: dict[tuple, np.ndarray] = {}
                 for slide, by, bx, _, y, x, h, w, pixels in out:
-                    lay(held.setdefault((slide, by, bx), np.zeros((block, block), dtype)), y, x, h, w, pixels)
-                if len(held) * block * block * np.dtype(dtype).itemsize < sum(len(o[-1]) for o in out):
+                    lay(held.setdefault((slide, by, bx), np.zeros((block, block, channels), dtype)), y, x, h, w, pixels)
+                if len(held) * block * block * channels * np.dtype(dtype).itemsize < sum(len(o[-1]) for o in out):
                     out = [(*k, out[0][3], 0, 0, block, block, v.tobytes()) for k, v in held.items()]
             yield pd.DataFrame(out, columns=names)
 
     def lay(canvas: np.ndarray, y: int, x: int, h: int, w: int, pixels: bytes) -> None:
-        part, at = np.frombuffer(pixels, dtype).reshape(h, w), canvas[y : y + h, x : x + w]
+        part, at = np.frombuffer(pixels, dtype).reshape(h, w, channels), canvas[y : y + h, x : x + w]
         if mode == "max":
             np.maximum(at, part, out=at)
         elif mode == "last":
@@ -67,7 +67,7 @@ def paste(parts: DataFrame, block: int = 1024, mode: str = "max", dtype: str = "
                 if (t.slide, t.by, t.bx) != key:
                     if key:
                         out.append((*key, canvas.tobytes()))
-                    key, canvas = (t.slide, t.by, t.bx), np.zeros((block, block), dtype)
+                    key, canvas = (t.slide, t.by, t.bx), np.zeros((block, block, channels), dtype)
                 lay(canvas, t.y, t.x, t.h, t.w, t.pixels)
             yield pd.DataFrame(out, columns=["slide", "by", "bx", "pixels"])
         if key:
@@ -79,7 +79,7 @@ def paste(parts: DataFrame, block: int = 1024, mode: str = "max", dtype: str = "
     return ordered.mapInPandas(laid, f"slide {types['slide']}, by int, bx int, pixels binary")
 
 
-def windows(blocks: DataFrame, block: int, wanted: DataFrame) -> DataFrame:
+def windows(blocks: DataFrame, block: int, wanted: DataFrame, channels: int = 1) -> DataFrame:
     """Windows (slide, tile, up, left, h, w) of canvases in blocks (slide, by, bx, pixels) -> (slide, tile, h, w, pixels binary).
 
     A window meets the blocks that it overlaps by their places; each hands on the part it
@@ -99,18 +99,18 @@ def windows(blocks: DataFrame, block: int, wanted: DataFrame) -> DataFrame:
         for f in frames:
             out = []
             for t in f.itertuples():
-                m = np.frombuffer(t.pixels, np.uint8).reshape(block, block)
+                m = np.frombuffer(t.pixels, np.uint8).reshape(block, block, channels)
                 top, low = max(t.up, t.by * block), min(t.up + t.h, (t.by + 1) * block)
                 side, right = max(t.left, t.bx * block), min(t.left + t.w, (t.bx + 1) * block)
                 part = m[top - t.by * block : low - t.by * block, side - t.bx * block : right - t.bx * block]
-                out.append((t.slide, t.tile, t.h, t.w, top - t.up, side - t.left, *part.shape, part.tobytes()))
+                out.append((t.slide, t.tile, t.h, t.w, top - t.up, side - t.left, *part.shape[:2], part.tobytes()))
             yield pd.DataFrame(out, columns=["slide", "tile", "h", "w", "y", "x", "ph", "pw", "pixels"])
 
     def whole(key: tuple, h: int, w: int, parts: list) -> tuple:
-        out = np.zeros((h, w), np.uint8)
+        out = np.zeros((h, w, channels), np.uint8)
         for t in parts:
             if t.pixels is not None:
-                out[t.y : t.y + t.ph, t.x : t.x + t.pw] = np.frombuffer(t.pixels, np.uint8).reshape(t.ph, t.pw)
+                out[t.y : t.y + t.ph, t.x : t.x + t.pw] = np.frombuffer(t.pixels, np.uint8).reshape(t.ph, t.pw, channels)
         return *key, h, w, out.tobytes()
 
     def laid(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

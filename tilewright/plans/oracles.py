@@ -188,6 +188,21 @@ ORACLE_SQL: dict[str, str] = {
  q AS (SELECT slide, tile // 20 * 8 + y AS gy, tile % 20 * 8 + xx AS gx, mask FROM px)
  SELECT w.slide, tile_id::INTEGER AS tile_id, row_up, col_up, (row_low - row_up)::INTEGER AS h, (col_low - col_up)::INTEGER AS w, coalesce(sum(mask), 0)::INTEGER AS total
  FROM w LEFT JOIN q ON q.slide = w.slide AND gy >= row_up AND gy < row_low AND gx >= col_up AND gx < col_low GROUP BY ALL""",
+    "q_reduce_slides": f"""WITH {PX}, n AS (SELECT slide, (max(tile) // 20 + 1) * 8 AS h FROM px GROUP BY 1), m AS (SELECT slide, tile // 20 * 8 + y AS gy, tile % 20 * 8 + xx AS gx, mask FROM px),
+ z AS (SELECT sum(exp(-2.0::DOUBLE * k * k)) AS z FROM range(-2, 3) r(k)), g AS (SELECT t, coalesce((SELECT exp(-2.0::DOUBLE * t * t) WHERE t <= 2), 0) / z / 2 + coalesce((SELECT exp(-2.0::DOUBLE * (t - 1) * (t - 1)) WHERE t >= -1), 0) / z / 2 AS k FROM range(-2, 4) r(t), z),
+ o AS (SELECT slide, i AS y, j AS x, h, a.k * b.k AS k, abs(2 * i + a.t) AS sy, abs(2 * j + b.t) AS sx FROM n, range(h // 2) r(i), range(80) s(j), g a, g b),
+ q AS (SELECT slide, y, x, k, CASE WHEN sy > h - 1 THEN 2 * (h - 1) - sy ELSE sy END AS gy, CASE WHEN sx > 159 THEN 318 - sx ELSE sx END AS gx FROM o)
+ SELECT slide, y::INTEGER AS y, x::INTEGER AS x, floor(sum(k * mask) + 1e-6)::INTEGER AS v FROM q JOIN m USING (slide, gy, gx) GROUP BY 1, 2, 3 HAVING floor(sum(k * mask) + 1e-6) > 0""",
+    "q_regions": f"""WITH RECURSIVE {PX}, m AS (SELECT slide, tile // 20 * 8 + y AS gy, tile % 20 * 8 + xx AS gx FROM px WHERE pred > 0),
+ near AS (SELECT a.slide, a.gy AS ay, a.gx AS ax, b.gy AS by_, b.gx AS bx FROM m a CROSS JOIN range(-1, 2) r(dy) CROSS JOIN range(-1, 2) s(dx) JOIN m b ON b.slide = a.slide AND b.gy = a.gy + dy AND b.gx = a.gx + dx),
+ reach AS (SELECT slide, gy AS y0, gx AS x0, gy, gx FROM m UNION SELECT reach.slide, y0, x0, by_, bx FROM reach JOIN near ON near.slide = reach.slide AND ay = gy AND ax = gx),
+ o AS (SELECT slide, gy, gx, min(y0 * 1000000 + x0) AS root FROM reach GROUP BY 1, 2, 3),
+ c AS (SELECT slide, root, count(*) AS area, min(gy)::INTEGER AS top, min(gx)::INTEGER AS "left", (max(gy) + 1)::INTEGER AS low, (max(gx) + 1)::INTEGER AS "right" FROM o GROUP BY 1, 2)
+ SELECT slide, area, top, "left", low, "right" FROM c QUALIFY row_number() OVER (PARTITION BY slide ORDER BY area DESC, top, "left", low, "right") = 1""",
+    "q_sliding": f"WITH {PX} SELECT slide, (tile // 20 * 8 + y)::INTEGER AS y, (tile % 20 * 8 + xx)::INTEGER AS x, 255 AS v FROM px WHERE R + G + B > 382.5",
+    "q_scene_planes": f"""WITH {PX}, b AS (SELECT slide, tile, (y * 8 + xx) * 3 + k AS i, [R, G, B][k + 1] AS v FROM px, range(3) t(k)),
+ s AS (SELECT slide, tile, v, slide % 3 AS m, CASE slide % 3 WHEN 0 THEN i % 3 * 8 + i // 24 WHEN 1 THEN i // 8 % 8 ELSE i // 64 * 4 + i // 4 % 4 END AS r, CASE slide % 3 WHEN 0 THEN i // 3 % 8 WHEN 1 THEN i % 8 ELSE i % 4 END AS c FROM b)
+ SELECT slide, tile, r::INTEGER AS r, c::INTEGER AS c, max(v) AS pixels, CASE m WHEN 1 THEN 'YX' ELSE 'CYX' END AS axes FROM s GROUP BY slide, tile, r, c, m""",
     "q_masking_applied": f"WITH {PX} SELECT slide, count(*) FILTER (mask < 255 AND R > 0) AS n_changed, count(*) FILTER (mask < 255 AND R > 0) > 0 AS applied FROM px GROUP BY 1",
     "q_erode_slide_tiles": f"WITH {WHOLE} SELECT slide, tile, y AS r, xx AS c, CASE WHEN n = 5 THEN mask ELSE 0 END AS mask FROM er",
     "q_eroded_count": f"WITH {WHOLE} SELECT slide, count(*) FILTER (mask > 0 AND n < 5) AS n_eroded FROM er GROUP BY 1",

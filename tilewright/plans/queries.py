@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import naming
-from ..operators import canvas, infer, mask, maskwindows, metrics, mosaic, render, runlog, tileops, tiling
+from ..operators import canvas, infer, mask, maskwindows, metrics, mosaic, reduction, regions, render, runlog, scenes, sliding, tileops, tiling
 from ..operators import density as dn
 from ..sources import discovery, metadata, slidefiles, tiff, windows
 from ..sources.config import Settings
@@ -421,6 +421,46 @@ def q_window_tiles(spark, d):
     return got.select(slide.alias("slide"), "tile_id", "row_up", "col_up", "h", "w", v.byte_sum(F.col("pixels")).alias("total"))
 
 
+def _slide_blocks(spark, d, column, channels=1):
+    """Whole slides of placed() tiles in blocks of 32, from the bytes in `column`; and their sizes."""
+    p = v.placed(spark, d)
+    t = p.select("slide", "tile", "gr", "gc", "h", "w").join(v.tiles(spark, d).select("slide", "tile", F.col(column).alias("pixels")), ["slide", "tile"])
+    parts = t.select("slide", F.col("tile").alias("seq"), (F.col("gr") * 8).alias("y0"), (F.col("gc") * 8).alias("x0"), "h", "w", "pixels")
+    return canvas.paste(parts, 32, "last", channels=channels), _slide_rows(spark, d).select("slide", (F.col("n") * 8).alias("h"), F.lit(160).alias("w"))
+
+
+@query
+def q_reduce_slides(spark, d):
+    """Whole slides at half size by the filter that reaches across all borders."""
+    blocks, sizes = _slide_blocks(spark, d, "mask")
+    return v.canvas_pixels(reduction.reduce_slides(blocks, 32, sizes, 1, 0.5, 16), 16)
+
+
+@query
+def q_regions(spark, d):
+    """The largest region of marked pixels of each slide, and its box."""
+    return regions.largest_region(regions.regions(_slide_blocks(spark, d, "pred")[0], 32))
+
+
+@query
+def q_sliding(spark, d):
+    """Pixels that overlapping windows over whole slides mark."""
+    blocks, sizes = _slide_blocks(spark, d, "rgb", 3)
+    got = sliding.infer_sliding(blocks, 32, sizes, lambda: infer.bright, 40)
+    return v.canvas_pixels(got.select("slide", "by", "bx", F.col("pred").alias("pixels")), 32)
+
+
+@query
+def q_scene_planes(spark, d):
+    """The bytes of each tile as a scene whose axes depend on the slide."""
+    k = (F.col("slide") % 3).cast("int")
+    of = lambda *x: F.element_at(F.array(*x), k + 1)
+    shapes = [F.array(*map(F.lit, s)) for s in ((8, 8, 3), (3, 8, 8), (3, 4, 4, 4))]
+    t = v.tiles(spark, d).select("slide", F.col("tile").alias("scene"), of(*map(F.lit, ("YX0", "ZYX", "CZYX"))).alias("axes"), of(*shapes).alias("shape"), F.col("rgb").alias("pixels"))
+    got = scenes.normalise_scenes(t).select("slide", F.col("scene").alias("tile"), F.col("axes"), (F.col("c") * F.col("h")).alias("h"), "w", "pixels")
+    return v.pixels_of(got, "pixels").join(got.select("slide", "tile", "axes"), ["slide", "tile"])
+
+
 @query
 def q_masking_applied(spark, d):
     return mask.masking_applied(v.pixels(spark, d))

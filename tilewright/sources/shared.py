@@ -1,10 +1,11 @@
-"""The folder that driver and executors share."""
+"""The folder that driver and executors share, and tables in it."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,3 +25,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(named)
     return named
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: computed once, and its lineage cut."""
+    folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
