@@ -9,7 +9,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tilewright.llm import common, components, lines, merkle, mixing, quality, simhash, topk
+from tilewright.llm import common, lines, merkle, mixing, quality, simhash, topk
+from tilewright.operators import graph
 
 rng = random.Random(9)
 VOCAB = [f"w{i}" for i in range(80)]
@@ -99,9 +100,9 @@ def test_fingerprints_written_out():
 
 @pytest.mark.parametrize("local", [0, 1 << 20])
 def test_components_of_a_star_and_a_path(spark, monkeypatch, local):
-    monkeypatch.setattr(components, "LOCAL", local)
+    monkeypatch.setattr(graph, "LOCAL", local)
     edges = [(0, i) for i in range(1, 300)] + [(1000 + i, 1001 + i) for i in range(90)] + [(5, 5), (None, 3)]
-    got = dict(map(tuple, components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()))
+    got = dict(map(tuple, graph.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert got == {i: 0 for i in range(300)} | {1000 + i: 1000 for i in range(91)}
 
 

@@ -11,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tilewright.llm import bpe, components, lines, lmscore, merkle, mixing, quality, simhash, tokencount, topk, urlrules
+from tilewright.llm import bpe, lines, lmscore, merkle, mixing, quality, simhash, tokencount, topk, urlrules
 from tilewright.llm.common import shared_dir
+from tilewright.operators import graph
 
 DOCS = "doc_id long, text string, source string, lang string, _h int, rank int, key string"
 
@@ -93,9 +94,9 @@ def test_masks_cover():
 
 @pytest.mark.parametrize("local", [0, 1 << 20])
 def test_components(spark, monkeypatch, local):
-    monkeypatch.setattr(components, "LOCAL", local)
+    monkeypatch.setattr(graph, "LOCAL", local)
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7), (None, 3)]
-    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(chain, "u long, v long")).collect()}
+    got = {r.node: r.root for r in graph.connected_components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in (100, 101, 102)}}
     r = random.Random(2)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)]
@@ -103,9 +104,9 @@ def test_components(spark, monkeypatch, local):
     for _ in range(300):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
-    got = {x.node: x.root for x in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    got = {x.node: x.root for x in graph.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: root[i] for a, b in edges if a != b for i in (a, b)}
-    assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+    assert graph.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
 def test_top_k(spark):

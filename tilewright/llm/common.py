@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import shared_dir as shared_dir
+from ..sources.shared import written as written
 
 #: The words of every operator here: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,13 +26,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, and its lineage cut."""
-    folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def filter_of(hs: DataFrame) -> tuple[np.ndarray, int]:
     """63 bits to a word, one for each h & mask of hs (h); and the mask. No h is missed, and few others pass."""
     n = hs.count()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import small_batches, table, written
-from .components import connected_components
+from ..operators.graph import connected_components
 
 #: Rows, drawn by hash, that rotations are fitted on, and numbers they hold at most.
 SAMPLE, SAMPLE_NUMBERS = 8192, 1 << 21

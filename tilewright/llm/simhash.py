@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches, strings_of, table
-from .components import connected_components
+from ..operators.graph import connected_components
 
 RADIUS = 3
 #: Runs of more fingerprints than this are split by masks again before they are compared.
