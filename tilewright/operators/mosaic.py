@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,3 +34,17 @@ def positions(scenes: DataFrame) -> DataFrame:
     """(slide, scene, pos_x, pos_y, scale_x[, scale_y]) in metres -> x0, y0 in pixels, cut towards zero; scale_y is scale_x if null."""
     sy = F.coalesce("scale_y", "scale_x") if "scale_y" in scenes.columns else F.col("scale_x")
     return scenes.withColumn("x0", (F.col("pos_x") / F.col("scale_x")).cast("int")).withColumn("y0", (F.col("pos_y") / sy).cast("int"))
+
+
+def with_positions(scenes: DataFrame, places: DataFrame) -> DataFrame:
+    """scenes (slide, ...) with the positions (slide, pos_x, pos_y, scale_x[, scale_y]) that have the same place in their slide.
+
+    Both are counted from 0 in the order of their own `ordinal` columns, which may have
+    gaps; x0 and y0 count from the leftmost and topmost position of the slide. A scene
+    without a position stays, with nulls.
+    """
+    nth = F.row_number().over(Window.partitionBy("slide").orderBy("ordinal")) - 1
+    at = positions(places.withColumn("_nth", nth))
+    least = at.groupBy("slide").agg(F.min("x0").alias("_x"), F.min("y0").alias("_y"))
+    at = at.join(least, "slide").select("slide", "_nth", (F.col("x0") - F.col("_x")).alias("x0"), (F.col("y0") - F.col("_y")).alias("y0"))
+    return scenes.withColumn("_nth", nth).join(at, ["slide", "_nth"], "left").drop("_nth")

@@ -104,6 +104,16 @@ def each_tile(tiles: DataFrame, column: str, into: str, kernel: Callable[[object
     return tiles.mapInPandas(run, schema)
 
 
+def first_channel(tiles: DataFrame, column: str = "mask") -> DataFrame:
+    """tiles (h, w, `column` binary) of any number of channels with the first of them alone."""
+
+    def kernel(t) -> bytes:
+        n, size = len(getattr(t, column)), int(t.h) * int(t.w)
+        return getattr(t, column)[:: n // size] if size and n % size == 0 and n > size else getattr(t, column)
+
+    return each_tile(tiles, column, column, kernel)
+
+
 def sample_mask(tiles: DataFrame) -> DataFrame:
     """(h, w, mask binary, mask_h, mask_w) -> mask at the tile's size, by nearest sampling.
 

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import canvas, density, distance, infer, mask, maskwindows, render, runlog
+from ..operators import canvas, density, distance, infer, mask, maskwindows, render, runlog, tileops
 from ..sources.config import Settings
 from ..sources.slidefiles import write_slides
 
@@ -38,6 +38,8 @@ def masking(state: State, settings: Settings) -> State:
         if settings.erosion_pixels > 0:
             small = distance.erode(small, block, mask.erosion_radius(settings.erosion_pixels, settings.mask_scale))
         tiles = tiles.drop("mask").join(maskwindows.tile_masks(tiles, small, state["mask_sizes"], block), ["slide", "tile"], "left")
+    if "masks" not in state:
+        tiles = tileops.first_channel(tiles)
     fine = F.col("mask").isNotNull() & (F.octet_length("mask") == F.col("h") * F.col("w"))
     tiles = tiles.withColumn("mask", F.when(fine, F.col("mask")))
     if "masks" not in state and settings.erosion_pixels > 0:
