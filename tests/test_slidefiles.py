@@ -52,6 +52,13 @@ def test_slides_of_several_blocks(spark, tmp_path, compress):
         assert len(got) == -(-x.shape[0] // 20) * -(-x.shape[1] // 20)
     assert {r.pages for r in tiff.inspect_tiffs(spark, str(folder)).collect()} == {1, 2}
     assert {r.h for r in tiff.read_tiffs(spark, str(folder)).collect()} == {75, 40}
+    (folder / "broken.tif").write_bytes(b"no image")
+    pages = sorted((r.path.rsplit("/", 1)[1], r.page, r.series, r.width, r.height, r.channels, r.dtype, r.compression, r.tiled, r.reduced, r.error is None) for r in tiff.inspect_pages(spark, str(folder)).collect())
+    kind = 8 if compress else 1
+    assert pages == [
+        ("a#1.tif", 0, 0, 50, 75, 3, "uint8", kind, True, False, True), ("a#1.tif", 1, None, 25, 38, 3, "uint8", kind, True, True, True),
+        ("broken.tif", *[None] * 9, False), ("c d.tif", 0, 0, 40, 40, 1, "uint8", kind, True, False, True),
+    ]
 
 
 def test_failed_write_leaves_nothing(spark, tmp_path):

@@ -18,7 +18,7 @@ from .paths import filesystem
 
 #: Tags of the TIFF 6.0 specification.
 TAGS = {
-    256: "width", 257: "height", 258: "bits", 259: "compression", 262: "photometric", 273: "offsets", 277: "channels", 278: "rows", 279: "counts", 284: "planar", 317: "predictor",
+    254: "subfile", 256: "width", 257: "height", 258: "bits", 259: "compression", 262: "photometric", 273: "offsets", 277: "channels", 278: "rows", 279: "counts", 284: "planar", 317: "predictor",
     322: "tile_w", 323: "tile_h", 324: "tile_offsets", 325: "tile_counts", 339: "format",
 }
 #: struct letters by field type: byte, ascii, short, long and, in BigTIFF, long8.
@@ -141,6 +141,37 @@ def inspect_tiffs(spark: SparkSession, folder: str, max_pages: int | None = None
     return _files(spark, folder).select("path").mapInPandas(run, schema)
 
 
+def inspect_pages(spark: SparkSession, folder: str, max_pages: int = 4) -> DataFrame:
+    """A row for each of the first max_pages pages of each TIFF file below folder: its place, size, samples, compression and layout, or the file's error.
+
+    A page is `reduced` where it is marked as a smaller form of another; pages of one size
+    and sample type that aren't are one series, numbered in order of their first pages.
+    """
+    names = ["path", "page", "series", "width", "height", "channels", "dtype", "compression", "tiled", "reduced", "error"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for path in frame.path:
+                try:
+                    with opened(path) as read:
+                        pages = pages_of(read, max_pages)[1]
+                    series: dict[tuple, int] = {}
+                    for k, p in enumerate(pages):
+                        one = {n: v[0] for n, v in p.items() if v}
+                        reduced = bool(one.get("subfile", 0) & 1)
+                        kind = f"{DTYPES.get(one.get('format', 1), 'void')}{one.get('bits', 1)}"
+                        key = (one.get("width"), one.get("height"), one.get("channels", 1), kind)
+                        no = None if reduced else series.setdefault(key, len(series))
+                        rows.append((path, k, no, *key, one.get("compression", 1), "tile_offsets" in p, reduced, None))
+                except (ValueError, struct.error, OSError) as e:
+                    rows.append((path, *[None] * 9, str(e)[:200]))
+            yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    schema = "path string, page int, series int, width long, height long, channels int, dtype string, compression int, tiled boolean, reduced boolean, error string"
+    return _files(spark, folder).select("path").mapInPandas(run, schema)
+
+
 def read_tiffs(spark: SparkSession, folder: str) -> DataFrame:
     """(path, h, w, channels, pixels, error) of the first page of each small 8-bit TIFF file below folder."""
 
