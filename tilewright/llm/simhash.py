@@ -10,8 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, strings_of, table
 from ..operators.graph import connected_components
+from .common import small_batches, strings_of, table, written
 
 RADIUS = 3
 #: Runs of more fingerprints than this are split by masks again before they are compared.
@@ -172,8 +172,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = 3) -> Da
     length are read whole, an empty table gives an empty one, and other columns of docs,
     whatever their names, take no part.
     """
-    got = cut(fingerprints(docs, width).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    unique = cut(got.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    got = written(fingerprints(docs, width).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    unique = written(got.groupBy("fp").agg(F.min("doc_id").alias("least")))
     root = connected_components(links(unique.select("fp"), radius))
     placed = unique.join(root, unique.fp == root.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     lowest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
