@@ -224,7 +224,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
     chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
     # rows of one id are averaged where they are, so that the driver gets one for each label
-    each = chosen.select("_id", "y", pool("text").alias("x")).select("_id", "y", F.posexplode("x").alias("place", "v"))
+    # of an outer explode no filter follows that would pool all of docs before they meet the labels
+    each = chosen.select("_id", "y", pool("text").alias("x")).select("_id", "y", F.posexplode_outer("x").alias("place", "v"))
     each = each.groupBy("_id", "y", "place").agg(F.avg(F.col("v").cast("double")).cast("float").alias("v"))
     rows = each.groupBy("_id", "y").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda p: p["v"]).alias("x"))
     rows = rows.toPandas().sort_values("_id", kind="stable")
