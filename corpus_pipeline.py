@@ -37,9 +37,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first row by id (null last) of each group of near duplicates: five-word shingles, similarity 0.8 or more.
 
-    At that similarity SimHash fingerprints differ in up to 11 of 64 bits, for which
-    covering masks would number 4095, so sets meet by MinHash bands here and are compared
-    exactly; op2_simhash keeps the fingerprints. Texts without words are one group.
+    Covering SimHash links what differs in 11 of 64 bits or fewer; similar sets whose
+    fingerprints lie further apart meet by MinHash bands, and all pairs are compared
+    exactly. Texts without words are one group.
     """
     return neardups.drop_near_duplicates(docs)
 

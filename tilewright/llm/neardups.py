@@ -1,4 +1,4 @@
-"""Near duplicates by the Jaccard similarity of word shingles: MinHash bands, then an exact check."""
+"""Near duplicates by the Jaccard similarity of word shingles: covering SimHash, MinHash bands for what lies beyond its radius, an exact check of both."""
 
 from __future__ import annotations
 
@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from .common import filter_of, small_batches, strings_of, written
+from .simhash import majority, wide_links
 
 #: Words of a shingle, and the similarity from which texts are near duplicates.
 WIDTH, SIMILARITY = 5, 0.8
+#: Bits of 64 in which fingerprints may differ, and ranges that the bits are cut into: 126 keys a fingerprint.
+RADIUS, CUTS = 11, 2
 #: Hashes of a band and bands: two sets at similarity 0.8 share a band but for 7 cases in a million.
 BAND, BANDS = 5, 30
 #: Hashes of 150 that must agree before sets are compared; at similarity 0.8 the mean is 120, five standard deviations more.
@@ -46,15 +49,16 @@ def min_hashes(found: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, dkey, sid, size, marks, bands), one row per row of docs; sid stands for the set of shingles."""
+    """(doc_id, dkey, sid, fp, size, marks, bands), one row per row of docs; sid stands for the set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sid, size, marks, bands = [], [], [], []
+            sid, fp, size, marks, bands = [], [], [], [], []
             for text in strings_of(batch.column(2)):
                 found = shingles(text)
                 least = min_hashes(found)
                 sid.append(xxhash.xxh64_intdigest(found.tobytes(), 1))
+                fp.append(majority(found))
                 size.append(len(found))
                 marks.append((least * _MIX >> np.uint64(56)).astype(np.uint8).tobytes())
                 raw = least.tobytes()
@@ -62,11 +66,11 @@ def _signed(docs: DataFrame) -> DataFrame:
             flat = pa.array(np.array(bands, np.uint64).view(np.int64))
             offsets = pa.array(np.arange(0, len(bands) + 1, BANDS, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.array(sid, np.uint64).view(np.int64)), pa.array(size, pa.int32()), pa.array(marks, pa.binary()), pa.ListArray.from_arrays(offsets, flat)],
-                ["doc_id", "dkey", "sid", "size", "marks", "bands"],
+                [batch.column(0), batch.column(1), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sid, fp)), pa.array(size, pa.int32()), pa.array(marks, pa.binary()), pa.ListArray.from_arrays(offsets, flat)],
+                ["doc_id", "dkey", "sid", "fp", "size", "marks", "bands"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, dkey long, sid long, size int, marks binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, dkey long, sid long, fp long, size int, marks binary, bands array<long>")
 
 
 def _pairs_of(sid: np.ndarray, size: np.ndarray, marks: np.ndarray, label: np.ndarray, spanning: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -125,6 +129,16 @@ def _likely(members: DataFrame, spanning: bool) -> DataFrame:
     return members.repartition(parts, "key").sortWithinPartitions("key", "sid").mapInArrow(run, "a long, b long").distinct()
 
 
+def _covered(unique: DataFrame) -> DataFrame:
+    """(sid, fp) -> pairs (a, b), a < b, of sets that join what fingerprints within RADIUS bits link."""
+    first = written(unique.groupBy("fp").agg(F.min("sid").alias("low")))
+    near = wide_links(first.select("fp"), RADIUS, CUTS)
+    u, v = (first.select(F.col("fp").alias(n), F.col("low").alias(s)) for n, s in (("u", "x"), ("v", "y")))
+    near = near.join(u, "u").join(v, "v").select("x", "y")
+    equal = unique.select("sid", "fp").join(first, "fp").filter("sid <> low").select(F.col("low").alias("x"), F.col("sid").alias("y"))
+    return near.unionByName(equal).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def _similar(pairs: DataFrame, keyed: DataFrame, unique: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets have SIMILARITY, by the sets themselves."""
     ends = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
@@ -157,6 +171,10 @@ def _similar(pairs: DataFrame, keyed: DataFrame, unique: DataFrame) -> DataFrame
     return pairs.join(x, "a").join(y, "b").filter(close("x", "y")).select("a", "b")
 
 
+def _joined(links: DataFrame) -> DataFrame:
+    return written(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of near duplicates: the first by doc_id (null last), then by a hash of id and text.
 
@@ -167,10 +185,13 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     whole; an empty table gives an empty one. All columns of docs are kept, whatever their
     names; of rows equal in id and text any one's other columns stay.
 
-    Sets meet in buckets by bands of their minimal hashes. A bucket first passes on as few
-    likely pairs as join its members, which are compared by their sets. Then it passes on
-    every likely pair that the pairs found similar haven't joined, so a pair that failed
-    leaves no gap, and groups of near copies never turn into all their pairs.
+    Covering SimHash goes first: sets whose fingerprints differ in RADIUS bits or fewer all
+    meet, and as few pairs as join them are compared by their sets. Some similar sets have
+    fingerprints further apart, so sets that aren't joined yet meet in buckets by bands of
+    their minimal hashes too. A bucket first passes on as few likely pairs as join its
+    members, which are compared likewise. Then it passes on every likely pair that the
+    pairs found similar haven't joined, so a pair that failed leaves no gap, and groups of
+    near copies never turn into all their pairs.
     """
     small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -179,17 +200,18 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     signed = written(_signed(keyed.repartition(parts)))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "dkey")
-    unique = written(signed.groupBy("sid").agg(F.min(order).alias("least"), F.first("size").alias("size"), F.first("marks").alias("marks"), F.first("bands").alias("bands")))
+    unique = written(signed.groupBy("sid").agg(F.min(order).alias("least"), F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("marks").alias("marks"), F.first("bands").alias("bands")))
     rows = unique.select("sid", F.explode("bands").alias("key"))
     several = rows.groupBy("key").agg(F.min("sid").alias("_low"), F.max("sid").alias("_high")).filter("_low <> _high").select("key")
     members = written(rows.join(several, "key").join(unique.select("sid", "size", "marks"), "sid"))
-    links = written(_similar(written(_likely(members.withColumn("root", F.col("sid")), True)), keyed, unique))
-    root = written(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    placed = members.join(root, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
-    more = written(_likely(placed, False))
-    if more.take(1):
-        links = links.unionByName(_similar(more, keyed, unique))
-        root = written(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    links = written(_similar(written(_covered(unique)), keyed, unique))
+    root = _joined(links)
+    for spanning in (True, False):
+        placed = members.join(root, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
+        more = written(_likely(placed, spanning))
+        if more.take(1):
+            links = written(links.unionByName(_similar(more, keyed, unique)))
+            root = _joined(links)
     group = unique.join(root, F.col("sid") == F.col("node"), "left").select("least", F.coalesce("root", "sid").alias("root"))
     kept = group.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.dkey").alias("_kept"))
     rows = docs.select(F.struct("*").alias("row"), dkey.alias("key")).join(kept, F.col("key") == F.col("_kept"), "left_semi")

@@ -25,13 +25,24 @@ def covering_masks(bits: list[int], radius: int) -> np.ndarray:
 
     Bit j gets a vector m(j) of radius + 1 binary digits; for each nonzero vector v, the
     mask holds the bits with odd <m(j), v>. Fewer vectors than digits are always
-    orthogonal to some v, so that mask holds none of the bits that differ.
+    orthogonal to some v, so that mask holds none of the bits that differ. Few bits get
+    odd vectors alone, so that no mask is left with hardly any bit.
     """
     every = np.arange(1, 2 ** (radius + 1))
-    place = {b: int(every[i % len(every)]) for i, b in enumerate(bits)}
+    vectors = every[::2] if len(bits) <= 2**radius else every
+    place = {b: int(vectors[i % len(vectors)]) for i, b in enumerate(bits)}
     return np.array([sum(1 << b for b in bits if (place[b] & int(v)).bit_count() % 2) for v in every], np.uint64)
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have; 0 for none."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65536):
+        part = hashes[at : at + 65536].astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: str | None, width: int = 3) -> int:
     """SimHash of a text's word shingles: a bit is set if over half of the shingle hashes have it."""
     words = (text or "").encode().lower().split()
@@ -44,12 +55,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     end = np.cumsum(size + 1) - 1
     spans = zip((end - size)[: len(words) - width + 1].tolist(), end[width - 1 :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], 42) for a, b in spans], "<u8")
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 65536):
-        part = hashes[at : at + 65536].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return majority(np.array([digest(joined[a:b], 42) for a, b in spans], "<u8"))
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -162,6 +168,74 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return keyed.repartition(parts, "t", "key").sortWithinPartitions("t", "key").mapInArrow(solve, "u long, v long")
 
 
+def near_rows(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one key (rows sorted by key) within `radius` bits, as few as join what all of these join.
+
+    Each row is compared with the next, the second next and so on, all keys at once; rows
+    of keys that are joined whole drop out, so groups of near copies end early.
+    """
+    n = len(key)
+    root, at, left, right = np.arange(n), np.arange(n - 1), [], []
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    bucket = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, n]))
+    step = 0
+    while len(at):
+        step += 1
+        at = at[: np.searchsorted(at, n - step)]
+        at = at[bucket[at + step] == bucket[at]]
+        if step & (step - 1) == 0 and len(at):
+            whole = np.minimum.reduceat(root, starts) == np.maximum.reduceat(root, starts)
+            at = at[~whole[bucket[at]]]
+        i = at[np.bitwise_count(fp[at] ^ fp[at + step]) <= radius]
+        i = i[root[i] != root[i + step]]
+        if len(i):
+            x, y = root[i], root[i + step]
+            i = i[np.unique(np.minimum(x, y) * n + np.maximum(x, y), return_index=True)[1]]
+            left.append(i)
+            right.append(i + step)
+            while (root[i] != root[i + step]).any():
+                x, y = root[i], root[i + step]
+                np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+                while (root[root] != root).any():
+                    root = root[root]
+    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return join(left), join(right)
+
+
+def wide_links(fps: DataFrame, radius: int, cuts: int) -> DataFrame:
+    """links() for radii whose masks over all bits would be too many: distinct (fp) -> distinct (u, v).
+
+    The bits are cut into `cuts` ranges. Fingerprints within `radius` bits differ in
+    radius // cuts at most in one of them, so they agree under one of its covering masks:
+    cuts * (2 ** (radius // cuts + 1) - 1) keys a fingerprint in place of 2 ** (radius + 1) - 1.
+    """
+    width = 64 // cuts
+    masks = np.concatenate([covering_masks(list(range(a, a + width)), radius // cuts) for a in range(0, width * cuts, width)]).view(np.int64).tolist()
+    keyed = fps.select("fp", F.explode(F.array(*map(F.lit, masks))).alias("m")).select(F.xxhash64("m", F.col("fp").bitwiseAND(F.col("m"))).alias("key"), "fp")
+
+    def linked(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        i, j = near_rows(key, fp.view(np.uint64), radius)
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(fp[i], fp[j])), pa.array(np.minimum(fp[i], fp[j]))], ["u", "v"])
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, fp = batch.column("key").to_numpy(), batch.column("fp").to_numpy()
+            last = int(np.searchsorted(key, key[-1], "left"))
+            if last or (held and held[-1][0][-1] != key[0]):
+                held.append((key[:last], fp[:last]))
+                yield linked(*map(np.concatenate, zip(*held, strict=True)))
+                held = []
+            held.append((key[last:], fp[last:]))
+        if held:
+            yield linked(*map(np.concatenate, zip(*held, strict=True)))
+
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(solve, "u long, v long").distinct()
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = 3) -> DataFrame:
     """(doc_id, text) -> (doc_id, fingerprint, component_id), one row per row of docs.
 
