@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import excluded
 
-#: A path's parts: folder, the folder's own name, file name.
-FOLDER, PARENT, NAME = r"^(.*)/[^/]*$", r"([^/]*)/[^/]*$", r"([^/]*)$"
+#: A path's parts: folder, the folder's own name, file name. All are empty for a path without a folder but the name.
+FOLDER, PARENT, NAME = "folder", "parent", "name"
 
 
-def _part(pattern: str, path: str = "path") -> Column:
-    return F.regexp_extract(path, pattern, 1)
+def _part(part: str, path: str = "path") -> Column:
+    """By places of slashes, so the work is linear in the path's length."""
+    name = F.substring_index(path, "/", -1)
+    if part == NAME:
+        return name
+    inside = F.contains(path, F.lit("/"))
+    folder = F.when(inside, F.left(path, F.length(path) - F.length(name) - 1)).otherwise("")
+    return folder if part == FOLDER else F.substring_index(folder, "/", -1)
 
 
 def full_res(files: DataFrame) -> DataFrame:
@@ -28,18 +34,18 @@ def iron_images(files: DataFrame) -> DataFrame:
 def masks(files: DataFrame) -> DataFrame:
     """(slide_dir, mask): the last mask by name under mask/final_mask of each slide's folder, without those of brain or white matter."""
     found = files.filter(_part(FOLDER).endswith("/mask/final_mask") & _part(NAME).rlike(r"mask\.tiff?$") & ~excluded(_part(NAME)))
-    return found.groupBy(F.regexp_replace(_part(FOLDER), "/mask/final_mask$", "").alias("slide_dir")).agg(F.max("path").alias("mask"))
+    return found.groupBy(F.left(_part(FOLDER), F.length(_part(FOLDER)) - len("/mask/final_mask")).alias("slide_dir")).agg(F.max("path").alias("mask"))
 
 
 def with_masks(images: DataFrame, files: DataFrame) -> DataFrame:
     """images (path) with the mask of the folder two levels up; images without a mask go."""
-    own = images.withColumn("slide_dir", F.regexp_extract("path", r"^(.*)/[^/]*/[^/]*/[^/]*$", 1))
+    own = images.withColumn("slide_dir", F.left("path", F.length("path") - F.length(F.substring_index("path", "/", -3)) - 1))
     return own.join(masks(files), "slide_dir")
 
 
 def res_dirs(files: DataFrame) -> DataFrame:
     """(slide_dir, res_dir, small): of each slide's folder the first folder RES*, and the last reduced .tif or .tiff in it."""
-    found = files.filter(_part(PARENT).startswith("RES")).withColumn("res_dir", _part(FOLDER)).withColumn("slide_dir", F.regexp_extract("res_dir", FOLDER, 1))
+    found = files.filter(_part(PARENT).startswith("RES")).withColumn("res_dir", _part(FOLDER)).withColumn("slide_dir", _part(FOLDER, "res_dir"))
     first = found.withColumn("_first", F.min("res_dir").over(Window.partitionBy("slide_dir"))).filter(F.col("res_dir") == F.col("_first"))
     reduced = F.contains(_part(NAME), F.lit("res10")) & _part(NAME).rlike(r"\.tiff?$")
     return first.groupBy("slide_dir", "res_dir").agg(F.max(F.when(reduced, F.col("path"))).alias("small"))
