@@ -21,3 +21,9 @@ def test_paths_by_slashes(spark):
     f = spark.createDataFrame([(f"{d}/{e}",) for d in folders for e in ends] + [("RES",), ("/RES",), ("a.tiff",), (None,)], "path string")
     got = {(r.path, r.mask) for r in discovery.with_masks(discovery.full_res(f), f).collect()}
     assert got == {(f"{d}/{ends[0]}", f"{d}/{ends[2]}") for d in folders}
+
+
+def test_slides_are_spread(spark):
+    s = views.slides(spark, SF)
+    assert s.rdd.getNumPartitions() == parts(spark)
+    assert s.select("slide_id").distinct().count() == spark.read.parquet(f"{SF}/part.parquet").count()

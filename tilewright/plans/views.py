@@ -56,7 +56,7 @@ def tissue_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _byte(column: Column, i: Column) -> Column:
-    return F.conv(F.substring(F.hex(column), i * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    return F.conv(F.hex(F.substring(column, i + 1, F.lit(1))), 16, 10).cast("int")
 
 
 def pixels_of(tiles_: DataFrame, column: str) -> DataFrame:
@@ -140,10 +140,12 @@ def slides(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = F.element_at(F.array(*map(F.lit, ("MFG", "PUT", "BS"))), (key % 3 + 1).cast("int"))
     stain = F.element_at(F.array(*map(F.lit, ("CP13", "Iron", "Amyloid"))), F.expr("cast(p_partkey div 3 % 3 + 1 as int)"))
     first, second = (F.when(key % 5 == 0, a).otherwise(b) for a, b in ((stain, region), (region, stain)))
-    return table(spark, sf_dir, "part").select(
+    rows = table(spark, sf_dir, "part").select(
         key.alias("slide_id"), (F.lit(3000) + key * 37 % 20000).cast("int").alias("h"), (F.lit(2000) + key * 91 % 30000).cast("int").alias("w"),
         F.concat(key.cast("string"), F.lit("_22_#"), F.col("p_size").cast("string"), F.lit("_"), first, F.lit("_"), second).alias("name"), "p_size", "p_retailprice",
     )
+    # a small file is one split, but each slide becomes many tiles and files
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slide_id")
 
 
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
