@@ -27,3 +27,10 @@ def test_slides_are_spread(spark):
     s = views.slides(spark, SF)
     assert s.rdd.getNumPartitions() == parts(spark)
     assert s.select("slide_id").distinct().count() == spark.read.parquet(f"{SF}/part.parquet").count()
+
+
+def test_small_windows_share_a_task(spark, tmp_path):
+    (tmp_path / "a.tif").write_bytes(tiff.encode(bytes(range(256)) * 256, 256, 256, 1))
+    assert len(windows.WindowReader({"path": str(tmp_path), "tile_px": "8"}).partitions()) == 1
+    got = windows.read_windows(spark, str(tmp_path), 8)
+    assert got.count() == 1024 and got.filter("error is not null").count() == 0

@@ -20,6 +20,8 @@ FORMAT = "tiff_windows"
 SCHEMA = (
     "path string, tile_id int, gr int, gc int, row_up long, col_up long, row_low long, col_low long, full_h long, full_w long, h int, w int, channels int, dtype string, pixels binary, error string"
 )
+#: Windows of a task: these many bytes of pixels, or FEWEST windows if they are large.
+TASK_BYTES, FEWEST = 1 << 20, 8
 Box = tuple[int, int, int, int, int, int, int]
 
 
@@ -50,7 +52,7 @@ def boxes_of(height: int, width: int, tile_px: int) -> list[Box]:
 class WindowReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
-        self.tile_px, self.page, self.each = (int(options.get(k, d)) for k, d in (("tile_px", 2890), ("page", 0), ("windows_per_task", 8)))
+        self.tile_px, self.page, self.each = (int(options.get(k, d)) for k, d in (("tile_px", 2890), ("page", 0), ("windows_per_task", 0)))
         wanted = options.get("tile_ids")
         self.wanted = {int(x) for x in wanted.split(",")} if wanted else None
 
@@ -73,7 +75,9 @@ class WindowReader(DataSourceReader):
         except (ValueError, KeyError, IndexError, struct.error, OSError) as e:
             return [Windows(path, [], None, f"{type(e).__name__}: {e}"[:200])]
         boxes = [b for b in boxes_of(layout.height, layout.width, self.tile_px) if self.wanted is None or b[0] in self.wanted]
-        parts = [boxes[i : i + self.each] for i in range(0, len(boxes), self.each)]
+        size = max(1, max(((b[5] - b[3]) * (b[6] - b[4]) for b in boxes), default=1) * layout.channels * layout.dtype.itemsize)
+        each = self.each or max(FEWEST, TASK_BYTES // size)
+        parts = [boxes[i : i + each] for i in range(0, len(boxes), each)]
         return [Windows(path, p, layout.kept(min(b[3] for b in p), max(b[5] for b in p))) for p in parts]
 
     def partitions(self) -> list[Windows]:
