@@ -34,3 +34,11 @@ def test_small_windows_share_a_task(spark, tmp_path):
     assert len(windows.WindowReader({"path": str(tmp_path), "tile_px": "8"}).partitions()) == 1
     got = windows.read_windows(spark, str(tmp_path), 8)
     assert got.count() == 1024 and got.filter("error is not null").count() == 0
+
+
+def test_tiling_is_parsed_once_a_row(spark):
+    s = spark.createDataFrame([(1, 10, 20, 2, 3, " /a&b/ ", 'x<1> "q".tif'), (2, 1, 1, 1, 1, "", "é")], "slide_id int, h int, w int, grid_rows int, grid_cols int, home string, file string")
+    got = metadata.parse_tiling(metadata.tiling_xml(s))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "xpath" not in plan
+    assert sorted(map(tuple, got.select(*s.columns).collect())) == sorted(map(tuple, s.collect()))

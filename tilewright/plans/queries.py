@@ -558,8 +558,9 @@ def q_tiling_xml(spark, d):
 @query
 def q_adjacency_xml(spark, d):
     xml = metadata.adjacency_xml(tiling.adjacency(_grid(spark, d)))
-    n = lambda path: F.size(F.xpath("xml", F.lit(path)))
-    return xml.select("slide_id", n("/Tiles/Tile/@id").alias("n_tiles"), n("/Tiles/Tile/Neighbor/@tile").alias("n_neighbours"), F.xpath_int("xml", F.lit("sum(/Tiles/Tile/Neighbor[@side='south']/@tile)")).alias("south_sum"))
+    t = metadata.parse_adjacency(xml).withColumn("near", F.flatten("tiles.neighbours"))
+    south = F.aggregate(F.filter("near", lambda n: n["side"] == "south"), F.lit(0), lambda a, n: a + n["tile"])
+    return t.select("slide_id", F.size("tiles").alias("n_tiles"), F.size("near").alias("n_neighbours"), south.alias("south_sum"))
 
 
 @query

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.naming import ascii_only
 
 
+#: XML is parsed once a row, values are taken as they are, and what is no XML is an error.
+AS_IS = {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
+
+
 def escaped(text: Column) -> Column:
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         text = F.replace(text, F.lit(a), F.lit(b))
@@ -34,20 +38,33 @@ def tiling_xml(slides: DataFrame, tiles_found: DataFrame | None = None) -> DataF
 
 def parse_tiling(files: DataFrame, column: str = "xml") -> DataFrame:
     """Adds h, w, file, home, grid_rows and grid_cols of a tiling's XML."""
-    at = lambda path: F.element_at(F.xpath(column, F.lit(path)), 1)
-    number = lambda path: at(path).cast("int")
-    return files.withColumns({
-        "h": number("/Image/@rows"), "w": number("/Image/@cols"), "file": at("/Image/@file"), "home": at("/Image/@home"),
-        "grid_rows": number("/Image/Tiles/@grid_rows"), "grid_cols": number("/Image/Tiles/@grid_cols"),
-    })
+    schema = "_rows string, _cols string, _file string, _home string, Tiles array<struct<_grid_rows: string, _grid_cols: string>>"
+    image = F.from_xml(F.col(column), schema, AS_IS)
+    return files.withColumn("_image", image).select(
+        *files.columns, F.col("_image._rows").cast("int").alias("h"), F.col("_image._cols").cast("int").alias("w"), F.col("_image._file").alias("file"), F.col("_image._home").alias("home"),
+        F.get("_image.Tiles._grid_rows", F.lit(0)).cast("int").alias("grid_rows"), F.get("_image.Tiles._grid_cols", F.lit(0)).cast("int").alias("grid_cols"),
+    )
+
+
+def parse_adjacency(files: DataFrame, column: str = "xml") -> DataFrame:
+    """Adds tiles, array<(id, neighbours array<(side, tile)>)>, of the XML that adjacency_xml makes."""
+    schema = "Tile array<struct<_id: string, Neighbor: array<struct<_side: string, _tile: string>>>>"
+    near = lambda t: F.transform(F.coalesce(t["Neighbor"], F.array()), lambda n: F.struct(n["_side"].alias("side"), n["_tile"].cast("int").alias("tile")))
+    tiles = F.transform(F.from_xml(F.col(column), schema, AS_IS)["Tile"], lambda t: F.struct(t["_id"].cast("int").alias("id"), near(t).alias("neighbours")))
+    return files.withColumn("tiles", tiles)
+
+
+SIDES = ("north", "south", "east", "west")
 
 
 def adjacency_xml(adjacency: DataFrame) -> DataFrame:
     """(slide_id, tile_id, north, south, east, west) -> (slide_id, xml), a Tile for each tile in order and a Neighbor for each that it has."""
-    sides = [F.when(F.col(s).isNotNull(), F.concat(_tag("Neighbor", side=F.lit(s), tile=F.col(s)), F.lit("/>"))) for s in ("north", "south", "east", "west")]
-    tile = F.concat(_tag("Tile", id=F.col("tile_id")), F.lit(">"), F.concat_ws("", *sides), F.lit("</Tile>"))
-    each = adjacency.groupBy("slide_id").agg(F.array_sort(F.collect_list(F.struct("tile_id", tile.alias("x")))).alias("t"))
-    return each.select("slide_id", F.concat(F.lit("<Tiles>"), F.array_join(F.col("t.x"), ""), F.lit("</Tiles>")).alias("xml"))
+    whole = lambda n: n.cast("string")
+    side = lambda t, s: F.when(t[s].isNotNull(), F.concat(F.lit(f'<Neighbor side="{s}" tile="'), whole(t[s]), F.lit('"/>')))
+    tile = lambda t: F.concat(F.lit('<Tile id="'), whole(t["tile_id"]), F.lit('">'), F.concat_ws("", *[side(t, s) for s in SIDES]), F.lit("</Tile>"))
+    # numbers are grouped, not texts of ten times their size
+    each = adjacency.groupBy("slide_id").agg(F.sort_array(F.collect_list(F.struct("tile_id", *SIDES))).alias("t"))
+    return each.select("slide_id", F.concat(F.lit("<Tiles>"), F.array_join(F.transform("t", tile), ""), F.lit("</Tiles>")).alias("xml"))
 
 
 def micrometres(metres: Column) -> Column:
