@@ -42,3 +42,13 @@ def test_tiling_is_parsed_once_a_row(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "xpath" not in plan
     assert sorted(map(tuple, got.select(*s.columns).collect())) == sorted(map(tuple, s.collect()))
+
+
+def test_adjacency_is_parsed_once_a_row(spark):
+    grid = spark.createDataFrame([(1, 1, 1), (2, 3, 4), (3, 1, 12)], "slide_id int, grid_rows int, grid_cols int")
+    near = tiling.adjacency(grid)
+    got = metadata.parse_adjacency(metadata.adjacency_xml(near)).select("slide_id", F.explode("tiles").alias("t"))
+    same = lambda s: lambda n: n["side"] == s
+    got = got.select("slide_id", F.col("t.id").alias("tile_id"), *[F.get(F.filter("t.neighbours", same(s)), F.lit(0))["tile"].alias(s) for s in metadata.SIDES])
+    order = lambda rows: sorted(map(str, rows))
+    assert order(tuple(r) for r in got.collect()) == order(tuple(r) for r in near.select(*got.columns).collect())
