@@ -52,3 +52,11 @@ def test_adjacency_is_parsed_once_a_row(spark):
     got = got.select("slide_id", F.col("t.id").alias("tile_id"), *[F.get(F.filter("t.neighbours", same(s)), F.lit(0))["tile"].alias(s) for s in metadata.SIDES])
     order = lambda rows: sorted(map(str, rows))
     assert order(tuple(r) for r in got.collect()) == order(tuple(r) for r in near.select(*got.columns).collect())
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    for k in range(400):
+        (tmp_path / f"{k}.tif").write_bytes(tiff.encode(bytes([k % 256] * 12), 2, 2, 3))
+    assert tiff._files(spark, str(tmp_path)).rdd.getNumPartitions() <= parts(spark)
+    got = tiff.read_tiffs(spark, str(tmp_path)).select(views.byte_sum(F.col("pixels")).alias("n")).agg(F.count("*"), F.sum("n")).collect()[0]
+    assert tuple(got) == (400, 12 * sum(k % 256 for k in range(400)))

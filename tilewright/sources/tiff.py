@@ -25,6 +25,8 @@ TAGS = {
 KINDS = {1: "B", 2: "s", 3: "H", 4: "I", 16: "Q"}
 #: Bytes of pixels from which a file needs 64-bit offsets.
 BIG = 1 << 32
+#: Bytes of pixels that are passed on at a time.
+BATCH = 1 << 22
 COORDINATES = ["row_up", "col_up", "row_low", "col_low"]
 DTYPES = {1: "uint", 2: "int", 3: "float"}
 
@@ -109,9 +111,13 @@ def opened(path: str) -> Iterator[Read]:
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
-    """Path and length of the .tif and .tiff files below folder; contents aren't read."""
+    """Path and length of the .tif and .tiff files below folder; contents aren't read.
+
+    Spark counts 4 MB for opening any file, so it makes a split of each 32; tasks take
+    as many of these as leave spark.sql.shuffle.partitions of them.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{tif,tiff}").load(folder)
-    return files.select("path", "length")
+    return files.select("path", "length").coalesce(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def inspect_tiffs(spark: SparkSession, folder: str, max_pages: int | None = None) -> DataFrame:
@@ -177,6 +183,7 @@ def read_tiffs(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            rows, held = [], 0
             for path in frame.path:
                 row = {"path": path, "h": None, "w": None, "channels": None, "pixels": None, "error": None}
                 try:
@@ -184,8 +191,15 @@ def read_tiffs(spark: SparkSession, folder: str) -> DataFrame:
                         row |= dict(zip(("h", "w", "channels", "pixels"), decode(read), strict=True))
                 except (ValueError, KeyError, IndexError, struct.error, OSError) as e:
                     row["error"] = str(e)[:200]
-                yield pd.DataFrame([row]).astype({"h": "Int64", "w": "Int64", "channels": "Int64"})
-
+                rows.append(row)
+                held += len(row["pixels"] or b"")
+                if held >= BATCH:
+                    yield pd.DataFrame(rows).astype(kinds)
+                    rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows).astype(kinds)
+
+    kinds = {"h": "Int64", "w": "Int64", "channels": "Int64"}
     return _files(spark, folder).select("path").mapInPandas(run, "path string, h long, w long, channels long, pixels binary, error string")
 
 
@@ -200,14 +214,16 @@ def write_tiffs(images: DataFrame, folder: str, column: str = "pixels") -> DataF
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = filesystem(folder)
-        draft = f".draft-{TaskContext.get().taskAttemptId()}"
+        draft, made = f".draft-{TaskContext.get().taskAttemptId()}", set()
         for frame in frames:
             rows = []
             for t in frame.itertuples():
                 try:
                     data = encode(getattr(t, column), int(t.h), int(t.w), int(t.channels))
                     at = f"{base}/{t.name}"
-                    fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
+                    if (parent := at.rsplit("/", 1)[0]) not in made:
+                        fs.create_dir(parent, recursive=True)
+                        made = {parent}
                     with fs.open_output_stream(at + draft) as f:
                         f.write(data)
                     fs.move(at + draft, at)
