@@ -60,3 +60,21 @@ def test_small_files_share_tasks(spark, tmp_path):
     assert tiff._files(spark, str(tmp_path)).rdd.getNumPartitions() <= parts(spark)
     got = tiff.read_tiffs(spark, str(tmp_path)).select(views.byte_sum(F.col("pixels")).alias("n")).agg(F.count("*"), F.sum("n")).collect()[0]
     assert tuple(got) == (400, 12 * sum(k % 256 for k in range(400)))
+
+
+def test_lanes_meet_without_a_group_each(spark, monkeypatch):
+    """Frames of three rows cut lanes anywhere; regions stay those of one large block."""
+
+    def refuse(*_):
+        raise AssertionError("one call a lane")
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", refuse)
+    mask = (np.random.default_rng(4).random((32, 32)) < 0.35).astype(np.uint8)
+    small = [(1, y, x, mask[8 * y : 8 * y + 8, 8 * x : 8 * x + 8].tobytes()) for y in range(4) for x in range(4)]
+    schema = "slide int, by int, bx int, pixels binary"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got, whole = (sorted(map(tuple, regions.regions(spark.createDataFrame(rows, schema), n).collect())) for rows, n in ((small, 8), ([(1, 0, 0, mask.tobytes())], 32)))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == whole and len(got) > 3

@@ -80,15 +80,37 @@ def regions(blocks: DataFrame, block: int) -> DataFrame:
     nodes = written(rows.filter("axis < 0").select("slide", "by", "bx", "label", "area", "top", "left", "low", "right", F.monotonically_increasing_id().alias("node")))
     border = rows.filter("axis >= 0").select("slide", "by", "bx", "label", "axis", "line", "lane", "start", "stop", "side").join(nodes.select("slide", "by", "bx", "label", "node"), ["slide", "by", "bx", "label"])
 
+    place = ["slide", "axis", "line", "lane"]
+
     def met(f: pd.DataFrame) -> pd.DataFrame:
-        a, b = (f[f.side == s].sort_values("start", kind="stable") for s in (BEFORE, AFTER))
-        first = np.searchsorted(b.stop.to_numpy(), a.start.to_numpy() - 1, "left")
-        last = np.searchsorted(b.start.to_numpy(), a.stop.to_numpy() + 1, "right")
+        """Of whole lanes sorted by place and start; each lane has numbers of its own, so all meet at once."""
+        away = f.groupby(place, sort=False, dropna=False).ngroup().to_numpy() * (int(f.stop.max()) + 4)
+        start, stop, node = f.start.to_numpy() + away, f.stop.to_numpy() + away, f.node.to_numpy()
+        a, b = (np.flatnonzero(f.side.to_numpy() == s) for s in (BEFORE, AFTER))
+        first = np.searchsorted(stop[b], start[a] - 1, "left")
+        last = np.searchsorted(start[b], stop[a] + 1, "right")
         n = np.maximum(last - first, 0)
         at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return pd.DataFrame({"u": np.repeat(a.node.to_numpy(), n), "v": b.node.to_numpy()[at]})
+        return pd.DataFrame({"u": np.repeat(node[a], n), "v": node[b][at]})
 
-    edges = border.groupBy("slide", "axis", "line", "lane").applyInPandas(met, "u long, v long")
+    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for f in frames:
+            if not len(f):
+                continue
+            # the last lane may go on in the next frame
+            key = f[place]
+            same = ((key == key.iloc[-1]) | (key.isna() & key.iloc[-1].isna())).all(axis=1).to_numpy()
+            if same.all() and held and held[-1][place].iloc[-1].equals(key.iloc[0]):
+                held.append(f)
+                continue
+            yield met(pd.concat([*held, f[~same]])) if held or not same.all() else pd.DataFrame({"u": [], "v": []}, dtype="int64")
+            held = [f[same]]
+        if held:
+            yield met(pd.concat(held))
+
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = border.select(*place, "start", "stop", "side", "node").repartition(parts, *place).sortWithinPartitions(*place, "start").mapInPandas(meet, "u long, v long")
     roots = connected_components(edges).select(F.col("node").alias("_n"), "root")
     both = nodes.join(roots, F.col("node") == F.col("_n"), "left").withColumn("root", F.coalesce("root", "node"))
     return both.groupBy("slide", "root").agg(F.sum("area").alias("area"), F.min("top").alias("top"), F.min("left").alias("left"), F.max("low").alias("low"), F.max("right").alias("right")).drop("root")
